@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The accepted name shapes and the content that is refused.
@@ -25,40 +25,49 @@ REPORTED_KEYWORDS = ("DROP", "DELETE", "UPDATE", "INSERT", "SELECT")
 _JAVA_FLAGS = "(?iUd)"
 
 
-def _refusal(text: Column) -> Column:
-    """'keyword' or 'dangerous' after the first refused piece of the text, else NULL."""
-    first = F.upper(F.regexp_extract(text, _JAVA_FLAGS + "(" + REFUSED_PATTERN + ")", 0))
-    found = F.length(first) > 0
-    return F.when(found & first.rlike("|".join(REPORTED_KEYWORDS)), F.lit("keyword")).when(
-        found, F.lit("dangerous")
-    )
+def _first_refused(text: Column) -> Column:
+    """The first refused piece of a text in capitals, '' when there is none."""
+    return F.upper(F.regexp_extract(text, _JAVA_FLAGS + "(" + REFUSED_PATTERN + ")", 0))
+
 
+def _refusal(first: Column) -> Column:
+    """'keyword' or 'dangerous' for a refused piece, else NULL."""
+    reported = first.rlike("|".join(REPORTED_KEYWORDS))
+    return F.when(reported, F.lit("keyword")).when(first != "", F.lit("dangerous"))
 
-def name_verdict(name: Column, dotted: bool = False) -> Column:
+
+def name_verdict(name: Column, dotted: bool = False, first: Column | None = None) -> Column:
     """Verdict of an object or field name: empty, invalid, keyword, dangerous or ok."""
     shape = DOTTED_NAME_PATTERN if dotted else NAME_PATTERN
+    first = _first_refused(name) if first is None else first
     return (
         F.when(name.isNull() | (name == ""), F.lit("empty"))
         .when(~name.rlike(shape), F.lit("invalid"))
-        .otherwise(F.coalesce(_refusal(name), F.lit("ok")))
+        .otherwise(F.coalesce(_refusal(first), F.lit("ok")))
     )
 
 
-def filter_verdict(text: Column) -> Column:
+def filter_verdict(text: Column, first: Column | None = None) -> Column:
     """Verdict of a filter text: keyword, dangerous, unbalanced or ok (also when absent)."""
     quotes = F.length(text) - F.length(F.replace(text, F.lit("'"), F.lit("")))
-    return (
-        F.when(text.isNull() | (text == ""), F.lit("ok"))
-        .otherwise(
-            F.coalesce(
-                _refusal(text),
-                F.when(quotes % 2 != 0, F.lit("unbalanced")),
-                F.lit("ok"),
-            )
-        )
+    first = _first_refused(text) if first is None else first
+    return F.when(text.isNull() | (text == ""), F.lit("ok")).otherwise(
+        F.coalesce(_refusal(first), F.when(quotes % 2 != 0, F.lit("unbalanced")), F.lit("ok"))
     )
 
 
+def audit_names(df: DataFrame, name: str, output: str, dotted: bool = False) -> DataFrame:
+    """Add the verdict of a name column; each name is searched once."""
+    found = df.withColumn("_first", _first_refused(F.col(name)))
+    return found.withColumn(output, name_verdict(F.col(name), dotted, F.col("_first"))).drop("_first")
+
+
+def audit_filter_text(df: DataFrame, text: str, output: str) -> DataFrame:
+    """Add the verdict of a filter column; each text is searched once."""
+    found = df.withColumn("_first", _first_refused(F.col(text)))
+    return found.withColumn(output, filter_verdict(F.col(text), F.col("_first"))).drop("_first")
+
+
 def all_names_ok(names: Column, dotted: bool = True) -> Column:
     """True when every name of an array column passes."""
     return F.forall(names, lambda name: name_verdict(name, dotted) == "ok")

@@ -57,6 +57,14 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df
 
 
+def spelled(df: DataFrame, names: Iterable[str]) -> list[str]:
+    """Column names the way the DataFrame writes them; raises for one it lacks."""
+    names = list(names)
+    require_columns(df, names)
+    written = {name.lower(): name for name in df.columns}
+    return [written[name.lower()] for name in names]
+
+
 def require_filled(df: DataFrame, *keys: str) -> DataFrame:
     """Skip rows whose key is NULL or empty."""
     return df.filter(reduce(lambda a, b: a & b, (is_filled(F.col(key)) for key in keys)))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from objsync.functions.text import is_filled
 from objsync.operators.dedup import repeated_keys
@@ -24,6 +25,15 @@ def missing_fields(required: Sequence[str]) -> Column:
     return F.concat_ws(", ", *(F.when(~is_filled(F.col(name)), F.lit(name)) for name in required))
 
 
+def filled_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows whose named columns are all filled, as plain tests that a scan can apply."""
+    for name in names:
+        df = df.filter(F.col(name).isNotNull())
+        if isinstance(df.schema[name].dataType, T.StringType):
+            df = df.filter(F.col(name) != "")
+    return df
+
+
 def with_error(df: DataFrame, code: str, message: Column | str) -> DataFrame:
     text = F.lit(message) if isinstance(message, str) else message
     return df.select("*", F.lit(code).alias("error_code"), text.alias("error_message"))
@@ -47,7 +57,7 @@ def label_errors(df: DataFrame, required: Sequence[str], unique: Sequence[str])
     The repeated keys are counted first and joined back, so that no task has to
     hold all rows of one key.
     """
-    complete = df.filter(missing_fields(unique) == "").select(*unique)
+    complete = filled_rows(df, unique).select(*unique)
     repeated = repeated_keys(complete, list(unique)).withColumn("_repeated", F.lit(True))
     gone = missing_fields(required)
     code = F.when(gone != "", F.lit(REQUIRED_MISSING)).when(F.col("_repeated"), F.lit(DUPLICATE))
@@ -74,11 +84,11 @@ def job_results(labelled: DataFrame, job: Column, target: str, operation: str) -
     ).select("job_id", "object", "operation", "records_processed", "records_failed")
 
 
-def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, batch_rows: int = BATCH_ROWS) -> str:
-    """CSV files of at most ``batch_rows`` rows: the given columns, header, NULL as blank.
+def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, batch_rows: int = 0) -> str:
+    """CSV files with header: the given columns, NULL as blank.
 
-    Small files keep every record readable in parallel even where values hold
-    line breaks. Structs are flattened, since CSV has no nesting.
+    ``batch_rows`` bounds the rows per file for a receiver that takes batches;
+    0 leaves one file per task. Structs are flattened, since CSV has no nesting.
     """
     rows = flatten(df.select(*columns) if columns else df)
     rows.write.options(**CSV_OPTIONS).option("maxRecordsPerFile", batch_rows).csv(path)

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from objsync.config import TargetConfig
 from objsync.operators import results
-from objsync.operators.dedup import keep_last, repeated_keys
+from objsync.operators.dedup import keep_last
 from objsync.operators.joins import distinct_keys
 from objsync.operators.keymap import ID, KEY, build_keymap
+from objsync.operators.mapping import spelled
 
 NULL_POLICIES = ("overwrite", "keep")
 DUPLICATE_POLICIES = ("reject", "keep_last")
@@ -51,27 +52,6 @@ def wiped_ids(target: DataFrame, id_column: str = ID) -> DataFrame:
     return target.select(id_column)
 
 
-def check_batch(batch: DataFrame, keys: Sequence[str], on_duplicate: str = "reject",
-                order_by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(valid rows with one row per key, rejected rows)."""
-    if on_duplicate not in DUPLICATE_POLICIES:
-        raise ValueError(f"on_duplicate must be one of {list(DUPLICATE_POLICIES)}")
-    keys = list(keys)
-    keyless = results.missing_rejects(batch, keys)
-    keyed = batch.filter(results.missing_fields(keys) == "")
-    if on_duplicate == "keep_last":
-        if not order_by:
-            raise ValueError("on_duplicate='keep_last' needs order_by columns")
-        return keep_last(keyed, keys, list(order_by)), keyless
-    repeated = repeated_keys(keyed, keys)
-    doubles = results.with_error(
-        keyed.join(repeated, keys, "left_semi").select(*batch.columns),
-        results.DUPLICATE,
-        f"Duplicate value on: {', '.join(keys)}",
-    )
-    return keyed.join(repeated, keys, "left_anti").select(*batch.columns), keyless.unionByName(doubles)
-
-
 def upsert(target: DataFrame, batch: DataFrame, keys: str | Sequence[str], null_policy: str = "overwrite",
            on_duplicate: str = "reject", order_by: Sequence[str] = (), target_unique: bool = False,
            evolve: bool = False) -> WritePlan:
@@ -85,35 +65,69 @@ def upsert(target: DataFrame, batch: DataFrame, keys: str | Sequence[str], null_
     """
     if null_policy not in NULL_POLICIES:
         raise ValueError(f"null_policy must be one of {list(NULL_POLICIES)}")
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    keys = spelled(batch, [keys] if isinstance(keys, str) else keys)
     _check_columns(target, batch, evolve)
-    accepted, rejects = check_batch(batch, keys, on_duplicate, order_by)
-    if not target_unique:
-        several = repeated_keys(target.select(*keys).join(accepted.select(*keys), keys, "left_semi"), keys)
-        doubles = results.with_error(
-            accepted.join(several, keys, "left_semi").select(*batch.columns),
-            results.DUPLICATE_TARGET,
-            f"More than one record found for: {', '.join(keys)}",
+    full_rows = null_policy == "overwrite" and {n.lower() for n in target.columns} <= {n.lower() for n in batch.columns}
+    keyed = results.filled_rows(batch, keys)
+    once = _one_row_per_key(keyed, keys, on_duplicate, order_by)
+    status = _key_status(None if target_unique and full_rows else target, once, keys)
+    marked = once.join(status, keys).select(*(F.col(n) for n in batch.columns), "_given", "_held")
+    accepted = marked.filter("_given = 1 AND _held <= 1")
+    refused = marked.filter("_given > 1 OR _held > 1")
+    doubled = F.col("_given") > 1
+    names = ", ".join(keys)
+    rejects = results.missing_rejects(batch, keys).unionByName(
+        refused.select(
+            *batch.columns,
+            F.when(doubled, results.DUPLICATE).otherwise(results.DUPLICATE_TARGET).alias("error_code"),
+            F.when(doubled, f"Duplicate value on: {names}").otherwise(f"More than one record found for: {names}")
+            .alias("error_message"),
         )
-        accepted = accepted.join(several, keys, "left_anti").select(*batch.columns)
-        rejects = rejects.unionByName(doubles)
-    full_rows = {n.lower() for n in target.columns} <= {n.lower() for n in batch.columns}
-    merge = _overwrite_rows if full_rows and null_policy == "overwrite" else _overwrite_cells
-    return WritePlan(merge(target, accepted, keys, null_policy), accepted, rejects)
+    )
+    rows = accepted.select(*batch.columns)
+    if full_rows:
+        table = _overwrite_rows(target, rows, status, keys)
+    else:
+        added = accepted.filter("_held = 0").select(*batch.columns)
+        table = _overwrite_cells(target, rows, keys, null_policy).unionByName(added, allowMissingColumns=True)
+    return WritePlan(table, rows, rejects)
 
 
-def _overwrite_rows(target: DataFrame, accepted: DataFrame, keys: list[str], _: str) -> DataFrame:
-    untouched = target.join(accepted.select(*keys), keys, "left_anti").select(*target.columns)
-    return untouched.unionByName(accepted, allowMissingColumns=True)
+def _one_row_per_key(keyed: DataFrame, keys: list[str], on_duplicate: str, order_by: Sequence[str]) -> DataFrame:
+    if on_duplicate not in DUPLICATE_POLICIES:
+        raise ValueError(f"on_duplicate must be one of {list(DUPLICATE_POLICIES)}")
+    if on_duplicate == "reject":
+        return keyed
+    if not order_by:
+        raise ValueError("on_duplicate='keep_last' needs order_by columns")
+    return keep_last(keyed, keys, list(order_by))
 
 
-def _overwrite_cells(target: DataFrame, accepted: DataFrame, keys: list[str], null_policy: str) -> DataFrame:
-    """Left-join the batch to the target, and add the batch rows that matched nothing.
+def _key_status(target: DataFrame | None, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Per batch key, how often the batch (``_given``) and the target (``_held``) have it.
 
-    The matched keys come from a key-only pass that is no larger than the batch.
+    Only key columns are read, and the batch keys cut the target keys down
+    before they are counted; a key that repeats in the batch is refused anyway,
+    so its target rows are not looked for. Without a target nothing is held.
     """
-    values = [name for name in accepted.columns if name not in keys]
-    packed = accepted.select(*keys, F.struct(F.lit(True).alias("hit"), *values).alias("_new"))
+    given = batch.groupBy(*keys).agg(F.count("*").alias("_given"))
+    if target is None:
+        return given.withColumn("_held", F.lit(0).cast("long"))
+    held = target.select(*keys).join(given.filter("_given = 1"), keys, "left_semi")
+    held = held.groupBy(*keys).agg(F.count("*").alias("_held"))
+    return given.join(held, keys, "left").select(*keys, "_given", F.coalesce("_held", F.lit(0)).alias("_held"))
+
+
+def _overwrite_rows(target: DataFrame, rows: DataFrame, status: DataFrame, keys: list[str]) -> DataFrame:
+    replaced = status.filter("_given = 1 AND _held <= 1").select(*keys)
+    untouched = target.join(replaced, keys, "left_anti").select(*target.columns)
+    return untouched.unionByName(rows, allowMissingColumns=True)
+
+
+def _overwrite_cells(target: DataFrame, rows: DataFrame, keys: list[str], null_policy: str) -> DataFrame:
+    """The target rows, with the given cells replaced where a batch row has their key."""
+    values = [name for name in rows.columns if name not in keys]
+    packed = rows.select(*keys, F.struct(F.lit(True).alias("hit"), *values).alias("_new"))
     held = {name.lower() for name in target.columns}
 
     def merged(name: str):
@@ -126,10 +140,7 @@ def _overwrite_cells(target: DataFrame, accepted: DataFrame, keys: list[str], nu
     given = {name.lower(): name for name in values}
     columns = [merged(name) if name.lower() in given else F.col(name) for name in target.columns]
     columns += [merged(name) for name in values if name.lower() not in held]
-    updated = target.join(packed, keys, "left").select(*columns)
-    matched = target.select(*keys).join(accepted.select(*keys), keys, "left_semi")
-    added = accepted.join(matched, keys, "left_anti")
-    return updated.unionByName(added, allowMissingColumns=True)
+    return target.join(packed, keys, "left").select(*columns)
 
 
 def upsert_outcomes(target: DataFrame, accepted: DataFrame, keys: Sequence[str]) -> DataFrame:

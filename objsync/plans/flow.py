@@ -59,28 +59,29 @@ class Flow:
         return plan_write(target, self.records(), self.target, keymap)
 
     def run(self, spark: SparkSession, table: VersionedTable, keymap: DataFrame | None = None,
-            rejects_root: str | None = None, **state) -> RunResult:
+            rejects_root: str | None = None, staged: bool = False, **state) -> RunResult:
         """Stage the records, write the new version, commit it, and report.
 
         The staged copy is read by every later step, so the source is read once
-        and a lost executor costs a re-read of the copy. No rows is an error
-        unless the target allows it; any failure raises and commits nothing.
+        and a lost executor costs a re-read of the copy; ``staged`` says that the
+        source is such a copy already. No rows is an error unless the target
+        allows it; any failure raises and commits nothing.
         """
         job = uuid.uuid4().hex
         records = self.records()
-        staging = new_folder(spark, f"staging-{job}")
-        records.write.parquet(staging)
-        staged = spark.read.schema(records.schema).parquet(staging)
-        processed = staged.count()
+        if not staged:
+            records = _stage(spark, records, f"staging-{job}")
+        processed = records.count()
         if processed == 0 and not self.target.allow_empty:
             raise ValueError(f"Flow '{self.name}' produced no rows")
-        commit, plan = self._write(spark, table, staged, keymap, state)
+        commit, plan = self._write(spark, table, records, keymap, state)
         failed, path = 0, None
         if self.target.operation in ("upsert", "merge", "delete"):
-            failed = plan.rejects.count()
-        if failed:
-            root = rejects_root or new_folder(spark, "rejects")
-            path = write_rejects(plan.rejects, root, self.target.name, self.target.operation, job)
+            refused = _stage(spark, plan.rejects, f"rejects-{job}")
+            failed = refused.count()
+            if failed:
+                root = rejects_root or new_folder(spark, "rejects")
+                path = write_rejects(refused, root, self.target.name, self.target.operation, job)
         return RunResult(job, self.target.name, self.target.operation, processed, failed, path, commit)
 
     def _write(self, spark: SparkSession, table: VersionedTable, staged: DataFrame, keymap: DataFrame | None,
@@ -96,7 +97,8 @@ class Flow:
             plan = plan_write(whole, staged, target)
             return table.replace(plan.table, **state), plan
         # Keys live in one bucket each, so an update by those keys needs only the touched ones.
-        by_bucket = self.target.operation != "delete" and list(self.target.keys) == table.keys
+        matched_on = {"upsert": self.target.keys[:1], "merge": self.target.keys}.get(self.target.operation)
+        by_bucket = matched_on is not None and list(matched_on) == table.keys
         touched = table.touched(staged) if by_bucket and base else None
         affected = table.read(touched, base) if base else empty
         plan = plan_write(affected, staged, self.target, keymap)
@@ -112,12 +114,17 @@ def sync(spark: SparkSession, store: ObjectStore, config: ResourceConfig, table:
     """
     state, cursor = table.state, config.replication_key
     rows = extract(store, config, state.get("last_value") if cursor else None)
-    staging = new_folder(spark, f"extract-{config.name}")
-    rows.write.parquet(staging)
-    staged = spark.read.schema(rows.schema).parquet(staging)
+    staged = _stage(spark, rows, f"extract-{config.name}")
     moved = {}
     if cursor:
-        value_type = rows.schema[cursor].dataType.simpleString()
+        value_type = rows.select(f"`{cursor}`").schema[0].dataType.simpleString()
         moved = {"cursor_field": cursor, "value_type": value_type,
                  "last_value": high_value(staged, cursor) or state.get("last_value")}
-    return Flow(config.name, staged, target, transforms).run(spark, table, **moved)
+    return Flow(config.name, staged, target, transforms).run(spark, table, staged=True, **moved)
+
+
+def _stage(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+    """A copy of the rows in the shared folder; its row count comes from file footers."""
+    folder = new_folder(spark, purpose)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from objsync.config import ResourceConfig, TargetConfig
 from objsync.functions.literals import with_literals
-from objsync.functions.rules import filter_verdict, name_verdict
+from objsync.functions.rules import audit_filter_text, audit_names
 from objsync.functions.text import child_or, concat_strip, object_id, template
 from objsync.operators import keymap as km
 from objsync.operators import mapping as mp
@@ -216,14 +216,14 @@ def normalize_chunks(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents")
-    folder = results.write_csv(documents, new_folder(spark, "csv"))
+    folder = results.write_csv(documents, new_folder(spark, "csv"), batch_rows=results.BATCH_ROWS)
     return mp.apply_types(files.read_csv(spark, folder, documents.columns), {"doc_id": "bigint", "n_chars": "bigint"})
 
 
 @query
 def csv_roundtrip_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages")
-    folder = results.write_csv(pages, new_folder(spark, "csv"))
+    folder = results.write_csv(pages, new_folder(spark, "csv"), batch_rows=results.BATCH_ROWS)
     return mp.apply_types(files.read_csv(spark, folder, pages.columns), {"page_id": "bigint"})
 
 
@@ -563,7 +563,7 @@ def audit_object_names(spark: SparkSession, sf: str) -> DataFrame:
         .when(kind == "LARGE", F.concat(kind, F.lit("\n"))).otherwise(kind)
     )
     parts = table(spark, sf, "part").select("p_partkey", name.alias("name"))
-    return parts.select("p_partkey", name_verdict(F.col("name")).alias("verdict"))
+    return audit_names(parts, "name", "verdict").drop("name")
 
 
 @query
@@ -575,19 +575,19 @@ def audit_field_names(spark: SparkSession, sf: str) -> DataFrame:
         .when(kind != "MEDIUM", F.concat(brand, F.lit("__r.Account.Name")))
     )
     parts = table(spark, sf, "part").select("p_partkey", name.alias("name"))
-    return parts.select("p_partkey", name_verdict(F.col("name"), dotted=True).alias("dotted"),
-                        name_verdict(F.col("name")).alias("strict"))
+    dotted = audit_names(parts, "name", "dotted", dotted=True)
+    return audit_names(dotted, "name", "strict").drop("name")
 
 
 @query
 def audit_filters(spark: SparkSession, sf: str) -> DataFrame:
     """Whole document texts judged as filters."""
-    return table(spark, sf, "documents").select("doc_id", filter_verdict(F.col("text")).alias("verdict"))
+    return audit_filter_text(table(spark, sf, "documents").select("doc_id", "text"), "text", "verdict").drop("text")
 
 
 @query
 def audit_page_filters(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", filter_verdict(F.col("html")).alias("verdict"))
+    return audit_filter_text(table(spark, sf, "pages").select("page_id", "html"), "html", "verdict").drop("html")
 
 
 # Flows
@@ -602,13 +602,12 @@ def flow_flagship(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderpriority").alias("Description"),
     )
     source = order_lookups(spark, sf)
-    accounts_used = km.build_keymap(accounts(spark, sf).filter("c_mktsegment <> 'HOUSEHOLD'"), "Id", "c_name",
-                                    source.select("account_key"))
+    account_ids = account_map(spark, sf, "c_mktsegment <> 'HOUSEHOLD'")
     flow = Flow(
         "orders", source,
         TargetConfig("Order", "upsert", primary_key="OrderNumber"),
         (
-            lambda df: km.resolve_keys(df, accounts_used, "account_key", "account_id", unique=True),
+            lambda df: km.resolve_keys(df, account_ids, "account_key", "account_id", unique=True),
             lambda df: mp.map_columns(df, {
                 "OrderNumber": F.col("o_orderkey").cast("string"), "Status": "o_orderstatus", "Amount": "o_totalprice",
                 "AccountId": "account_id",

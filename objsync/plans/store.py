@@ -90,7 +90,9 @@ class VersionedTable:
         return self._commit(df, lambda old, new: tuple(f for f in old if f[0] not in gone) + new, state)
 
     def _bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
+        """The bucket by the key's text, so that an int and a bigint of one value agree."""
+        texts = [F.col(key).cast("string") for key in self.keys]
+        return F.pmod(F.xxhash64(*texts), F.lit(self.buckets)).cast("int").alias(BUCKET)
 
     def _commit(self, df: DataFrame, arrange, state: dict[str, Any]) -> Commit:
         base = self.current()

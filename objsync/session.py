@@ -13,7 +13,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where the split costs another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Parquet sizes are of compressed data; what a broadcast holds is larger.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -23,7 +23,7 @@ def text_schema(columns: list[str], corrupt: str | None = None) -> T.StructType:
 
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, corrupt: str | None = None,
              multiline: bool = True) -> DataFrame:
-    """CSV as text columns, so that keys and codes keep their leading zeros.
+    """CSV as text columns, so that keys and codes keep their leading zeros. A blank is NULL.
 
     ``corrupt`` names a column that keeps the whole line of a ragged record,
     which the reader would otherwise cut silently. ``multiline=False`` makes
@@ -68,13 +68,13 @@ def json_fields(text: Column, schema: str) -> Column:
 
 
 def csv_line(columns: list[str]) -> Column:
-    """The named columns as one CSV line; NULL is blank and an empty text is two quotes."""
-    return F.to_csv(F.struct(*columns), {"escape": '"', "nullValue": "", "emptyValue": '""'})
+    """The named columns as one CSV line; NULL is blank."""
+    return F.to_csv(F.struct(*columns), {"escape": '"'})
 
 
 def csv_fields(line: Column, schema: str) -> Column:
-    """One CSV line as a struct; the inverse of ``csv_line``."""
-    return F.from_csv(line, schema, {"escape": '"', "nullValue": "", "emptyValue": "", "multiLine": "true"})
+    """One CSV line as a struct; a blank is NULL."""
+    return F.from_csv(line, schema, {"escape": '"', "multiLine": "true"})
 
 
 def normalize_chunks(chunks: DataFrame, text: str, columns: list[str]) -> DataFrame:

@@ -97,7 +97,7 @@ def _is_blank(condition: str | Column) -> bool:
 
 def after(rows: DataFrame, cursor: str, last_value: Any, inclusive: bool = False) -> Column:
     """The cursor bound as a constant of the column's own type, which the scan can use."""
-    bound = F.lit(last_value).cast(rows.schema[cursor].dataType)
+    bound = F.lit(last_value).cast(rows.select(cursor).schema[0].dataType)
     return F.col(cursor) >= bound if inclusive else F.col(cursor) > bound
 
 

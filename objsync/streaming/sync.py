@@ -12,16 +12,15 @@ from objsync.plans.store import VersionedTable
 
 
 def merge_latest(target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The target after the changes: per key the row that is last by ``order_by``.
+    """The target after changes that have one row per key: the later row by ``order_by`` stays.
 
     A change that arrives late does not replace a newer row. Only the target rows
     whose key occurs in the changes are compared; the others pass through.
     """
-    keys, order_by = list(keys), list(order_by)
-    latest = keep_last(changes, keys, order_by)
-    rivals = target.join(latest.select(*keys), keys, "left_semi").select(*target.columns)
-    untouched = target.join(latest.select(*keys), keys, "left_anti").select(*target.columns)
-    return untouched.unionByName(keep_last(rivals.unionByName(latest), keys, order_by))
+    changed = changes.select(*keys)
+    rivals = target.join(changed, list(keys), "left_semi").select(*target.columns)
+    untouched = target.join(changed, list(keys), "left_anti").select(*target.columns)
+    return untouched.unionByName(keep_last(rivals.unionByName(changes), list(keys), list(order_by)))
 
 
 def apply_changes(table: VersionedTable, changes: DataFrame, batch_id: int, stream: str, order_by: Sequence[str]) -> bool:
@@ -30,12 +29,17 @@ def apply_changes(table: VersionedTable, changes: DataFrame, batch_id: int, stre
     base = table.current()
     if base and base.state.get(applied, -1) >= batch_id:
         return False
+    latest = keep_last(changes, table.keys, list(order_by))
     if base is None:
-        merged, touched = keep_last(changes, table.keys, list(order_by)), None
-    else:
-        touched = table.touched(changes)
-        merged = merge_latest(table.read(touched, base), changes, table.keys, order_by)
-    table.replace(merged, touched, **{applied: batch_id})
+        table.replace(latest, **{applied: batch_id})
+        return True
+    latest = latest.persist()  # read for its buckets and three times by the merge
+    try:
+        touched = table.touched(latest)
+        merged = merge_latest(table.read(touched, base), latest, table.keys, order_by)
+        table.replace(merged, touched, **{applied: batch_id})
+    finally:
+        latest.unpersist()
     return True
 
 

@@ -1,0 +1,114 @@
+import pytest
+from pyspark.sql import functions as F
+
+from objsync.config import ResourceConfig
+from objsync.plans.incremental import past_boundary
+from objsync.sources.objects import (
+    ObjectStore,
+    Parent,
+    extract,
+    extract_all,
+    file_store,
+    high_values,
+    jdbc_store,
+    row_counts,
+    table_store,
+)
+from tests.conftest import rows
+
+
+@pytest.fixture(scope="module")
+def store(spark):
+    accounts = spark.createDataFrame(
+        [("001", "Acme", "Customer", "2025-01-18 10:00:00", "u1", "w"), ("002", "Globex", "Prospect", "2025-01-19 11:00:00", "u2", None),
+         ("003", "Société Générale", "Customer", "2025-01-20 12:00:00", "u9", "x")],
+        "Id string, Name string, Type string, Stamp string, OwnerId string, Website string",
+    ).withColumn("LastModifiedDate", F.to_timestamp("Stamp"))
+    users = spark.createDataFrame([("u1", "Ann", "r1"), ("u2", "Bob", None)], "Id string, Name string, RoleId string")
+    roles = spark.createDataFrame([("r1", "CEO")], "Id string, Title string")
+    frames = {"Account": accounts, "User": users, "Role": roles}
+    parents = {"Account": {"Owner": Parent("User", "OwnerId", "Id")}, "User": {"Role": Parent("Role", "RoleId", "Id")}}
+    return ObjectStore(frames.__getitem__, parents)
+
+
+def config(*fields, **options):
+    return ResourceConfig("accounts", "Account", "Id", fields, **options)
+
+
+def test_fields_in_order(store):
+    assert extract(store, config("Name", "Id")).columns == ["Name", "Id"]
+
+
+def test_empty_fields(store):
+    with pytest.raises(ValueError, match="cannot be empty"):
+        extract(store, config())
+
+
+def test_refused_field_name(store):
+    with pytest.raises(ValueError, match="Invalid name"):
+        extract(store, config("Id", "Name; DROP"))
+
+
+def test_filter_and_cursor_are_both_applied(store):
+    c = config("Id", "LastModifiedDate", query_filter="Type = 'Customer' OR Type = 'Prospect'", replication_key="LastModifiedDate")
+    assert [r[0] for r in rows(extract(store, c, "2025-01-18 10:00:00"))] == ["002", "003"]
+    assert len(rows(extract(store, c))) == 3
+
+
+def test_filter_as_column_and_blank_filter(store):
+    assert rows(extract(store, config("Id", query_filter=F.col("Name").contains("Générale")))) == [("003",)]
+    assert len(rows(extract(store, config("Id", query_filter="  ")))) == 3
+
+
+def test_parent_paths(store):
+    df = extract(store, config("Id", "Owner.Name", "Owner.Role.Title"))
+    assert df.columns == ["Id", "Owner.Name", "Owner.Role.Title"]
+    assert rows(df) == [("001", "Ann", "CEO"), ("002", "Bob", None), ("003", None, None)]
+
+
+def test_parent_in_filter_only(store):
+    c = config("Id", query_filter="Owner.Name = 'Bob'")
+    assert rows(extract(store, c, parents_in_filter=["Owner"])) == [("002",)]
+
+
+def test_unknown_parent(store):
+    with pytest.raises(ValueError, match="no parent 'Boss'"):
+        extract(store, config("Boss.Name"))
+
+
+def test_limit_takes_the_oldest(store):
+    c = config("Id", "LastModifiedDate", replication_key="LastModifiedDate", limit=2)
+    assert [r[0] for r in rows(extract(store, c))] == ["001", "002"]
+
+
+def test_type_hints(store):
+    df = extract(store, config("Id", "Website", column_types={"website": "text", "Id": "bigint", "absent": "text"}))
+    assert df.dtypes == [("Id", "bigint"), ("Website", "string")]
+
+
+def test_extract_all_keeps_order_and_last_values(store):
+    raw = [{"name": n, "object": "Account", "primary_key": "Id", "fields": ["Id", "LastModifiedDate"],
+            "replication_key": "LastModifiedDate"} for n in ("b", "a")]
+    frames = extract_all(store, raw, {"a": "2025-01-19 11:00:00"})
+    assert list(frames) == ["b", "a"]
+    assert rows(row_counts(frames, total="all")) == [("a", 1), ("all", 4), ("b", 3)]
+    assert high_values({"b": (frames["b"], "LastModifiedDate")}).first().last_value == "2025-01-20 12:00:00"
+
+
+def test_boundary_finds_late_ties(spark):
+    source = spark.createDataFrame([(1, 5), (2, 5), (3, 6), (4, 4)], "id int, cur int")
+    held = source.filter("id in (1, 4)")
+    assert rows(past_boundary(source, "cur", 5, held, ["id"])) == [(2, 5), (3, 6)]
+
+
+def test_file_and_table_stores(spark, folder):
+    spark.range(3).write.json(f"{folder}/things.json")
+    assert file_store(spark, folder, "json").load("things").count() == 3
+    spark.range(2).createOrReplaceTempView("some_objects")
+    assert table_store(spark).load("some_objects").count() == 2
+
+
+def test_jdbc_store_is_lazy_about_objects(spark):
+    store = jdbc_store(spark, "jdbc:none://x", split={"t": ("id", 0, 10)})
+    with pytest.raises(Exception):
+        store.load("t")

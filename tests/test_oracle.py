@@ -23,7 +23,7 @@ def duck():
 
 def normal(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
-    cells = [["" if pd.isna(v) else _text(v) for v in row] for row in frame.itertuples(index=False)]
+    cells = [["<null>" if pd.isna(v) else _text(v) for v in row] for row in frame.itertuples(index=False)]
     return sorted(map(tuple, cells))
 
 

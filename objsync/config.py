@@ -23,6 +23,7 @@ class ResourceConfig:
     write_disposition: str = "append"
     replication_key: str | None = None
     query_filter: Any = None
+    filter_fields: tuple[str, ...] = ()
     column_types: Mapping[str, str] = field(default_factory=dict)
     limit: int | None = None
 
@@ -46,6 +47,7 @@ class ResourceConfig:
             write_disposition=raw.get("write_disposition", "append"),
             replication_key=raw.get("replication_key"),
             query_filter=raw.get("query_filter"),
+            filter_fields=tuple(raw.get("filter_fields") or ()),
             column_types=types,
             limit=raw.get("limit"),
         )

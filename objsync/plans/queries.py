@@ -8,6 +8,7 @@ feed is ``events``, and rows with repeating keys come from lineitem.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +56,7 @@ def query(function: Query) -> Query:
     return function
 
 
+@lru_cache(maxsize=8)
 def objects(spark: SparkSession, sf: str) -> ObjectStore:
     return file_store(spark, sf, parents=PARENTS)
 
@@ -128,8 +130,8 @@ def extract_relationship(spark: SparkSession, sf: str) -> DataFrame:
 def extract_relationship_filter(spark: SparkSession, sf: str) -> DataFrame:
     """A filter on a grandparent that is not selected."""
     config = ResourceConfig("accounts", "customer", "c_custkey", ("c_custkey", "c_name"),
-                            query_filter="nation.region.r_name = 'ASIA'")
-    return extract(objects(spark, sf), config, parents_in_filter=["nation.region"])
+                            query_filter="nation.region.r_name = 'ASIA'", filter_fields=("nation.region.r_name",))
+    return extract(objects(spark, sf), config)
 
 
 def _orders_since(query_filter: str | None = None) -> ResourceConfig:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cache, reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,10 +39,10 @@ class ObjectStore:
 
 def file_store(spark: SparkSession, root: str, fmt: str = "parquet", suffix: str | None = None,
                parents: Mapping[str, Mapping[str, Parent]] | None = None, **options: Any) -> ObjectStore:
-    """Objects as files ``root/<name><suffix>`` of any Spark format."""
+    """Objects as files ``root/<name><suffix>`` of any Spark format; a store lists each object once."""
     ending = f".{fmt}" if suffix is None else suffix
     return ObjectStore(
-        lambda name: spark.read.format(fmt).options(**options).load(f"{root}/{name}{ending}"), parents or {}
+        cache(lambda name: spark.read.format(fmt).options(**options).load(f"{root}/{name}{ending}")), parents or {}
     )
 
 
@@ -68,20 +68,18 @@ def jdbc_store(spark: SparkSession, url: str, split: Mapping[str, tuple[str, Any
     return ObjectStore(load, parents or {})
 
 
-def extract(store: ObjectStore, config: ResourceConfig, last_value: Any = None,
-            parents_in_filter: Iterable[str] = ()) -> DataFrame:
+def extract(store: ObjectStore, config: ResourceConfig, last_value: Any = None) -> DataFrame:
     """The selected rows of one object.
 
-    Dotted fields walk to parents and keep the dotted name. ``parents_in_filter``
-    lists parent paths that only the filter uses. The cursor bound is strict and
-    applies from the second run on, when ``last_value`` is known. Rows are sorted
-    only for a limit, by cursor then key, because a sort no limit follows would
-    be a full shuffle for nothing.
+    Dotted fields walk to parents and keep the dotted name; the filter may use
+    the object's own columns, the selected dotted fields and ``filter_fields``.
+    The cursor bound is strict and applies from the second run on, when
+    ``last_value`` is known. Rows are sorted only for a limit, by cursor then key,
+    because a sort no limit follows would be a full shuffle for nothing.
     """
     if not config.fields:
         raise ValueError("Fields list cannot be empty")
-    paths = {name.rsplit(".", 1)[0] for name in config.fields if "." in check_name(name)}
-    rows = with_parents(store, config.object, paths | set(parents_in_filter))
+    rows = with_parents(store, config.object, [check_name(f) for f in (*config.fields, *config.filter_fields)])
     if config.query_filter is not None and not _is_blank(config.query_filter):
         rows = rows.filter(config.query_filter)
     if config.replication_key and last_value is not None:
@@ -101,22 +99,49 @@ def after(rows: DataFrame, cursor: str, last_value: Any, inclusive: bool = False
     return F.col(cursor) >= bound if inclusive else F.col(cursor) > bound
 
 
-def with_parents(store: ObjectStore, name: str, paths: Iterable[str]) -> DataFrame:
-    """Left-join the parents on the given paths, each as one struct column.
+def with_parents(store: ObjectStore, name: str, fields: Iterable[str]) -> DataFrame:
+    """Left-join the parents that dotted fields walk to, each as a struct column within its child.
 
-    A struct lets ``Owner.Name`` be selected or filtered by that very text, and
-    the optimizer reads only the parent columns that are used. Fields sharing a
-    path share its join.
+    A struct lets ``Owner.Role.Title`` be selected or filtered by that very text.
+    It holds only the fields named and the keys of further parents; fields on one
+    path share its join. Every parent joins the growing row by itself, so that
+    Spark sees its true size and broadcasts a small one.
     """
-    nested: dict[str, set[str]] = {}
+    needed: dict[str, set[str]] = {}
+    for path, _, column in (field.rpartition(".") for field in fields if "." in field):
+        for prefix in _prefixes(path):
+            needed.setdefault(prefix, set())
+        needed[path].add(column)
+    paths = sorted(needed, key=lambda path: (path.count("."), path))
+    objects, parents = {"": name}, {}
     for path in paths:
-        head, _, rest = path.partition(".")
-        nested.setdefault(head, set()).update({rest} if rest else set())
-    return reduce(
-        lambda rows, head: _join_parent(store, rows, _parent(store, name, head), head, nested[head]),
-        sorted(nested),
-        store.load(name),
-    )
+        above, _, relation = path.rpartition(".")
+        parents[path] = _parent(store, objects[above], relation)
+        objects[path] = parents[path].object
+        if above:
+            needed[above].add(parents[path].foreign_key)
+    base = store.load(name)
+    rows, flat = base, {path: f"_{n}_" for n, path in enumerate(paths)}
+    for path in paths:
+        above, parent = path.rpartition(".")[0], parents[path]
+        lookup = store.load(parent.object).select(
+            F.col(parent.parent_key).alias("_key"), *(F.col(c).alias(flat[path] + c) for c in sorted(needed[path]))
+        )
+        foreign = F.col(flat[above] + parent.foreign_key if above else parent.foreign_key)
+        rows = rows.join(lookup, foreign == F.col("_key"), "left").drop("_key")
+
+    def nested(path: str) -> Column:
+        inner = [p for p in paths if p.rpartition(".")[0] == path]
+        return F.struct(*(F.col(flat[path] + c).alias(c) for c in sorted(needed[path])), *map(nested, inner)).alias(
+            path.rpartition(".")[2]
+        )
+
+    return rows.select(*base.columns, *(nested(path) for path in paths if "." not in path)) if paths else rows
+
+
+def _prefixes(path: str) -> list[str]:
+    parts = path.split(".")
+    return [".".join(parts[: n + 1]) for n in range(len(parts))]
 
 
 def _parent(store: ObjectStore, name: str, relation: str) -> Parent:
@@ -126,14 +151,6 @@ def _parent(store: ObjectStore, name: str, relation: str) -> Parent:
         raise ValueError(f"Object '{name}' has no parent '{relation}'") from None
 
 
-def _join_parent(store: ObjectStore, rows: DataFrame, parent: Parent, relation: str,
-                 deeper: set[str]) -> DataFrame:
-    lookup = with_parents(store, parent.object, deeper)
-    key = f"_key_of_{relation}"
-    lookup = lookup.select(F.col(parent.parent_key).alias(key), F.struct("*").alias(relation))
-    return rows.join(lookup, F.col(parent.foreign_key) == F.col(key), "left").drop(key)
-
-
 def extract_all(store: ObjectStore, configs: Iterable[Mapping[str, Any] | ResourceConfig],
                 last_values: Mapping[str, Any] | None = None) -> dict[str, DataFrame]:
     """One lazy DataFrame per checked resource, in the order given."""

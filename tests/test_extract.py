@@ -67,8 +67,8 @@ def test_parent_paths(store):
 
 
 def test_parent_in_filter_only(store):
-    c = config("Id", query_filter="Owner.Name = 'Bob'")
-    assert rows(extract(store, c, parents_in_filter=["Owner"])) == [("002",)]
+    c = config("Id", query_filter="Owner.Name = 'Bob'", filter_fields=("Owner.Name",))
+    assert rows(extract(store, c)) == [("002",)]
 
 
 def test_unknown_parent(store):

@@ -10,6 +10,13 @@ from objsync.plans.queries import CATALOG
 SF = "/root/testdata/sf0.01"
 
 
+@pytest.fixture(autouse=True)
+def whole_metadata(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

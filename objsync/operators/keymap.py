@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from objsync.functions.text import is_filled
 from objsync.operators.dedup import keep_last
 from objsync.operators.joins import distinct_keys, lookup_join
-from objsync.session import new_folder
+from objsync.session import scratch_folder
 
 ID, KEY = "Id", "key"
 MISS_POLICIES = ("pass", "null")
@@ -119,7 +119,7 @@ class KeyMaps:
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self._spark = spark
-        self._root = root or new_folder(spark, "keymaps")
+        self._root = root or scratch_folder(spark, "keymaps")
         self._maps: dict[tuple[str, str], DataFrame | None] = {}
         self._writes = 0
 

@@ -14,7 +14,7 @@ from objsync.operators.results import write_rejects
 from objsync.operators.write import WritePlan, plan_write
 from objsync.plans.incremental import high_value
 from objsync.plans.store import Commit, VersionedTable
-from objsync.session import new_folder
+from objsync.session import drop_folder, new_folder, scratch_folder
 from objsync.sources.objects import ObjectStore, extract
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -68,20 +68,19 @@ class Flow:
         allows it; any failure raises and commits nothing.
         """
         job = uuid.uuid4().hex
-        records = self.records()
-        if not staged:
-            records = _stage(spark, records, f"staging-{job}")
-        processed = records.count()
-        if processed == 0 and not self.target.allow_empty:
-            raise ValueError(f"Flow '{self.name}' produced no rows")
-        commit, plan = self._write(spark, table, records, keymap, state)
-        failed, path = 0, None
-        if self.target.operation in ("upsert", "merge", "delete"):
-            refused = _stage(spark, plan.rejects, f"rejects-{job}")
-            failed = refused.count()
-            if failed:
-                root = rejects_root or new_folder(spark, "rejects")
-                path = write_rejects(refused, root, self.target.name, self.target.operation, job)
+        with Staging(spark) as staging:
+            records = self.records() if staged else staging.copy(self.records())
+            processed = records.count()
+            if processed == 0 and not self.target.allow_empty:
+                raise ValueError(f"Flow '{self.name}' produced no rows")
+            commit, plan = self._write(spark, table, records, keymap, state)
+            failed, path = 0, None
+            if self.target.operation in ("upsert", "merge", "delete"):
+                refused = staging.copy(plan.rejects)
+                failed = refused.count()
+                if failed:
+                    root = rejects_root or new_folder(spark, "rejects")
+                    path = write_rejects(refused, root, self.target.name, self.target.operation, job)
         return RunResult(job, self.target.name, self.target.operation, processed, failed, path, commit)
 
     def _write(self, spark: SparkSession, table: VersionedTable, staged: DataFrame, keymap: DataFrame | None,
@@ -113,18 +112,35 @@ def sync(spark: SparkSession, store: ObjectStore, config: ResourceConfig, table:
     together. It is read from the extracted rows, since the mapping may drop it.
     """
     state, cursor = table.state, config.replication_key
-    rows = extract(store, config, state.get("last_value") if cursor else None)
-    staged = _stage(spark, rows, f"extract-{config.name}")
-    moved = {}
-    if cursor:
-        value_type = rows.select(f"`{cursor}`").schema[0].dataType.simpleString()
-        moved = {"cursor_field": cursor, "value_type": value_type,
-                 "last_value": high_value(staged, cursor) or state.get("last_value")}
-    return Flow(config.name, staged, target, transforms).run(spark, table, staged=True, **moved)
-
-
-def _stage(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
-    """A copy of the rows in the shared folder; its row count comes from file footers."""
-    folder = new_folder(spark, purpose)
-    rows.write.parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder)
+    with Staging(spark) as staging:
+        rows = staging.copy(extract(store, config, state.get("last_value") if cursor else None))
+        moved = {}
+        if cursor:
+            value_type = rows.select(f"`{cursor}`").schema[0].dataType.simpleString()
+            moved = {"cursor_field": cursor, "value_type": value_type,
+                     "last_value": high_value(rows, cursor) or state.get("last_value")}
+        return Flow(config.name, rows, target, transforms).run(spark, table, staged=True, **moved)
+
+
+class Staging:
+    """Copies of rows in the shared folder for the length of a run.
+
+    A copy has an exact size and a row count in its file footers, and outlives
+    the executors that wrote it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._folders = spark, []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for folder in self._folders:
+            drop_folder(self._spark, folder)
+
+    def copy(self, rows: DataFrame) -> DataFrame:
+        folder = scratch_folder(self._spark, "staging")
+        self._folders.append(folder)
+        rows.write.parquet(folder)
+        return self._spark.read.schema(rows.schema).parquet(folder)

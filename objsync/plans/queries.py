@@ -25,7 +25,7 @@ from objsync.operators.joins import hot_keys
 from objsync.plans.flow import Flow, sync
 from objsync.plans.incremental import past_boundary
 from objsync.plans.store import VersionedTable
-from objsync.session import new_folder
+from objsync.session import scratch_folder
 from objsync.sources import files
 from objsync.sources.objects import (
     ObjectStore,
@@ -204,7 +204,7 @@ def normalize_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def normalize_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """CSV texts of 500 customer keys each, with a header line, back to records."""
+    """CSV texts with a header line, each of the lines of 500 customer keys, back to records."""
     columns = ["c_custkey", "c_name", "c_mktsegment"]
     lines = table(spark, sf, "customer").select(
         F.expr("c_custkey div 500").alias("chunk"), files.csv_line(columns).alias("line")
@@ -218,20 +218,20 @@ def normalize_chunks(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents")
-    folder = results.write_csv(documents, new_folder(spark, "csv"), batch_rows=results.BATCH_ROWS)
+    folder = results.write_csv(documents, scratch_folder(spark, "csv"), batch_rows=results.BATCH_ROWS)
     return mp.apply_types(files.read_csv(spark, folder, documents.columns), {"doc_id": "bigint", "n_chars": "bigint"})
 
 
 @query
 def csv_roundtrip_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages")
-    folder = results.write_csv(pages, new_folder(spark, "csv"), batch_rows=results.BATCH_ROWS)
+    folder = results.write_csv(pages, scratch_folder(spark, "csv"), batch_rows=results.BATCH_ROWS)
     return mp.apply_types(files.read_csv(spark, folder, pages.columns), {"page_id": "bigint"})
 
 
 @query
 def csv_checked_read(spark: SparkSession, sf: str) -> DataFrame:
-    folder = results.write_csv(table(spark, sf, "customer"), new_folder(spark, "csv"))
+    folder = results.write_csv(table(spark, sf, "customer"), scratch_folder(spark, "csv"))
     return files.checked_csv(spark, folder, multiline=False).agg(F.count("*").alias("n"))
 
 
@@ -655,7 +655,7 @@ def flow_prospects(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def flow_accounts(spark: SparkSession, sf: str) -> DataFrame:
     """Account records from CSV files, mapped leniently and upserted."""
-    folder = results.write_csv(table(spark, sf, "customer"), new_folder(spark, "csv"))
+    folder = results.write_csv(table(spark, sf, "customer"), scratch_folder(spark, "csv"))
     target = accounts(spark, sf).filter("c_mktsegment <> 'FURNITURE'").select(
         "Id", F.col("c_name").alias("ExternalId"), F.lit("000").alias("AccountNumber"), F.lit(0.0).alias("AnnualRevenue"),
         F.lit("n/a").alias("Phone"), F.col("c_mktsegment").alias("Industry"), F.lit("kept").alias("Rating"),
@@ -672,7 +672,7 @@ def flow_accounts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def flow_reset(spark: SparkSession, sf: str) -> DataFrame:
     """A reference table replaced as a whole, through two commits of a versioned table."""
-    parts = VersionedTable(spark, new_folder(spark, "tables"))
+    parts = VersionedTable(spark, scratch_folder(spark, "tables"))
     parts.append(table(spark, sf, "part").select(F.lit("old").alias("Name"), F.lit("old").alias("FixedCode"), F.col("p_type").alias("FixedText")))
     required = ["p_name", "p_brand", "p_type"]
     flow = Flow(
@@ -689,7 +689,7 @@ def flow_reset(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def flow_sync(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with their account's name merged into a bucketed table in two runs, the second past the cursor."""
-    store, target = objects(spark, sf), VersionedTable(spark, new_folder(spark, "tables"), ["order_id"], buckets=8)
+    store, target = objects(spark, sf), VersionedTable(spark, scratch_folder(spark, "tables"), ["order_id"], buckets=8)
     first = ObjectStore(
         lambda name: store.load(name).filter("o_orderdate < '1998-01-01'") if name == "orders" else store.load(name), PARENTS
     )
@@ -705,7 +705,7 @@ def flow_sync(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def flow_results(spark: SparkSession, sf: str) -> DataFrame:
     """The result row of a run that accepts some order lines and rejects others."""
-    lines = VersionedTable(spark, new_folder(spark, "tables"))
+    lines = VersionedTable(spark, scratch_folder(spark, "tables"))
     flow = Flow("lines", _doubled_lines(spark, sf).withColumn("line_key", F.concat_ws("-", "l_orderkey", "l_linenumber")),
                 TargetConfig("Line", "upsert", primary_key="line_key"))
     return flow.run(spark, lines).frame(spark).drop("job_id")
@@ -715,7 +715,7 @@ def flow_results(spark: SparkSession, sf: str) -> DataFrame:
 def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
     """The event feed drained into a table of users, each with its latest event."""
     schema = table(spark, sf, "events").schema
-    users = VersionedTable(spark, new_folder(spark, "tables"), ["user_id"], buckets=8)
+    users = VersionedTable(spark, scratch_folder(spark, "tables"), ["user_id"], buckets=8)
     feed = file_feed(spark, sf, schema, pattern="events.parquet")
-    start_sync(feed, users, ["ts", "event_id"], new_folder(spark, "stream")).awaitTermination()
+    start_sync(feed, users, ["ts", "event_id"], scratch_folder(spark, "stream")).awaitTermination()
     return users.read()

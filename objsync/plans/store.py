@@ -52,8 +52,7 @@ class VersionedTable:
         folder = self._hadoop.Path(f"{self.path}/_commits")
         if not self._files.exists(folder):
             return None
-        names = [s.getPath().getName() for s in self._files.listStatus(folder)]
-        names = [name for name in names if name.endswith(".json") and not name.startswith(".")]
+        names = [name for name in self._names(folder) if name.endswith(".json") and not name.startswith(".")]
         return self._load(max(names)) if names else None
 
     @property
@@ -89,6 +88,27 @@ class VersionedTable:
         gone = set(buckets)
         return self._commit(df, lambda old, new: tuple(f for f in old if f[0] not in gone) + new, state)
 
+    def expire(self, keep: int = 1) -> int:
+        """Delete the folders that none of the last ``keep`` versions names; returns how many.
+
+        Readers of older versions and unfinished writers must be gone.
+        """
+        folder = self._hadoop.Path(f"{self.path}/_commits")
+        names = sorted(name for name in self._names(folder) if name.endswith(".json") and not name.startswith("."))
+        named = {path for name in names[-max(keep, 1):] for _, path in self._load(name).folders}
+        written = [v for v in self._names(self._hadoop.Path(self.path)) if v.startswith("v=")]
+        dropped = 0
+        for version in written:
+            inner = [f"{version}/{b}" for b in self._names(self._hadoop.Path(f"{self.path}/{version}")) if b.startswith(f"{BUCKET}=")]
+            gone = [path for path in inner or [version] if path not in named]
+            for path in [version] if inner and len(gone) == len(inner) else gone:
+                self._files.delete(self._hadoop.Path(f"{self.path}/{path}"), True)
+            dropped += len(gone)
+        return dropped
+
+    def _names(self, folder) -> list[str]:
+        return [status.getPath().getName() for status in self._files.listStatus(folder)]
+
     def _bucket_of(self) -> Column:
         """The bucket by the key's text, so that an int and a bigint of one value agree."""
         texts = [F.col(key).cast("string") for key in self.keys]
@@ -112,9 +132,9 @@ class VersionedTable:
         # The rebalance splits an oversized bucket over several tasks and packs small ones.
         spread = df.withColumn(BUCKET, self._bucket_of()).hint("rebalance", F.col(BUCKET))
         spread.write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
-        names = [s.getPath().getName() for s in self._files.listStatus(self._hadoop.Path(f"{self.path}/{folder}"))]
+        names = sorted(self._names(self._hadoop.Path(f"{self.path}/{folder}")))
         return tuple(
-            (int(name.partition("=")[2]), f"{folder}/{name}") for name in sorted(names) if name.startswith(f"{BUCKET}=")
+            (int(name.partition("=")[2]), f"{folder}/{name}") for name in names if name.startswith(f"{BUCKET}=")
         )
 
     def _publish(self, commit: Commit) -> None:

@@ -64,5 +64,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder name below the shared folder; nothing is created yet."""
+    """A fresh folder name below the shared folder, for results to keep; nothing is created yet."""
     return f"{shared_folder(spark)}/objsync/{purpose}-{uuid.uuid4().hex}"
+
+
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder name for working data, which is deleted when the application ends."""
+    top, files = _hadoop_path(spark, new_folder(spark, purpose))
+    files.mkdirs(top)
+    files.deleteOnExit(top)
+    return f"{top.toString()}/data"
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder before the application ends."""
+    data, files = _hadoop_path(spark, folder)
+    files.delete(data.getParent(), True)
+
+
+def _hadoop_path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -1,9 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from objsync.config import ResourceConfig, TargetConfig
 from objsync.operators import mapping as mp
-from objsync.plans.flow import Flow, sync
+from objsync.plans.flow import Flow, Staging, sync
 from objsync.plans.incremental import state_frame
 from objsync.plans.store import VersionedTable
 from objsync.sources.objects import ObjectStore
@@ -153,3 +155,23 @@ def test_stream_over_many_files(spark, folder):
         start_sync(stream, table, ["t"], f"{folder}/checkpoint").awaitTermination()
     assert table.state["stream:sync"] == 2 and table.current().version == 3
     assert sorted(rows(table.read())) == [(u, 850 + u) for u in range(50)]
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_expire_keeps_what_the_last_version_names(spark, folder, buckets):
+    table = VersionedTable(spark, folder, ["id"] if buckets else (), buckets)
+    table.append(spark.range(100).withColumn("v", F.lit(0)))
+    merge = TargetConfig("t", "merge", primary_key="id")
+    for n in (1, 2):
+        Flow("t", spark.range(1).withColumn("v", F.lit(n)), merge).run(spark, table)
+    assert table.expire() == 2 and table.expire() == 0
+    assert table.read().count() == 100 and table.read().filter("v = 2").count() == 1
+
+
+def test_staged_copies_are_gone_after_a_run(spark, folder):
+    with Staging(spark) as staging:
+        copy = staging.copy(spark.range(5))
+        assert copy.count() == 5
+        kept = copy.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(kept)
+    assert not os.path.exists(kept)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
 from objsync.functions.rules import check_name
 
+# Accepted words of a description, the first disposition being the default.
 DISPOSITIONS = ("append", "replace", "merge")
 OPERATIONS = ("insert", "upsert", "delete", "replace")
+REQUIRED = ("name", "object", "primary_key")
 
 
 @dataclass(frozen=True)
@@ -54,28 +56,32 @@ class ResourceConfig:
 
 
 def validate_resources(configs: Iterable[Mapping[str, Any] | ResourceConfig]) -> list[ResourceConfig]:
-    """Check every description and return them as ``ResourceConfig``; errors name the index."""
-    configs = list(configs)
-    if not configs:
-        raise ValueError("At least one resource configuration is required")
-    return [_validate_resource(i, config) for i, config in enumerate(configs)]
-
-
-def _validate_resource(index: int, config: Mapping[str, Any] | ResourceConfig) -> ResourceConfig:
-    raw = vars(config) if isinstance(config, ResourceConfig) else config
-    missing = [name for name in ("name", "primary_key", "object") if not raw.get(name)]
-    if missing:
-        raise ValueError(f"Config {index} missing required fields: {', '.join(missing)}")
-    if not isinstance(raw.get("fields", []), (list, tuple)):
-        raise ValueError(f"Config {index}: 'fields' must be a list")
-    if raw.get("write_disposition", "append") not in DISPOSITIONS:
-        raise ValueError(f"Config {index}: 'write_disposition' must be one of {list(DISPOSITIONS)}")
-    cursor, fields = raw.get("replication_key"), raw.get("fields")
-    if cursor and fields and cursor not in fields:
-        raise ValueError(
-            f"Config {index}: replication_key '{cursor}' must exist in fields list"
-        )
-    return config if isinstance(config, ResourceConfig) else ResourceConfig.from_dict(config)
+    """Check every description and return them as ``ResourceConfig``.
+
+    One error lists all faults of all descriptions, each with its position.
+    """
+    given = list(configs)
+    if not given:
+        raise ValueError("No resource is described")
+    faults = [f"resource {n}: {fault}" for n, config in enumerate(given) for fault in _faults(config)]
+    if faults:
+        raise ValueError("; ".join(faults))
+    return [config if isinstance(config, ResourceConfig) else ResourceConfig.from_dict(config) for config in given]
+
+
+def _faults(config: Mapping[str, Any] | ResourceConfig) -> Iterator[str]:
+    values = vars(config) if isinstance(config, ResourceConfig) else config
+    for name in REQUIRED:
+        if not values.get(name):
+            yield f"no {name}"
+    fields, cursor = values.get("fields", ()), values.get("replication_key")
+    if not isinstance(fields, (list, tuple)):
+        yield "fields is not a list"
+    elif fields and cursor and cursor not in fields:
+        yield f"cursor {cursor} is not among the fields"
+    disposition = values.get("write_disposition", DISPOSITIONS[0])
+    if disposition not in DISPOSITIONS:
+        yield f"write_disposition {disposition} is not one of {', '.join(DISPOSITIONS)}"
 
 
 @dataclass(frozen=True)
@@ -103,7 +109,7 @@ class TargetConfig:
     def external_key(self) -> str:
         """The one key column of an upsert or delete: the first of a list, never dotted."""
         if not self.keys:
-            raise ValueError(f"'{self.operation}' on '{self.name}' needs a primary key")
+            raise ValueError(f"Target '{self.name}': {self.operation} needs a key")
         return check_name(self.keys[0], dotted=False)
 
     @property
@@ -112,42 +118,28 @@ class TargetConfig:
 
     @classmethod
     def from_hints(cls, hints: Mapping[str, Any], **options: Any) -> TargetConfig:
-        """Resolve table hints (name, disposition, operation, key or flagged columns)."""
-        name = hints.get("name")
+        """From table hints: name, disposition, operation, and a key or flagged key columns.
+
+        The dispositions replace and merge fix the operation; append must name one.
+        """
+        name, disposition, hinted = (hints.get(word) for word in ("name", "write_disposition", "operation"))
         if not name:
-            raise ValueError("The target object name must be defined")
-        disposition = hints.get("write_disposition")
-        return cls(
-            name=name,
-            operation=_operation(name, disposition, hints.get("operation")),
-            write_disposition=disposition,
-            primary_key=_primary_key(hints),
-            **options,
-        )
+            raise ValueError("The target has no name")
+        if disposition not in DISPOSITIONS:
+            raise ValueError(f"Target '{name}': unknown write_disposition {disposition}")
+        if disposition == "append" and hinted not in OPERATIONS:
+            raise ValueError(f"Target '{name}': append needs an operation out of {', '.join(OPERATIONS)}, not {hinted}")
+        operation = hinted if disposition == "append" else disposition
+        return cls(name, operation, disposition, _declared_key(hints) or _flagged_key(hints), **options)
+
+
+def _declared_key(hints: Mapping[str, Any]) -> str | tuple[str, ...] | None:
+    """The key of the table hints, as given."""
+    key = hints.get("primary_key")
+    return key if not key or isinstance(key, str) else tuple(key)
 
 
-def _primary_key(hints: Mapping[str, Any]) -> str | tuple[str, ...] | None:
-    """Table-level key first and as given; else the flagged columns, one alone as text."""
-    declared = hints.get("primary_key")
-    if declared:
-        return declared if isinstance(declared, str) else tuple(declared)
-    flagged = tuple(
-        column for column, spec in (hints.get("columns") or {}).items() if spec.get("primary_key") is True
-    )
-    if not flagged:
-        return None
-    return flagged[0] if len(flagged) == 1 else flagged
-
-
-def _operation(name: str, disposition: str | None, hint: str | None) -> str:
-    if disposition == "replace":
-        return "replace"
-    if disposition == "merge":
-        return "merge"
-    if disposition != "append":
-        raise ValueError(f"Unsupported write_disposition: {disposition}")
-    if not hint:
-        raise ValueError(f"An operation is required for 'append' disposition on table '{name}'")
-    if hint not in OPERATIONS:
-        raise ValueError(f"Invalid operation '{hint}'. Supported operations: {list(OPERATIONS)}")
-    return hint
+def _flagged_key(hints: Mapping[str, Any]) -> str | tuple[str, ...] | None:
+    """The columns flagged as key: one alone as text, several together."""
+    flagged = [column for column, hint in (hints.get("columns") or {}).items() if hint.get("primary_key") is True]
+    return tuple(flagged) if len(flagged) > 1 else next(iter(flagged), None)

@@ -92,11 +92,11 @@ def all_names_ok(names: Column, dotted: bool = True) -> Column:
 def check_name(name: str, dotted: bool = True) -> str:
     """Driver-side guard for a name from a configuration."""
     if not name:
-        raise ValueError("Name cannot be empty")
+        raise ValueError("A name is empty")
     shape = DOTTED_NAME_PATTERN if dotted else NAME_PATTERN
     if not re.match(shape.replace(r"\z", r"\Z"), name):
-        raise ValueError(f"Invalid name: {name}")
+        raise ValueError(f"Not a name: {name}")
     refused = re.search(REFUSED_PATTERN, name, re.IGNORECASE)
     if refused:
-        raise ValueError(f"Disallowed keyword in name: {refused.group(0).upper()}")
+        raise ValueError(f"A name must not be {refused.group(0).upper()}")
     return name

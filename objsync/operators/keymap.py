@@ -98,7 +98,7 @@ def _match(df: DataFrame, keymap: DataFrame, lookup: str, unique: bool, hot: lis
         ids = keymap.select(F.col(KEY).alias("_key"), F.col(ID).alias("_id"))
         return lookup_join(rows, ids, "_key", hot=hot)
     ids = keymap.groupBy(F.col(KEY).alias("_key")).agg(F.min(ID).alias("_first"), F.max(ID).alias("_last"))
-    several = F.raise_error(F.concat(F.lit("Multiple Ids found for key "), "_key"))
+    several = F.raise_error(F.concat(F.lit("More than one Id for key "), "_key"))
     one = F.when(F.col("_first") != F.col("_last"), several).otherwise(F.col("_first"))
     return lookup_join(rows, ids, "_key", hot=hot).withColumn("_id", one).drop("_first", "_last")
 

@@ -53,7 +53,7 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     present = {name.lower() for name in df.columns}
     missing = [name for name in names if name.lower() not in present]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"Columns not found: {missing}")
     return df
 
 

@@ -203,4 +203,4 @@ def plan_write(target: DataFrame, batch: DataFrame, config: TargetConfig,
     if config.operation == "delete":
         key = config.external_key
         return delete_by_key(target, batch, key, build_keymap(target, ID, key) if keymap is None else keymap)
-    raise ValueError(f"Unsupported operation '{config.operation}' for table '{config.name}'")
+    raise ValueError(f"Target '{config.name}': no such operation as '{config.operation}'")

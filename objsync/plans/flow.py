@@ -94,14 +94,14 @@ class Flow:
         if self.target.operation == "replace":
             target = replace(self.target, evolve=self.target.evolve or base is None)
             plan = plan_write(whole, staged, target)
-            return table.replace(plan.table, **state), plan
+            return table.replace(plan.table, base=base, **state), plan
         # Keys live in one bucket each, so an update by those keys needs only the touched ones.
         matched_on = {"upsert": self.target.keys[:1], "merge": self.target.keys}.get(self.target.operation)
         by_bucket = matched_on is not None and list(matched_on) == table.keys
         touched = table.touched(staged) if by_bucket and base else None
         affected = table.read(touched, base) if base else empty
         plan = plan_write(affected, staged, self.target, keymap)
-        return table.replace(plan.table, touched, **state), plan
+        return table.replace(plan.table, touched, base, **state), plan
 
 
 def sync(spark: SparkSession, store: ObjectStore, config: ResourceConfig, table: VersionedTable,

@@ -80,7 +80,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'open_orders', count(*) FROM orders
           WHERE o_orderstatus = 'O' AND o_orderdate > TIMESTAMP '1998-01-01'
         UNION ALL SELECT 'lines', count(*) FROM lineitem""",
-    "row_counts_total": f"""
+    "row_counts": f"""
         WITH c AS ({_counts(_TABLES)}) SELECT resource, n FROM c
         UNION ALL SELECT 'total', sum(n)::bigint FROM c""",
     "incremental_watermark": """

@@ -27,6 +27,7 @@ from objsync.plans.incremental import past_boundary
 from objsync.plans.store import VersionedTable
 from objsync.session import scratch_folder
 from objsync.sources import files
+from objsync.sources import objects as ob
 from objsync.sources.objects import (
     ObjectStore,
     Parent,
@@ -34,7 +35,6 @@ from objsync.sources.objects import (
     extract_all,
     file_store,
     high_values,
-    row_counts,
 )
 from objsync.streaming.sync import file_feed, start_sync
 
@@ -165,12 +165,12 @@ def extract_all_counts(spark: SparkSession, sf: str) -> DataFrame:
         {"name": "lines", "object": "lineitem", "primary_key": ["l_orderkey", "l_linenumber"],
          "fields": ["l_orderkey", "l_linenumber"]},
     ]
-    return row_counts(extract_all(objects(spark, sf), configs, {"open_orders": LAST_SEEN}))
+    return ob.row_counts(extract_all(objects(spark, sf), configs, {"open_orders": LAST_SEEN}))
 
 
 @query
-def row_counts_total(spark: SparkSession, sf: str) -> DataFrame:
-    return row_counts({name: table(spark, sf, name) for name in TABLES}, total="total")
+def row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return ob.row_counts({name: table(spark, sf, name) for name in TABLES}, total="total")
 
 
 @query

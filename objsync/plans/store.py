@@ -79,14 +79,20 @@ class VersionedTable:
 
     def append(self, df: DataFrame, **state: Any) -> Commit:
         """Add rows beside the present ones."""
-        return self._commit(df, lambda old, new: old + new, state)
+        return self._commit(self.current(), df, lambda old, new: old + new, state)
 
-    def replace(self, df: DataFrame, buckets: Iterable[int] | None = None, **state: Any) -> Commit:
-        """Make these rows the whole table, or the whole of some buckets."""
+    def replace(self, df: DataFrame, buckets: Iterable[int] | None = None, base: Commit | None = None,
+                **state: Any) -> Commit:
+        """Make these rows the whole table, or the whole of some buckets.
+
+        ``base`` is the version the rows were made from; if another one has been
+        committed since, the commit is refused, so no update gets lost.
+        """
+        base = base or self.current()
         if buckets is None:
-            return self._commit(df, lambda old, new: new, state)
+            return self._commit(base, df, lambda old, new: new, state)
         gone = set(buckets)
-        return self._commit(df, lambda old, new: tuple(f for f in old if f[0] not in gone) + new, state)
+        return self._commit(base, df, lambda old, new: tuple(f for f in old if f[0] not in gone) + new, state)
 
     def expire(self, keep: int = 1) -> int:
         """Delete the folders that none of the last ``keep`` versions names; returns how many.
@@ -114,8 +120,7 @@ class VersionedTable:
         texts = [F.col(key).cast("string") for key in self.keys]
         return F.pmod(F.xxhash64(*texts), F.lit(self.buckets)).cast("int").alias(BUCKET)
 
-    def _commit(self, df: DataFrame, arrange, state: dict[str, Any]) -> Commit:
-        base = self.current()
+    def _commit(self, base: Commit | None, df: DataFrame, arrange, state: dict[str, Any]) -> Commit:
         version = base.version + 1 if base else 1
         folder = f"v={version}-{uuid.uuid4().hex}"
         folders = arrange(base.folders if base else (), self._write(df, folder))

@@ -43,17 +43,17 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, c
 def checked_csv(spark: SparkSession, path: str | None, **options) -> DataFrame:
     """``read_csv`` after checking that the path is given, exists, and holds bytes and rows."""
     if not path:
-        raise ValueError("No CSV path was given")
+        raise ValueError("No CSV path")
     glob = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = glob.getFileSystem(spark._jsc.hadoopConfiguration())
     found = files.globStatus(glob)
     if not found:
-        raise FileNotFoundError(f"CSV file not found: {path}")
+        raise FileNotFoundError(f"No CSV at {path}")
     if sum(files.getContentSummary(status.getPath()).getLength() for status in found) == 0:
-        raise ValueError(f"CSV file is empty: {path}")
+        raise ValueError(f"CSV without content: {path}")
     rows = read_csv(spark, path, **options)
     if rows.isEmpty():
-        raise ValueError(f"CSV file has no data rows: {path}")
+        raise ValueError(f"CSV without records: {path}")
     return rows
 
 

@@ -78,7 +78,7 @@ def extract(store: ObjectStore, config: ResourceConfig, last_value: Any = None)
     because a sort no limit follows would be a full shuffle for nothing.
     """
     if not config.fields:
-        raise ValueError("Fields list cannot be empty")
+        raise ValueError(f"Resource '{config.name}' selects no fields")
     rows = with_parents(store, config.object, [check_name(f) for f in (*config.fields, *config.filter_fields)])
     if config.query_filter is not None and not _is_blank(config.query_filter):
         rows = rows.filter(config.query_filter)

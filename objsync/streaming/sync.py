@@ -37,7 +37,7 @@ def apply_changes(table: VersionedTable, changes: DataFrame, batch_id: int, stre
     try:
         touched = table.touched(latest)
         merged = merge_latest(table.read(touched, base), latest, table.keys, order_by)
-        table.replace(merged, touched, **{applied: batch_id})
+        table.replace(merged, touched, base, **{applied: batch_id})
     finally:
         latest.unpersist()
     return True

@@ -14,21 +14,21 @@ def test_valid_configs_keep_order():
 
 
 def test_no_configs():
-    with pytest.raises(ValueError, match="At least one"):
+    with pytest.raises(ValueError, match="No resource"):
         validate_resources([])
 
 
 @pytest.mark.parametrize("missing", ["name", "primary_key", "object"])
 def test_missing_field_names_the_index(missing):
     bad = {k: v for k, v in GOOD.items() if k != missing}
-    with pytest.raises(ValueError, match=f"Config 1 missing required fields: {missing}"):
+    with pytest.raises(ValueError, match=f"resource 1: no {missing}"):
         validate_resources([GOOD, bad])
 
 
 @pytest.mark.parametrize("change, message", [
-    ({"fields": "Id"}, "'fields' must be a list"),
-    ({"write_disposition": "update"}, "'write_disposition' must be one of"),
-    ({"replication_key": "CreatedDate"}, "must exist in fields list"),
+    ({"fields": "Id"}, "fields is not a list"),
+    ({"write_disposition": "update"}, "write_disposition update is not one of"),
+    ({"replication_key": "CreatedDate"}, "is not among the fields"),
 ])
 def test_bad_structure(change, message):
     with pytest.raises(ValueError, match=message):
@@ -64,12 +64,12 @@ def test_merge_is_a_keyed_upsert():
 
 
 @pytest.mark.parametrize("changes, message", [
-    ({"name": None}, "must be defined"),
-    ({"operation": None}, "operation is required"),
-    ({"operation": "update"}, "Invalid operation"),
-    ({"operation": "UPSERT"}, "Invalid operation"),
-    ({"write_disposition": "skip"}, "Unsupported write_disposition"),
-    ({"write_disposition": None}, "Unsupported write_disposition"),
+    ({"name": None}, "has no name"),
+    ({"operation": None}, "append needs an operation"),
+    ({"operation": "update"}, "append needs an operation"),
+    ({"operation": "UPSERT"}, "append needs an operation"),
+    ({"write_disposition": "skip"}, "unknown write_disposition"),
+    ({"write_disposition": None}, "unknown write_disposition"),
 ])
 def test_refused_hints(changes, message):
     with pytest.raises(ValueError, match=message):
@@ -91,9 +91,9 @@ def test_primary_key_resolution(given, resolved):
 
 def test_external_key_is_the_first_and_never_dotted():
     assert TargetConfig("Account", "upsert", primary_key=("ExternalId__c", "Email")).external_key == "ExternalId__c"
-    with pytest.raises(ValueError, match="Invalid name"):
+    with pytest.raises(ValueError, match="Not a name"):
         TargetConfig("Account", "upsert", primary_key="Owner.Email").external_key
-    with pytest.raises(ValueError, match="needs a primary key"):
+    with pytest.raises(ValueError, match="needs a key"):
         TargetConfig("Account", "upsert").external_key
 
 

@@ -41,6 +41,15 @@ def test_second_commit_of_a_version_is_refused(spark, folder):
     assert table.current().version == 1
 
 
+def test_an_update_of_an_outdated_version_is_refused(spark, folder):
+    table = VersionedTable(spark, folder)
+    base = table.append(frame(spark, ("a", 1)))
+    table.append(frame(spark, ("b", 2)))
+    with pytest.raises(Exception, match="already exists"):
+        table.replace(table.read(at=base).withColumn("v", F.lit(9)), base=base)
+    assert rows(table.read()) == [("a", 1), ("b", 2)]
+
+
 def test_failed_write_commits_nothing(spark, folder):
     table = VersionedTable(spark, folder)
     table.append(frame(spark, ("a", 1)))

@@ -80,7 +80,7 @@ def test_unresolved_report_counts_rows(accounts, contacts):
 def test_ambiguous_key_fails_only_when_used(spark, contacts):
     keymap = spark.createDataFrame([("1", "ACC1"), ("2", "ACC1"), ("3", "ACC2")], "Id string, key string")
     assert rows(km.ambiguous_keys(keymap)) == [("ACC1", 2, "1", "2")]
-    with pytest.raises(Exception, match="Multiple Ids found for key ACC1"):
+    with pytest.raises(Exception, match="More than one Id for key ACC1"):
         km.resolve_keys(contacts, keymap, "acc").collect()
     assert km.resolve_keys(contacts.filter("acc = 'ACC2'"), keymap, "acc").first().acc == "3"
 

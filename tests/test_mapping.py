@@ -18,7 +18,7 @@ def test_one_source_to_two_outputs_and_pruning(people):
 
 
 def test_missing_column_strict_and_lenient(people):
-    with pytest.raises(ValueError, match=r"Missing required columns: \['Phone'\]"):
+    with pytest.raises(ValueError, match=r"Columns not found: \['Phone'\]"):
         mp.map_columns(people, {"Phone": "Phone"})
     assert rows(mp.map_columns(people, {"Phone": "Phone", "F": "firstname"}, strict=False)) == [(None, "Ann"), (None, "Bob")]
 

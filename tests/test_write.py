@@ -70,7 +70,7 @@ def test_upsert_keep_last(spark, target):
         write.upsert(target, batch, "ext", on_duplicate="first", evolve=True)
     with pytest.raises(ValueError, match="null_policy"):
         write.upsert(target, batch, "ext", null_policy="drop", evolve=True)
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="Columns not found"):
         write.upsert(target, batch, "nokey", evolve=True)
 
 
@@ -118,14 +118,14 @@ def test_dispatch(spark, target):
 
 @pytest.mark.parametrize("operation", ["update", "UPSERT", ""])
 def test_dispatch_refuses(target, operation):
-    with pytest.raises(ValueError, match="Unsupported operation"):
+    with pytest.raises(ValueError, match="no such operation"):
         write.plan_write(target, target, config(operation, "ext"))
 
 
 def test_dispatch_needs_a_plain_key(target):
-    with pytest.raises(ValueError, match="Invalid name"):
+    with pytest.raises(ValueError, match="Not a name"):
         write.plan_write(target, target, config("upsert", "Owner.Email"))
-    with pytest.raises(ValueError, match="needs a primary key"):
+    with pytest.raises(ValueError, match="needs a key"):
         write.plan_write(target, target, config("delete"))
 
 

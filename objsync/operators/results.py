@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,7 @@ from objsync.sources.files import CSV_OPTIONS
 REQUIRED_MISSING = "REQUIRED_FIELD_MISSING"
 DUPLICATE = "DUPLICATE_VALUE"
 DUPLICATE_TARGET = "DUPLICATE_EXTERNAL_ID"
+NOT_FOUND = "ENTITY_NOT_FOUND"
 BATCH_ROWS = 10_000
 
 
@@ -95,6 +97,23 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, ba
     return path
 
 
+def csv_texts(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """(body): the rows as CSV texts with header, each of at most ``batch_rows`` rows; NULL is blank.
+
+    A text is made from one Arrow batch, so nothing is grouped or shuffled. Values
+    become text before they reach Python, where a NULL would turn integers into floats.
+    """
+    flat = flatten(df)
+    texts = flat.select(*(F.col(f"`{name}`").cast("string").alias(name) for name in flat.columns))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts = (batch.iloc[n : n + batch_rows] for n in range(0, len(batch), batch_rows))
+            yield pd.DataFrame({"body": [part.to_csv(index=False) for part in parts]}, dtype=object)
+
+    return texts.mapInPandas(write, "body string")
+
+
 def write_rejects(rejects: DataFrame, root: str, target: str, operation: str, run: str) -> str:
     """Rejected rows as CSV in a folder named by object, operation and run."""
     return write_csv(rejects, f"{root}/object={target}/operation={operation}/run={run}")

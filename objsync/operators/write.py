@@ -22,6 +22,7 @@ from objsync.operators.keymap import ID, KEY, build_keymap
 from objsync.operators.mapping import spelled
 
 NULL_POLICIES = ("overwrite", "keep")
+KEY_TEXT = "_key_text"
 DUPLICATE_POLICIES = ("reject", "keep_last")
 
 
@@ -163,21 +164,26 @@ def delete_by_id(target: DataFrame, ids: DataFrame, id_column: str = ID) -> Writ
     return WritePlan(table, doomed, results.without_rows(ids))
 
 
-def delete_by_key(target: DataFrame, batch: DataFrame, key: str, keymap: DataFrame,
+def delete_by_key(target: DataFrame, batch: DataFrame, key: str, keymap: DataFrame | None = None,
                   id_column: str = ID) -> WritePlan:
     """Remove the rows whose business key resolves to an id.
 
     Only ids from the map are ever removed: an unresolved value cannot be taken
     for an id, whatever it looks like. Unresolved keys are reported as rejects.
+    Without a map the target is its own, and its rows are matched by the key at
+    once, without the way through their ids.
     """
     wanted = distinct_keys(batch.select(F.col(key).cast("string").alias(KEY)), KEY)
-    doomed = keymap.join(wanted, KEY, "left_semi").select(F.col(ID).alias(id_column)).distinct()
-    unresolved = wanted.join(keymap.select(KEY), KEY, "left_anti").select(F.col(KEY).alias(key))
-    return WritePlan(
-        target.join(doomed, id_column, "left_anti").select(*target.columns),
-        doomed,
-        results.with_error(unresolved, "ENTITY_NOT_FOUND", f"No record found for: {key}"),
-    )
+    known = build_keymap(target, id_column, key) if keymap is None else keymap
+    doomed = known.join(wanted, KEY, "left_semi").select(F.col(ID).alias(id_column)).distinct()
+    if keymap is None:
+        texts = target.withColumn(KEY_TEXT, F.col(key).cast("string"))
+        table = texts.join(wanted.withColumnRenamed(KEY, KEY_TEXT), KEY_TEXT, "left_anti").select(*target.columns)
+    else:
+        table = target.join(doomed, id_column, "left_anti").select(*target.columns)
+    unresolved = wanted.join(known.select(KEY), KEY, "left_anti").select(F.col(KEY).alias(key))
+    rejects = results.with_error(unresolved, results.NOT_FOUND, f"No record found for: {key}")
+    return WritePlan(table, doomed, rejects)
 
 
 def _check_columns(target: DataFrame, batch: DataFrame, evolve: bool) -> None:
@@ -201,6 +207,5 @@ def plan_write(target: DataFrame, batch: DataFrame, config: TargetConfig,
     if config.operation == "delete" and config.keyed_by_id:
         return delete_by_id(target, batch, config.keys[0])
     if config.operation == "delete":
-        key = config.external_key
-        return delete_by_key(target, batch, key, build_keymap(target, ID, key) if keymap is None else keymap)
+        return delete_by_key(target, batch, config.external_key, keymap)
     raise ValueError(f"Target '{config.name}': no such operation as '{config.operation}'")

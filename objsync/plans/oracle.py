@@ -92,7 +92,7 @@ ORACLE: dict[str, str] = {
         AND NOT EXISTS (SELECT 1 FROM orders h WHERE h.o_orderkey = o.o_orderkey
                         AND h.o_orderdate <= TIMESTAMP '1998-01-01' AND h.o_orderstatus <> 'P')""",
     "normalize_csv": "SELECT * FROM customer",
-    "normalize_chunks": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
+    "normalize_chunks": "SELECT * FROM pages",
     "csv_roundtrip": "SELECT * FROM documents",
     "csv_roundtrip_pages": "SELECT * FROM pages",
     "csv_checked_read": "SELECT count(*) AS n FROM customer",

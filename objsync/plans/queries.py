@@ -204,15 +204,10 @@ def normalize_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def normalize_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """CSV texts with a header line, each of the lines of 500 customer keys, back to records."""
-    columns = ["c_custkey", "c_name", "c_mktsegment"]
-    lines = table(spark, sf, "customer").select(
-        F.expr("c_custkey div 500").alias("chunk"), files.csv_line(columns).alias("line")
-    )
-    body = F.concat_ws("\n", F.lit(",".join(columns)), F.collect_list("line"))
-    chunks = lines.groupBy("chunk").agg(body.alias("body"))
-    records = files.normalize_chunks(chunks, "body", columns)
-    return mp.apply_types(records, {"c_custkey": "bigint"})
+    """Pages as CSV texts of at most 100 records under a header, and back to records."""
+    pages = table(spark, sf, "pages")
+    records = files.normalize_chunks(results.csv_texts(pages, 100), "body", pages.columns)
+    return mp.apply_types(records, {"page_id": "bigint"})
 
 
 @query

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from objsync.operators.mapping import exclude_value
-from objsync.operators.results import write_csv
+from objsync.operators.results import csv_texts, write_csv
 from objsync.sources import files
 from tests.conftest import rows
 
@@ -69,6 +69,15 @@ def test_csv_line_and_back(spark):
     assert rows(back) == sorted(data, key=repr)
 
 
+def test_batches_as_texts_and_back(spark):
+    data = [(n, None if n % 2 else f'v "{n}",\nx', n * 0.5) for n in range(25)]
+    df = spark.createDataFrame(data, "n int, s string, d double").coalesce(1)
+    texts = csv_texts(df, 10)
+    assert texts.count() == 3 and all(r.body.startswith("n,s,d\n") for r in texts.collect())
+    back = files.normalize_chunks(texts, "body", ["n", "s", "d"])
+    assert rows(back) == sorted(((str(n), s, str(d)) for n, s, d in data), key=repr)
+
+
 def test_written_csv_batches(spark, folder):
     df = spark.range(25).coalesce(1).select("id", F.struct(F.lit("x").alias("a")).alias("s"))
     path = write_csv(df, f"{folder}/out", batch_rows=10)

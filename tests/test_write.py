@@ -91,6 +91,14 @@ def test_delete_by_key_two_of_three(spark, target):
     assert [(r.ext, r.error_code) for r in plan.rejects.collect()] == [("EXT003", "ENTITY_NOT_FOUND")]
 
 
+def test_delete_by_key_of_the_target_itself(spark, target):
+    batch = spark.createDataFrame([("D",), ("A",), ("zz",), (None,)], "ext string")
+    plan = write.delete_by_key(target, batch, "ext")
+    assert sorted(r.Id for r in plan.accepted.collect()) == ["001", "004", "005"]
+    assert sorted(r.Id for r in plan.table.collect()) == ["002", "003", "006"]
+    assert [r.ext for r in plan.rejects.collect()] == ["zz"]
+
+
 def test_delete_by_key_never_takes_a_key_for_an_id(spark, target):
     """Keys that look like ids of real rows, and a map that knows none of them."""
     keymap = spark.createDataFrame([], "Id string, key string")

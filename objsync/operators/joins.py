@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ SALT = "_salt"
 
 def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     """The distinct keys in which no part is NULL; combined before the shuffle."""
-    return df.select(*keys).dropna().distinct()
+    filled = reduce(lambda rows, key: rows.filter(F.col(key).isNotNull()), keys, df)
+    return filled.select(*keys).distinct()
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01, tracked: int = 10_000) -> list:

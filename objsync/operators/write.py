@@ -71,7 +71,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: str | Sequence[str], null_
     full_rows = null_policy == "overwrite" and {n.lower() for n in target.columns} <= {n.lower() for n in batch.columns}
     keyed = results.filled_rows(batch, keys)
     once = _one_row_per_key(keyed, keys, on_duplicate, order_by)
-    status = _key_status(None if target_unique and full_rows else target, once, keys)
+    given = _given_keys(keyed, keys, on_duplicate)
+    status = _key_status(None if target_unique and full_rows else target, given, keys)
     marked = once.join(status, keys).select(*(F.col(n) for n in batch.columns), "_given", "_held")
     accepted = marked.filter("_given = 1 AND _held <= 1")
     refused = marked.filter("_given > 1 OR _held > 1")
@@ -104,14 +105,19 @@ def _one_row_per_key(keyed: DataFrame, keys: list[str], on_duplicate: str, order
     return keep_last(keyed, keys, list(order_by))
 
 
-def _key_status(target: DataFrame | None, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Per batch key, how often the batch (``_given``) and the target (``_held``) have it.
+def _given_keys(keyed: DataFrame, keys: list[str], on_duplicate: str) -> DataFrame:
+    """Per batch key, how often it counts (``_given``): once, if only its last row is kept."""
+    times = F.count("*") if on_duplicate == "reject" else F.lit(1).cast("long")
+    return keyed.groupBy(*keys).agg(times.alias("_given"))
+
+
+def _key_status(target: DataFrame | None, given: DataFrame, keys: list[str]) -> DataFrame:
+    """The given keys with how often the target has each (``_held``).
 
     Only key columns are read, and the batch keys cut the target keys down
     before they are counted; a key that repeats in the batch is refused anyway,
     so its target rows are not looked for. Without a target nothing is held.
     """
-    given = batch.groupBy(*keys).agg(F.count("*").alias("_given"))
     if target is None:
         return given.withColumn("_held", F.lit(0).cast("long"))
     held = target.select(*keys).join(given.filter("_given = 1"), keys, "left_semi")

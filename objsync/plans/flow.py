@@ -76,11 +76,10 @@ class Flow:
             commit, plan = self._write(spark, table, records, keymap, state)
             failed, path = 0, None
             if self.target.operation in ("upsert", "merge", "delete"):
-                refused = staging.copy(plan.rejects)
-                failed = refused.count()
+                failed = plan.rejects.count()  # from key columns; the rows are read only if there are any
                 if failed:
                     root = rejects_root or new_folder(spark, "rejects")
-                    path = write_rejects(refused, root, self.target.name, self.target.operation, job)
+                    path = write_rejects(plan.rejects, root, self.target.name, self.target.operation, job)
         return RunResult(job, self.target.name, self.target.operation, processed, failed, path, commit)
 
     def _write(self, spark: SparkSession, table: VersionedTable, staged: DataFrame, keymap: DataFrame | None,

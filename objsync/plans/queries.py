@@ -703,7 +703,7 @@ def flow_results(spark: SparkSession, sf: str) -> DataFrame:
     lines = VersionedTable(spark, scratch_folder(spark, "tables"))
     flow = Flow("lines", _doubled_lines(spark, sf).withColumn("line_key", F.concat_ws("-", "l_orderkey", "l_linenumber")),
                 TargetConfig("Line", "upsert", primary_key="line_key"))
-    return flow.run(spark, lines).frame(spark).drop("job_id")
+    return flow.run(spark, lines, rejects_root=scratch_folder(spark, "rejects")).frame(spark).drop("job_id")
 
 
 @query

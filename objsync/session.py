@@ -26,10 +26,17 @@ SETTINGS = {
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+def tune(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Apply the runtime settings to an existing session.
+
+    ``shuffle_partitions`` is the number a shuffle starts with, which adaptive
+    execution then reduces to the data at hand: choose it for the largest shuffle,
+    about one per 128 MB.
+    """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffle_partitions)
     return spark
 
 

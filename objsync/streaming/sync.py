@@ -11,6 +11,10 @@ from objsync.operators.dedup import keep_last
 from objsync.plans.store import VersionedTable
 
 
+# The property under which Spark tells a micro-batch the id that its checkpoint keeps.
+QUERY_ID = "sql.streaming.queryId"
+
+
 def merge_latest(target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The target after changes that have one row per key: the later row by ``order_by`` stays.
 
@@ -43,16 +47,18 @@ def apply_changes(table: VersionedTable, changes: DataFrame, batch_id: int, stre
     return True
 
 
-def start_sync(feed: DataFrame, table: VersionedTable, order_by: Sequence[str], checkpoint: str, stream: str = "sync",
+def start_sync(feed: DataFrame, table: VersionedTable, order_by: Sequence[str], checkpoint: str,
                continuous: str | None = None) -> StreamingQuery:
     """Drain what is there (or keep running every ``continuous`` interval) with exactly-once effect.
 
     The target table is the only state, so no watermark is needed and a change
     may be as late as it likes. Limit the files per trigger on the feed to bound
-    a micro-batch.
+    a micro-batch. Batches are numbered per checkpoint: with a new one the feed
+    is drained again, which changes nothing that was already merged.
     """
 
     def apply(changes: DataFrame, batch_id: int) -> None:
+        stream = changes.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
         apply_changes(table, changes, batch_id, stream, order_by)
 
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}

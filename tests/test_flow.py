@@ -159,11 +159,13 @@ def test_stream_over_many_files(spark, folder):
     feed = spark.range(0, 900, 1, 9).select((F.col("id") % 50).alias("user"), F.col("id").alias("t"))
     feed.write.parquet(f"{folder}/in")
     table = VersionedTable(spark, f"{folder}/t", ["user"], 4)
-    for _ in range(2):  # the second start finds nothing new
+    versions = []
+    for checkpoint in ("one", "one", "two"):  # the second start finds nothing new, the third starts over
         stream = file_feed(spark, f"{folder}/in", feed.schema, files_per_trigger=3)
-        start_sync(stream, table, ["t"], f"{folder}/checkpoint").awaitTermination()
-    assert table.state["stream:sync"] == 2 and table.current().version == 3
-    assert sorted(rows(table.read())) == [(u, 850 + u) for u in range(50)]
+        start_sync(stream, table, ["t"], f"{folder}/{checkpoint}").awaitTermination()
+        assert sorted(rows(table.read())) == [(u, 850 + u) for u in range(50)]
+        versions.append(table.current().version)
+    assert versions == [3, 3, 6] and list(table.state.values()) == [2, 2]
 
 
 @pytest.mark.parametrize("buckets", [0, 4])

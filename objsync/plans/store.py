@@ -7,7 +7,8 @@ job that fails leaves folders no commit names. Writers must not overlap: a
 second commit of the same version is refused.
 
 With ``buckets`` the rows are spread by key hash over that many folders, and an
-update by key rewrites only the buckets its batch touches.
+update by key rewrites only the buckets its batch touches. The layout is part of
+every commit, so a table is always opened with the one it was written in.
 """
 
 from __future__ import annotations
@@ -27,11 +28,13 @@ BUCKET = "bucket"
 
 @dataclass(frozen=True)
 class Commit:
-    """One version: its schema, its folders with the bucket of each, and the sync state."""
+    """One version: its schema, its folders with the bucket of each, the layout, and the sync state."""
 
     version: int
     schema: T.StructType
     folders: tuple[tuple[int | None, str], ...]
+    keys: tuple[str, ...] = ()
+    buckets: int = 0
     state: dict[str, Any] = field(default_factory=dict)
 
 
@@ -46,6 +49,15 @@ class VersionedTable:
         conf = spark._jsc.hadoopConfiguration()
         self._files = self._hadoop.Path(self.path).getFileSystem(conf)
         self._context = self._hadoop.FileContext.getFileContext(self._files.getUri(), conf)
+        self._adopt_layout()
+
+    def _adopt_layout(self) -> None:
+        held = self.current()
+        if held is None:
+            return
+        if self.buckets and (tuple(self.keys), self.buckets) != (held.keys, held.buckets):
+            raise ValueError(f"{self.path} has {held.buckets} buckets by {list(held.keys)}")
+        self.keys, self.buckets = list(held.keys), held.buckets
 
     def current(self) -> Commit | None:
         """The latest commit, if any."""
@@ -126,7 +138,8 @@ class VersionedTable:
         folders = arrange(base.folders if base else (), self._write(df, folder))
         kept = base is not None and set(folders) & set(base.folders)
         schema = _union_schema(base.schema, df.schema) if kept else df.schema
-        commit = Commit(version, schema, folders, {**(base.state if base else {}), **state})
+        state = {**(base.state if base else {}), **state}
+        commit = Commit(version, schema, folders, tuple(self.keys), self.buckets, state)
         self._publish(commit)
         return commit
 
@@ -150,6 +163,8 @@ class VersionedTable:
             "version": commit.version,
             "schema": commit.schema.jsonValue(),
             "folders": commit.folders,
+            "keys": commit.keys,
+            "buckets": commit.buckets,
             "state": commit.state,
         }
         out = self._files.create(aside, False)
@@ -166,6 +181,8 @@ class VersionedTable:
             body["version"],
             T.StructType.fromJson(body["schema"]),
             tuple((bucket, path) for bucket, path in body["folders"]),
+            tuple(body["keys"]),
+            body["buckets"],
             body["state"],
         )
 

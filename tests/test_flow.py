@@ -58,6 +58,15 @@ def test_failed_write_commits_nothing(spark, folder):
     assert rows(table.read()) == [("a", 1)]
 
 
+def test_the_layout_is_kept(spark, folder):
+    table = VersionedTable(spark, folder, ["k"], 4)
+    table.append(frame(spark, ("a", 1), ("b", 2)))
+    opened = VersionedTable(spark, folder)
+    assert (opened.keys, opened.buckets) == (["k"], 4)
+    with pytest.raises(ValueError, match="has 4 buckets"):
+        VersionedTable(spark, folder, ["k"], 8)
+
+
 def test_buckets_need_keys(spark, folder):
     with pytest.raises(ValueError):
         VersionedTable(spark, folder, buckets=4)

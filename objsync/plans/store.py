@@ -6,9 +6,12 @@ of the new version, with the schema and the sync state, makes them visible. A
 job that fails leaves folders no commit names. Writers must not overlap: a
 second commit of the same version is refused.
 
-With ``buckets`` the rows are spread by key hash over that many folders, and an
-update by key rewrites only the buckets its batch touches. The layout is part of
-every commit, so a table is always opened with the one it was written in.
+A bucketed table spreads its rows over folders by a rule on their key, and an
+update by key rewrites only the buckets its batch touches. ``buckets=n`` is a hash
+rule for batches of any keys; ``bucket_by`` takes a SQL expression with a whole
+number, such as ``id div 1000000``, which keeps keys that change together in few
+buckets. The layout is part of every commit, so a table is always opened with the
+one it was written in.
 """
 
 from __future__ import annotations
@@ -34,16 +37,17 @@ class Commit:
     schema: T.StructType
     folders: tuple[tuple[int | None, str], ...]
     keys: tuple[str, ...] = ()
-    buckets: int = 0
+    rule: str | None = None
     state: dict[str, Any] = field(default_factory=dict)
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (), buckets: int = 0):
-        if buckets and not keys:
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (), buckets: int = 0,
+                 bucket_by: str | None = None):
+        if (buckets or bucket_by) and not keys:
             raise ValueError("Buckets need key columns")
         self._spark, self.path = spark, path.rstrip("/")
-        self.keys, self.buckets = list(keys), buckets
+        self.keys, self.rule = list(keys), bucket_by or (_hash_rule(keys, buckets) if buckets else None)
         jvm = spark._jvm
         self._hadoop = jvm.org.apache.hadoop.fs
         conf = spark._jsc.hadoopConfiguration()
@@ -55,9 +59,9 @@ class VersionedTable:
         held = self.current()
         if held is None:
             return
-        if self.buckets and (tuple(self.keys), self.buckets) != (held.keys, held.buckets):
-            raise ValueError(f"{self.path} has {held.buckets} buckets by {list(held.keys)}")
-        self.keys, self.buckets = list(held.keys), held.buckets
+        if self.rule and (tuple(self.keys), self.rule) != (held.keys, held.rule):
+            raise ValueError(f"{self.path} has keys {list(held.keys)} and buckets by {held.rule}")
+        self.keys, self.rule = list(held.keys), held.rule
 
     def current(self) -> Commit | None:
         """The latest commit, if any."""
@@ -85,7 +89,7 @@ class VersionedTable:
 
     def touched(self, batch: DataFrame) -> set[int] | None:
         """The buckets that hold the keys of a batch; never more than there are buckets."""
-        if not self.buckets:
+        if not self.rule:
             return None
         return {row[0] for row in batch.select(self._bucket_of()).distinct().collect()}
 
@@ -128,9 +132,7 @@ class VersionedTable:
         return [status.getPath().getName() for status in self._files.listStatus(folder)]
 
     def _bucket_of(self) -> Column:
-        """The bucket by the key's text, so that an int and a bigint of one value agree."""
-        texts = [F.col(key).cast("string") for key in self.keys]
-        return F.pmod(F.xxhash64(*texts), F.lit(self.buckets)).cast("int").alias(BUCKET)
+        return F.coalesce(F.expr(self.rule).cast("long"), F.lit(-1).cast("long")).alias(BUCKET)
 
     def _commit(self, base: Commit | None, df: DataFrame, arrange, state: dict[str, Any]) -> Commit:
         version = base.version + 1 if base else 1
@@ -139,12 +141,12 @@ class VersionedTable:
         kept = base is not None and set(folders) & set(base.folders)
         schema = _union_schema(base.schema, df.schema) if kept else df.schema
         state = {**(base.state if base else {}), **state}
-        commit = Commit(version, schema, folders, tuple(self.keys), self.buckets, state)
+        commit = Commit(version, schema, folders, tuple(self.keys), self.rule, state)
         self._publish(commit)
         return commit
 
     def _write(self, df: DataFrame, folder: str) -> tuple[tuple[int | None, str], ...]:
-        if not self.buckets:
+        if not self.rule:
             df.write.parquet(f"{self.path}/{folder}")
             return ((None, folder),)
         # The rebalance splits an oversized bucket over several tasks and packs small ones.
@@ -164,7 +166,7 @@ class VersionedTable:
             "schema": commit.schema.jsonValue(),
             "folders": commit.folders,
             "keys": commit.keys,
-            "buckets": commit.buckets,
+            "rule": commit.rule,
             "state": commit.state,
         }
         out = self._files.create(aside, False)
@@ -182,11 +184,17 @@ class VersionedTable:
             T.StructType.fromJson(body["schema"]),
             tuple((bucket, path) for bucket, path in body["folders"]),
             tuple(body["keys"]),
-            body["buckets"],
+            body["rule"],
             body["state"],
         )
 
 
+def _hash_rule(keys: Sequence[str], buckets: int) -> str:
+    """A hash of the keys' text, so that an int and a bigint of one value agree."""
+    texts = ", ".join(f"string(`{key}`)" for key in keys)
+    return f"pmod(xxhash64({texts}), {buckets})"
+
+
 def _union_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     """All columns of both, nullable; folders that lack a column read as NULL."""
     held = {f.name.lower() for f in old.fields}

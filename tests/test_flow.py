@@ -62,11 +62,22 @@ def test_the_layout_is_kept(spark, folder):
     table = VersionedTable(spark, folder, ["k"], 4)
     table.append(frame(spark, ("a", 1), ("b", 2)))
     opened = VersionedTable(spark, folder)
-    assert (opened.keys, opened.buckets) == (["k"], 4)
-    with pytest.raises(ValueError, match="has 4 buckets"):
+    assert opened.keys == ["k"] and opened.rule == table.rule
+    with pytest.raises(ValueError, match="buckets by"):
         VersionedTable(spark, folder, ["k"], 8)
 
 
+def test_a_rule_keeps_neighbouring_keys_together(spark, folder):
+    table = VersionedTable(spark, folder, ["id"], bucket_by="id div 100")
+    table.append(spark.range(1000).withColumn("v", F.lit(0)).union(spark.createDataFrame([(None, 0)], "id long, v int")))
+    before = dict(table.current().folders)
+    assert sorted(before) == [-1, *range(10)]
+    merge = TargetConfig("t", "merge", primary_key="id")
+    Flow("t", spark.range(20, 60).withColumn("v", F.lit(1)), merge).run(spark, table)
+    after = dict(table.current().folders)
+    assert [b for b in after if after[b] != before[b]] == [0] and table.read().count() == 1001
+
+
 def test_buckets_need_keys(spark, folder):
     with pytest.raises(ValueError):
         VersionedTable(spark, folder, buckets=4)

@@ -106,11 +106,12 @@ class TargetConfig:
         return (self.primary_key,) if isinstance(self.primary_key, str) else tuple(self.primary_key)
 
     @property
-    def external_key(self) -> str:
-        """The one key column of an upsert or delete: the first of a list, never dotted."""
+    def matching_keys(self) -> tuple[str, ...]:
+        """The key columns that rows are matched by: all of a merge, else the first; never dotted."""
         if not self.keys:
             raise ValueError(f"Target '{self.name}': {self.operation} needs a key")
-        return check_name(self.keys[0], dotted=False)
+        matching = self.keys if self.operation == "merge" else self.keys[:1]
+        return tuple(check_name(key, dotted=False) for key in matching)
 
     @property
     def keyed_by_id(self) -> bool:

@@ -18,7 +18,7 @@ from objsync.config import TargetConfig
 from objsync.operators import results
 from objsync.operators.dedup import keep_last
 from objsync.operators.joins import distinct_keys
-from objsync.operators.keymap import ID, KEY, build_keymap
+from objsync.operators.keymap import ID, KEY
 from objsync.operators.mapping import spelled
 
 NULL_POLICIES = ("overwrite", "keep")
@@ -176,18 +176,22 @@ def delete_by_key(target: DataFrame, batch: DataFrame, key: str, keymap: DataFra
 
     Only ids from the map are ever removed: an unresolved value cannot be taken
     for an id, whatever it looks like. Unresolved keys are reported as rejects.
-    Without a map the target is its own, and its rows are matched by the key at
-    once, without the way through their ids.
+    Without a map the target's own rows are matched by the key at once, without
+    the way through their ids.
     """
     wanted = distinct_keys(batch.select(F.col(key).cast("string").alias(KEY)), KEY)
-    known = build_keymap(target, id_column, key) if keymap is None else keymap
-    doomed = known.join(wanted, KEY, "left_semi").select(F.col(ID).alias(id_column)).distinct()
     if keymap is None:
         texts = target.withColumn(KEY_TEXT, F.col(key).cast("string"))
-        table = texts.join(wanted.withColumnRenamed(KEY, KEY_TEXT), KEY_TEXT, "left_anti").select(*target.columns)
+        named = wanted.withColumnRenamed(KEY, KEY_TEXT)
+        table = texts.join(named, KEY_TEXT, "left_anti").select(*target.columns)
+        shown = id_column if id_column.lower() in (name.lower() for name in target.columns) else key
+        doomed = texts.join(named, KEY_TEXT, "left_semi").select(shown).distinct()
+        known = texts.select(F.col(KEY_TEXT).alias(KEY))
     else:
+        doomed = keymap.join(wanted, KEY, "left_semi").select(F.col(ID).alias(id_column)).distinct()
         table = target.join(doomed, id_column, "left_anti").select(*target.columns)
-    unresolved = wanted.join(known.select(KEY), KEY, "left_anti").select(F.col(KEY).alias(key))
+        known = keymap.select(KEY)
+    unresolved = wanted.join(known, KEY, "left_anti").select(F.col(KEY).alias(key))
     rejects = results.with_error(unresolved, results.NOT_FOUND, f"No record found for: {key}")
     return WritePlan(table, doomed, rejects)
 
@@ -207,11 +211,10 @@ def plan_write(target: DataFrame, batch: DataFrame, config: TargetConfig,
     if config.operation == "replace":
         return replace(target, batch, config.evolve)
     if config.operation in ("upsert", "merge"):
-        keys = [config.external_key] if config.operation == "upsert" else config.keys
-        return upsert(target, batch, keys, config.null_policy, config.on_duplicate, config.order_by,
+        return upsert(target, batch, config.matching_keys, config.null_policy, config.on_duplicate, config.order_by,
                       config.target_unique, config.evolve)
     if config.operation == "delete" and config.keyed_by_id:
         return delete_by_id(target, batch, config.keys[0])
     if config.operation == "delete":
-        return delete_by_key(target, batch, config.external_key, keymap)
+        return delete_by_key(target, batch, config.matching_keys[0], keymap)
     raise ValueError(f"Target '{config.name}': no such operation as '{config.operation}'")

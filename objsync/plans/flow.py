@@ -65,11 +65,15 @@ class Flow:
         The staged copy is read by every later step, so the source is read once
         and a lost executor costs a re-read of the copy; ``staged`` says that the
         source is such a copy already. No rows is an error unless the target
-        allows it; any failure raises and commits nothing.
+        allows it; any failure raises and commits nothing, and a plan that does
+        not fit the target fails before the records are read.
         """
         job = uuid.uuid4().hex
+        held = table.current()
+        records = self.records()
+        self._write_plan(spark.createDataFrame([], held.schema if held else records.schema), records, keymap, not held)
         with Staging(spark) as staging:
-            records = self.records() if staged else staging.copy(self.records())
+            records = records if staged else staging.copy(records)
             processed = records.count()
             if processed == 0 and not self.target.allow_empty:
                 raise ValueError(f"Flow '{self.name}' produced no rows")
@@ -87,21 +91,22 @@ class Flow:
         base = table.current()
         empty = spark.createDataFrame([], staged.schema)
         whole = table.read(at=base) if base else empty
-        if self.target.operation == "insert":
-            plan = plan_write(whole, staged, self.target)
-            return table.append(plan.accepted, **state), plan
-        if self.target.operation == "replace":
-            target = replace(self.target, evolve=self.target.evolve or base is None)
-            plan = plan_write(whole, staged, target)
+        if self.target.operation in ("insert", "replace"):
+            plan = self._write_plan(whole, staged, keymap, base is None)
+            if self.target.operation == "insert":
+                return table.append(plan.accepted, **state), plan
             return table.replace(plan.table, base=base, **state), plan
         # Keys live in one bucket each, so an update by those keys needs only the touched ones.
-        matched_on = {"upsert": self.target.keys[:1], "merge": self.target.keys}.get(self.target.operation)
-        by_bucket = matched_on is not None and list(matched_on) == table.keys
+        by_bucket = self.target.operation != "delete" and list(self.target.matching_keys) == table.keys
         touched = table.touched(staged) if by_bucket and base else None
         affected = table.read(touched, base) if base else empty
-        plan = plan_write(affected, staged, self.target, keymap)
+        plan = self._write_plan(affected, staged, keymap, base is None)
         return table.replace(plan.table, touched, base, **state), plan
 
+    def _write_plan(self, target: DataFrame, records: DataFrame, keymap: DataFrame | None, first: bool) -> WritePlan:
+        """The plan of the operation; the first records of a table bring its columns."""
+        return plan_write(target, records, replace(self.target, evolve=self.target.evolve or first), keymap)
+
 
 def sync(spark: SparkSession, store: ObjectStore, config: ResourceConfig, table: VersionedTable,
          target: TargetConfig, transforms: Sequence[Transform] = ()) -> RunResult:

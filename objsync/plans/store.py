@@ -121,7 +121,8 @@ class VersionedTable:
         written = [v for v in self._names(self._hadoop.Path(self.path)) if v.startswith("v=")]
         dropped = 0
         for version in written:
-            inner = [f"{version}/{b}" for b in self._names(self._hadoop.Path(f"{self.path}/{version}")) if b.startswith(f"{BUCKET}=")]
+            names = self._names(self._hadoop.Path(f"{self.path}/{version}"))
+            inner = [f"{version}/{name}" for name in names if name.startswith(f"{BUCKET}=")]
             gone = [path for path in inner or [version] if path not in named]
             for path in [version] if inner and len(gone) == len(inner) else gone:
                 self._files.delete(self._hadoop.Path(f"{self.path}/{path}"), True)

@@ -89,12 +89,13 @@ def test_primary_key_resolution(given, resolved):
     assert TargetConfig.from_hints(hints(**given)).primary_key == resolved
 
 
-def test_external_key_is_the_first_and_never_dotted():
-    assert TargetConfig("Account", "upsert", primary_key=("ExternalId__c", "Email")).external_key == "ExternalId__c"
+def test_matching_keys_are_the_first_or_all_and_never_dotted():
+    assert TargetConfig("Account", "upsert", primary_key=("ExternalId", "Email")).matching_keys == ("ExternalId",)
+    assert TargetConfig("Account", "merge", primary_key=("ExternalId", "Email")).matching_keys == ("ExternalId", "Email")
     with pytest.raises(ValueError, match="Not a name"):
-        TargetConfig("Account", "upsert", primary_key="Owner.Email").external_key
+        TargetConfig("Account", "upsert", primary_key="Owner.Email").matching_keys
     with pytest.raises(ValueError, match="needs a key"):
-        TargetConfig("Account", "upsert").external_key
+        TargetConfig("Account", "merge").matching_keys
 
 
 @pytest.mark.parametrize("key, expected", [("Id", True), ("id", True), (("ID", "x"), True), ("Email", False), (None, False)])

@@ -147,6 +147,16 @@ def test_a_failing_flow_raises_and_keeps_the_table(spark, folder):
     assert rows(table.read()) == [("a", 1)]
 
 
+def test_a_misfit_is_found_before_the_records_are_read(spark, folder):
+    table = VersionedTable(spark, folder)
+    table.append(frame(spark, ("a", 1)))
+    unread = frame(spark, ("b", 2)).withColumn("extra", F.raise_error(F.lit("was read")).cast("int"))
+    with pytest.raises(ValueError, match="does not have"):
+        Flow("x", unread, TargetConfig("T", "upsert", primary_key="k")).run(spark, table)
+    with pytest.raises(ValueError, match="needs a key"):
+        Flow("x", unread, TargetConfig("T", "merge")).run(spark, table)
+
+
 def test_incremental_sync_moves_the_cursor_with_the_data(spark, folder):
     source = {"Thing": spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "id int, name string, stamp int")}
     store = ObjectStore(lambda name: source[name])

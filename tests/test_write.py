@@ -189,3 +189,10 @@ def test_rejects_folder(spark, folder):
     assert path == f"{folder}/object=Account/operation=upsert/run=r1"
     back = spark.read.options(**results.CSV_OPTIONS).option("multiLine", True).csv(path)
     assert back.columns == ["id", "error_code", "error_message"] and back.first().error_message == 'né, "q"\nz'
+
+
+def test_delete_by_key_where_there_are_no_ids(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    plan = write.delete_by_key(target, spark.createDataFrame([("2",), ("9",)], "k string"), "k")
+    assert rows(plan.table) == [(1, "a"), (None, "c")]
+    assert rows(plan.accepted) == [(2,)] and [r.k for r in plan.rejects.collect()] == ["9"]

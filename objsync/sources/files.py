@@ -86,18 +86,16 @@ def normalize_chunks(chunks: DataFrame, text: str, columns: list[str]) -> DataFr
     """
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Only this function travels to the workers, so it calls nothing of this package.
         for batch in batches:
             for chunk in batch[text].dropna():
-                yield pd.DataFrame.from_records(_records(chunk, columns), columns=columns).astype(object)
+                records = csv.DictReader(io.StringIO(chunk, newline=""))
+                cells = [tuple(record.get(name) or None for name in columns) for record in records]
+                yield pd.DataFrame.from_records(cells, columns=columns).astype(object)
 
     return chunks.select(text).mapInPandas(parse, text_schema(columns))
 
 
-def _records(chunk: str, columns: list[str]) -> list[tuple]:
-    rows = csv.DictReader(io.StringIO(chunk, newline=""))
-    return [tuple(row.get(name) or None for name in columns) for row in rows]
-
-
 def file_chunks(df: DataFrame) -> DataFrame:
     """(chunk, n): rows per input file of a file-based DataFrame."""
     return df.groupBy(F.col("_metadata.file_path").alias("chunk")).agg(F.count("*").alias("n"))

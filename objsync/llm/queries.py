@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from objsync.llm import decontaminate, language, packing, shards, topk, toxicity, urls, warc
+from objsync.llm import decontaminate, jaccard, language, packing, secret_scan, shards, topk, toxicity, urls, warc
 from objsync.llm.common import bounded_batches
 from objsync.session import scratch_folder
 
@@ -65,6 +65,15 @@ def op3_cross_parsing_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(docs.select("doc_id", held, "text"), models).select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op4_markov_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = secret_scan.find_secrets(docs, secret_scan.train(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(secret_scan.span_text(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.span_text(F.col("spans")).alias("spans"))
+
+
 @query
 def op5_url_segmentation(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages")
@@ -87,11 +96,16 @@ def op7_log_ratio_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.predict(docs.select("doc_id", held, "text"), model).select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op8_token_combination_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op9_segmented_warc(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_folder(spark, "warc")
     warc.write_archives(table(spark, sf, "pages"), folder)
-    return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_archives(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query

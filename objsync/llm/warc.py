@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 
@@ -26,7 +27,7 @@ RECORD = ("record_uri string, record_type string, page_id long, refers_to long,
 
 
 def write_archives(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_BYTES) -> None:
-    """Write a record per page (``page_id``, ``url``, ``html``) as WARC files below ``folder``.
+    """Write a record per page (``page_id``, ``url``, ``html``) as compressed WARC files below ``folder``.
 
     Of records with equal payloads of at least ``REVISIT_BYTES`` the one with the
     largest page id is a response, the others are revisits of it without a body; a
@@ -60,7 +61,7 @@ def write_archives(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_B
             yield pa.RecordBatch.from_arrays([pa.array(lines, type=pa.binary())], ["record"])
 
     text = ready.mapInArrow(records, "record binary").select(F.col("record").cast("string").alias("value"))
-    text.write.option("maxRecordsPerFile", ARCHIVE_RECORDS).text(folder)
+    text.write.option("maxRecordsPerFile", ARCHIVE_RECORDS).option("compression", "gzip").text(folder)
 
 
 def _records(row: dict, segment_bytes: int) -> list[bytes]:
@@ -101,17 +102,17 @@ def _record(head: dict[str, str], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + lines.encode() + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r"
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
+def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """Read the archives back, one row per response or revisit record.
 
     A record in one piece is decoded where it is read. Only segments are dealt out:
     by the record that they continue, put in order by segment number, and checked
     against the total length before the body's chunked framing is decoded.
-    Result: ``page_id`` (null where the record has none), ``url``, ``record_type``, ``refers_to``, ``payload_bytes``, ``payload_digest``
-    (of a revisit: as its header says), ``payload`` (null for a revisit) and
-    ``problem``, null for a sound record, else what is wrong with it: a missing
-    segment, a wrong total length, broken framing or a digest that differs. No
-    files give no rows.
+    Result: ``page_id`` (null where the record has none), ``url``, ``record_type``,
+    ``refers_to``, ``payload_bytes``, ``payload_digest`` (of a revisit: as its header
+    says), ``payload`` (null for a revisit, and without ``payloads``) and ``problem``,
+    null for a sound record, else what is wrong with it: a missing segment, a wrong
+    total length, broken framing or a digest that differs. No files give no rows.
     """
     files = spark.read.format("binaryFile").schema(
         "path string, modificationTime timestamp, length long, content binary").load(folder).select("content")
@@ -119,13 +120,16 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     def parse(batches):
         for batch in batches:
             for content in batch.column("content"):
-                rows = list(_parse(content.as_buffer()))
+                rows = list(_parse(gzip.decompress(content.as_buffer())))
+                if not payloads:
+                    rows = [row if "segment" in row else row | {"payload": None} for row in rows]
                 for at in range(0, len(rows), 64):
                     yield _batch(rows[at:at + 64])
 
     def reassemble(batches):
         for batch in batches:
-            yield _batch([_joined(row) for row in batch.to_pylist()])
+            rows = [_joined(row) for row in batch.to_pylist()]
+            yield _batch(rows if payloads else [row | {"payload": None} for row in rows])
 
     found = stored(files.mapInArrow(parse, RECORD), "records")
     pieces = found.filter("segment is not null")

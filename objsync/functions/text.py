@@ -42,6 +42,17 @@ def child_or(value: Column, default: str = "") -> Column:
     return F.coalesce(value.cast("string"), F.lit(default))
 
 
+def zero_padded(number: Column, width: int) -> Column:
+    """The digits of a number, padded to a width; a longer number keeps all of them."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def object_id(number: Column, prefix: str = "001", width: int = 12) -> Column:
-    """A fixed-width internal id from a number: prefix and zero-padded digits."""
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """An internal id from a number: prefix and zero-padded digits, wider only for numbers beyond the width."""
+    return F.concat(F.lit(prefix), zero_padded(number, width))
+
+
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever dots it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,7 +87,7 @@ def job_results(labelled: DataFrame, job: Column, target: str, operation: str) -
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, batch_rows: int = 0) -> str:
-    """CSV files with header: the given columns, NULL as blank.
+    """CSV files with header: the given columns, NULL as blank, empty text as a blank in quotes.
 
     ``batch_rows`` bounds the rows per file for a receiver that takes batches;
     0 leaves one file per task. Structs are flattened, since CSV has no nesting.
@@ -98,7 +98,9 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, ba
 
 
 def csv_texts(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """(body): the rows as CSV texts with header, each of at most ``batch_rows`` rows; NULL is blank.
+    """(body): the rows as CSV texts with header, each of at most ``batch_rows`` rows.
+
+    NULL is blank and every value is in quotes, so empty text is told from NULL.
 
     A text is made from one Arrow batch, so nothing is grouped or shuffled. Values
     become text before they reach Python, where a NULL would turn integers into floats.
@@ -106,12 +108,22 @@ def csv_texts(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
     flat = flatten(df)
     texts = flat.select(*(F.col(f"`{name}`").cast("string").alias(name) for name in flat.columns))
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            parts = (batch.iloc[n : n + batch_rows] for n in range(0, len(batch), batch_rows))
-            yield pd.DataFrame({"body": [part.to_csv(index=False) for part in parts]}, dtype=object)
+    header = ",".join('"' + n.replace('"', '""') + '"' if set(n) & set('",\n\r') else n for n in texts.columns) + "\n"
 
-    return texts.mapInPandas(write, "body string")
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Only this function travels to the workers, so it calls nothing of this package.
+        from pyarrow import csv
+
+        options = csv.WriteOptions(include_header=False, quoting_style="all_valid")
+        for batch in batches:
+            bodies = []
+            for first in range(0, batch.num_rows, batch_rows):
+                out = pa.BufferOutputStream()
+                csv.write_csv(batch.slice(first, batch_rows), out, options)
+                bodies.append(header + out.getvalue().to_pybytes().decode())
+            yield pa.RecordBatch.from_arrays([pa.array(bodies, type=pa.string())], ["body"])
+
+    return texts.mapInArrow(write, "body string")
 
 
 def write_rejects(rejects: DataFrame, root: str, target: str, operation: str, run: str) -> str:

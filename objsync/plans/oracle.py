@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-_ID = "'001' || lpad(c_custkey::varchar, 12, '0')"
+
+def _padded(number: str, width: int) -> str:
+    """Digits padded to a width, without cutting longer ones as lpad alone does."""
+    return f"lpad({number}::varchar, greatest(length({number}::varchar), {width})::integer, '0')"
+
+
+_ID = f"'001' || {_padded('c_custkey', 12)}"
 _ACCOUNT = f"SELECT {_ID} AS \"Id\", c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 _NEW = (
-    "SELECT '009' || lpad(s_suppkey::varchar, 12, '0') AS \"Id\", s_name AS c_name, s_nationkey AS c_nationkey,"
+    f"SELECT '009' || {_padded('s_suppkey', 12)} AS \"Id\", s_name AS c_name, s_nationkey AS c_nationkey,"
     " s_acctbal AS c_acctbal, 'SUPPLIER' AS c_mktsegment FROM supplier"
 )
 _CHANGED = (
     f"SELECT \"Id\", c_name, c_nationkey, c_acctbal + 100 AS c_acctbal, c_mktsegment FROM ({_ACCOUNT})"
     f" WHERE c_mktsegment = 'BUILDING' UNION ALL {_NEW}"
 )
-_LOOKUP = "'Customer#' || lpad(o_custkey::varchar, 9, '0')"
+_LOOKUP = f"'Customer#' || {_padded('o_custkey', 9)}"
 _LINES = (
     "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'A' OR l_linestatus <> 'O' THEN l_partkey END AS l_partkey,"
     " l_suppkey, l_quantity, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem"
@@ -20,6 +26,10 @@ _LINES = (
 _LINE_CODE = (
     "CASE WHEN l_partkey IS NULL THEN 'REQUIRED_FIELD_MISSING' WHEN n > 1 THEN 'DUPLICATE_VALUE' END"
 )
+_ODD_DOCUMENTS = """
+    SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '  ' || text || ' ' WHEN 1 THEN chr(10) || text || chr(10) || chr(9) WHEN 2 THEN ''
+      WHEN 3 THEN text END AS text, CASE WHEN doc_id % 5 <> 2 THEN '' END AS note FROM documents"""
+# Fixed value: the pattern of refused filter text.
 _REFUSED = (
     r"(;|--|/\*|\*/|\x00|\b(DROP|DELETE|INSERT|UPDATE|TRUNCATE|ALTER|CREATE|EXEC|EXECUTE)\b|\(.*SELECT.*\))"
 )
@@ -95,7 +105,9 @@ ORACLE: dict[str, str] = {
     "normalize_chunks": "SELECT * FROM pages",
     "csv_roundtrip": "SELECT * FROM documents",
     "csv_roundtrip_pages": "SELECT * FROM pages",
-    "csv_checked_read": "SELECT count(*) AS n FROM customer",
+    "csv_checked_read": "SELECT * FROM customer",
+    "csv_roundtrip_blanks": _ODD_DOCUMENTS,
+    "normalize_long_chunks": _ODD_DOCUMENTS,
     "chunk_stats": """
         SELECT c_custkey // 500 AS chunk, count(*) AS n, min(c_custkey) AS first_key, max(c_custkey) AS last_key
         FROM customer GROUP BY 1""",
@@ -144,10 +156,10 @@ ORACLE: dict[str, str] = {
     "keymap_merge": f"""
         SELECT CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN '9' ELSE '' END || "Id" AS "Id", c_name AS key
         FROM ({_ACCOUNT}) UNION ALL SELECT "Id", c_name FROM ({_NEW})""",
-    "keymap_ambiguous": """
+    "keymap_ambiguous": f"""
         SELECT l_orderkey || '-' || l_linenumber AS key, count(*) AS n,
-          min('01t' || lpad(l_partkey::varchar, 12, '0')) AS first_id,
-          max('01t' || lpad(l_partkey::varchar, 12, '0')) AS last_id
+          min('01t' || {_padded('l_partkey', 12)}) AS first_id,
+          max('01t' || {_padded('l_partkey', 12)}) AS last_id
         FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_partkey) > 1""",
     "resolve_keys": f"""
         SELECT o_orderkey, {_LOOKUP} AS account_key, coalesce("Id", {_LOOKUP}) AS account_id FROM orders
@@ -238,7 +250,7 @@ ORACLE: dict[str, str] = {
     "audit_filters": f"SELECT doc_id, {_filter_verdict('text')} AS verdict FROM documents",
     "audit_page_filters": f"SELECT page_id, {_filter_verdict('html')} AS verdict FROM pages",
     "flow_flagship": f"""
-        SELECT CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN '801' || lpad(o_orderkey::varchar, 12, '0') END AS "Id",
+        SELECT CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN '801' || {_padded('o_orderkey', 12)} END AS "Id",
           o_orderkey::varchar AS "OrderNumber", o_orderstatus AS "Status", o_totalprice AS "Amount",
           coalesce("Id", {_LOOKUP}) AS "AccountId",
           CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN o_orderpriority END AS "Description"

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from objsync.config import ResourceConfig, TargetConfig
 from objsync.functions.literals import with_literals
 from objsync.functions.rules import audit_filter_text, audit_names
-from objsync.functions.text import child_or, concat_strip, object_id, template
+from objsync.functions.text import child_or, concat_strip, object_id, template, zero_padded
 from objsync.operators import keymap as km
 from objsync.operators import mapping as mp
 from objsync.operators import results, write
@@ -67,7 +67,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def customer_name(number: str) -> Column:
     """The external key of a customer number."""
-    return F.concat(F.lit("Customer#"), F.lpad(F.col(number).cast("string"), 9, "0"))
+    return F.concat(F.lit("Customer#"), zero_padded(F.col(number), 9))
 
 
 def accounts(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,6 +210,21 @@ def normalize_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return mp.apply_types(records, {"page_id": "bigint"})
 
 
+@query
+def normalize_long_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with outer white space, line breaks and empty texts as CSV texts, and back to records."""
+    documents = _odd_documents(spark, sf)
+    records = files.normalize_chunks(results.csv_texts(documents), "body", documents.columns, quoted_blank=True)
+    return mp.apply_types(records, {"doc_id": "bigint"})
+
+
+def _odd_documents(spark: SparkSession, sf: str) -> DataFrame:
+    number, text = F.col("doc_id") % 5, F.col("text")
+    odd = (F.when(number == 0, F.concat(F.lit("  "), text, F.lit(" "))).when(number == 1, F.concat(F.lit("\n"), text, F.lit("\n\t")))
+           .when(number == 2, F.lit("")).when(number == 3, text))
+    return table(spark, sf, "documents").select("doc_id", odd.alias("text"), F.when(number != 2, "").alias("note"))
+
+
 @query
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents")
@@ -217,6 +232,14 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return mp.apply_types(files.read_csv(spark, folder, documents.columns), {"doc_id": "bigint", "n_chars": "bigint"})
 
 
+@query
+def csv_roundtrip_blanks(spark: SparkSession, sf: str) -> DataFrame:
+    """Outer white space, line breaks, empty text and NULL through CSV files."""
+    documents = _odd_documents(spark, sf)
+    folder = results.write_csv(documents, scratch_folder(spark, "csv"), batch_rows=results.BATCH_ROWS)
+    return mp.apply_types(files.read_csv(spark, folder, documents.columns, quoted_blank=True), {"doc_id": "bigint"})
+
+
 @query
 def csv_roundtrip_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages")
@@ -227,7 +250,8 @@ def csv_roundtrip_pages(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def csv_checked_read(spark: SparkSession, sf: str) -> DataFrame:
     folder = results.write_csv(table(spark, sf, "customer"), scratch_folder(spark, "csv"))
-    return files.checked_csv(spark, folder, multiline=False).agg(F.count("*").alias("n"))
+    return mp.apply_types(files.checked_csv(spark, folder, multiline=False),
+                          {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"})
 
 
 @query

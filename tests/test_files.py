@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from objsync.functions.text import object_id
 from objsync.operators.mapping import exclude_value
 from objsync.operators.results import csv_texts, write_csv
 from objsync.sources import files
@@ -96,3 +97,45 @@ def test_json_source(spark, folder):
     put(folder, '{"siren": "1", "nature": "1000"}\n{"siren": "2", "seat": {"town": "Lyon"}}\n', "r.json")
     df = files.read_json(spark, folder, "siren string, nature string, seat struct<town: string>")
     assert rows(exclude_value(df, "nature", "1000").select("siren", "seat.town")) == [("2", "Lyon")]
+
+
+def test_ragged_rows_fail_by_default(spark, folder):
+    for number, text in enumerate(("Id,Name\n1,A\n2,B,extra\n", "Id,Name\n3\n")):
+        path = put(folder, text, f"{number}.csv")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            files.read_csv(spark, path).select("Id").collect()
+
+
+@pytest.mark.parametrize("corrupt", [None, files.CORRUPT])
+def test_a_file_with_columns_in_another_order_is_refused(spark, folder, corrupt):
+    put(folder, "Id,Name\n1,A\n", "a.csv")
+    put(folder, "Name,Id\nB,2\n", "b.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, f"{folder}/*.csv", ["Id", "Name"], corrupt).collect()
+
+
+def test_chunk_cells_of_any_length_and_ragged_chunks(spark):
+    long = "x" * 1_000_000
+    df = spark.createDataFrame([(f"Id,Name\n1,{long}\n2\n",), ("Id,Name\n3,,\n",)], "body string")
+    first = df.filter("length(body) > 100")
+    assert rows(files.normalize_chunks(first, "body", ["Id", "Name"])) == [("1", long), ("2", None)]
+    with pytest.raises(Exception, match="Expected 2 columns, got 3"):
+        files.normalize_chunks(df, "body", ["Id", "Name"]).collect()
+    kept = files.normalize_chunks(df, "body", ["Id"], corrupt=files.CORRUPT)
+    assert rows(kept) == [("1", None), ("2", None), (None, "3,,")]
+
+
+def test_white_space_and_blanks_survive(spark, folder):
+    data = [(" k ", "\ny\n", ""), ("\t", None, "  x "), ("", "a", None)]
+    df = spark.createDataFrame(data, "k string, t string, e string")
+    path = write_csv(df, f"{folder}/out")
+    assert rows(files.read_csv(spark, path, quoted_blank=True)) == sorted(data, key=repr)
+    back = files.normalize_chunks(csv_texts(df), "body", df.columns, quoted_blank=True)
+    assert rows(back) == sorted(data, key=repr)
+    lines = df.select(files.csv_line(df.columns).alias("line"))
+    assert rows(lines.select(files.csv_fields(F.col("line"), "k string, t string, e string").alias("r")).select("r.*")) == sorted(data, key=repr)
+
+
+def test_ids_beyond_the_width_stay_apart(spark):
+    df = spark.createDataFrame([(7,), (1234567890123,), (1234567890124,)], "n long")
+    assert rows(df.select(object_id(F.col("n")))) == [("001000000000007",), ("0011234567890123",), ("0011234567890124",)]

@@ -7,10 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The literal formats.
-DATETIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 DATE_FORMAT = "yyyy-MM-dd"
 
 
+def utc_time(instant: Column) -> Column:
+    """An instant as the wall time in UTC; neither daylight saving nor the session's zone plays a part."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def datetime_text(value: Column, data_type: T.DataType) -> Column:
+    """yyyy-MM-ddTHH:mm:ss.SSSZ; an instant is given in UTC, a time without zone as it stands."""
+    wall = utc_time(value) if isinstance(data_type, T.TimestampType) else value
+    text = wall.cast("string")
+    day, time = F.substring_index(text, " ", 1), F.substring_index(text, " ", -1)
+    millis = F.rpad(F.regexp_extract(time, r"\.(\d{1,3})", 1), 3, "0")
+    return F.concat(day, F.lit("T"), F.substring_index(time, ".", 1), F.lit("."), millis, F.lit("Z"))
+
+
 def text_literal(text: Column, escape_backslash: bool = False) -> Column:
     """Text in single quotes, each inner quote behind a backslash."""
     if escape_backslash:
@@ -33,7 +46,7 @@ def number_literal(number: Column, floating: bool = False) -> Column:
 def literal(value: Column, data_type: T.DataType) -> Column:
     """The literal of a column, chosen by its Spark type; NULL becomes the word NULL."""
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        shown = F.date_format(value, DATETIME_FORMAT)
+        shown = datetime_text(value, data_type)
     elif isinstance(data_type, T.DateType):
         shown = F.date_format(value, DATE_FORMAT)
     elif isinstance(data_type, T.BooleanType):

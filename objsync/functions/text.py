@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,6 +54,11 @@ def object_id(number: Column, prefix: str = "001", width: int = 12) -> Column:
     return F.concat(F.lit(prefix), zero_padded(number, width))
 
 
+def all_named(names: Iterable[str]) -> list[Column]:
+    """The columns of exactly these names."""
+    return [named(name) for name in names]
+
+
 def named(name: str) -> Column:
     """The column of exactly this name, whatever dots it holds."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from objsync.functions.text import all_named, named
+
 
 def keep_last(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """The row with the highest ``order_by`` values per key.
@@ -15,11 +17,12 @@ def keep_last(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """
     rest = [name for name in df.columns if name not in keys]
     if not rest:
-        return df.select(*keys).distinct()
-    last = F.max_by(F.struct(*rest), F.struct(*order_by)).alias("_last")
-    return df.groupBy(*keys).agg(last).select(*(f"_last.{n}" if n in rest else n for n in df.columns))
+        return df.select(*all_named(keys)).distinct()
+    last = F.max_by(F.struct(*all_named(rest)), F.struct(*all_named(order_by))).alias("_last")
+    return df.groupBy(*all_named(keys)).agg(last).select(
+        *(F.col("_last").getField(n).alias(n) if n in rest else named(n) for n in df.columns))
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """The keys that occur more than once; counted before the shuffle."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys)
+    return df.groupBy(*all_named(keys)).agg(F.count("*").alias("_n")).filter("_n > 1").select(*all_named(keys))

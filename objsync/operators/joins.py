@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from objsync.functions.text import all_named, named
+
 SALT = "_salt"
 
 
 def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     """The distinct keys in which no part is NULL; combined before the shuffle."""
-    filled = reduce(lambda rows, key: rows.filter(F.col(key).isNotNull()), keys, df)
-    return filled.select(*keys).distinct()
+    filled = reduce(lambda rows, key: rows.filter(named(key).isNotNull()), keys, df)
+    return filled.select(*all_named(keys)).distinct()
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01, tracked: int = 10_000) -> list:

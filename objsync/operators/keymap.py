@@ -37,7 +37,12 @@ def lookup_keys(df: DataFrame, column: str) -> DataFrame:
 def missing_keys(keys: DataFrame, keymap: DataFrame | None) -> DataFrame:
     """Requested keys that the map does not hold; all of them when there is no map."""
     wanted = _as_keys(keys)
-    return wanted if keymap is None else wanted.join(keymap.select(KEY), KEY, "left_anti")
+    return wanted if keymap is None else wanted.join(_held_keys(wanted, keymap), KEY, "left_anti")
+
+
+def _held_keys(wanted: DataFrame, keymap: DataFrame) -> DataFrame:
+    """The wanted keys that the map holds: the few keys narrow the map before anything is shuffled against them."""
+    return keymap.select(KEY).join(wanted.select(KEY), KEY, "left_semi").distinct()
 
 
 def merge_keymaps(*loads: DataFrame) -> DataFrame:
@@ -106,7 +111,7 @@ def _match(df: DataFrame, keymap: DataFrame, lookup: str, unique: bool, hot: lis
 def unresolved_keys(df: DataFrame, keymap: DataFrame, lookup: str) -> DataFrame:
     """(key, n): rows per key that the map lacks, NULL included; counted before the join."""
     used = df.groupBy(F.col(lookup).cast("string").alias(KEY)).agg(F.count("*").alias("n"))
-    return used.join(keymap.select(KEY), KEY, "left_anti")
+    return used.join(_held_keys(used, keymap), KEY, "left_anti")
 
 
 class KeyMaps:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from objsync.functions.text import is_filled
+from objsync.functions.text import all_named, is_filled, named
 from objsync.operators.dedup import repeated_keys
 from objsync.operators.mapping import flatten
 from objsync.sources.files import CSV_OPTIONS
@@ -24,15 +24,15 @@ BATCH_ROWS = 10_000
 
 def missing_fields(required: Sequence[str]) -> Column:
     """The names of the required columns that are NULL or empty, comma separated; '' when none."""
-    return F.concat_ws(", ", *(F.when(~is_filled(F.col(name)), F.lit(name)) for name in required))
+    return F.concat_ws(", ", *(F.when(~is_filled(named(name)), F.lit(name)) for name in required))
 
 
 def filled_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Rows whose named columns are all filled, as plain tests that a scan can apply."""
     for name in names:
-        df = df.filter(F.col(name).isNotNull())
+        df = df.filter(named(name).isNotNull())
         if isinstance(df.schema[name].dataType, T.StringType):
-            df = df.filter(F.col(name) != "")
+            df = df.filter(named(name) != "")
     return df
 
 
@@ -59,7 +59,7 @@ def label_errors(df: DataFrame, required: Sequence[str], unique: Sequence[str])
     The repeated keys are counted first and joined back, so that no task has to
     hold all rows of one key.
     """
-    complete = filled_rows(df, unique).select(*unique)
+    complete = filled_rows(df, unique).select(*all_named(unique))
     repeated = repeated_keys(complete, list(unique)).withColumn("_repeated", F.lit(True))
     gone = missing_fields(required)
     code = F.when(gone != "", F.lit(REQUIRED_MISSING)).when(F.col("_repeated"), F.lit(DUPLICATE))
@@ -67,7 +67,7 @@ def label_errors(df: DataFrame, required: Sequence[str], unique: Sequence[str])
         F.col("_repeated"), F.lit(f"Duplicate value on: {', '.join(unique)}")
     )
     joined = df.join(repeated, list(unique), "left")
-    return joined.select(*df.columns, code.alias("error_code"), message.alias("error_message"))
+    return joined.select(*all_named(df.columns), code.alias("error_code"), message.alias("error_message"))
 
 
 def split_errors(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:

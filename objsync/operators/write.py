@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from objsync.config import TargetConfig
+from objsync.functions.text import all_named, named
 from objsync.operators import results
 from objsync.operators.dedup import keep_last
 from objsync.operators.joins import distinct_keys
@@ -73,24 +74,24 @@ def upsert(target: DataFrame, batch: DataFrame, keys: str | Sequence[str], null_
     once = _one_row_per_key(keyed, keys, on_duplicate, order_by)
     given = _given_keys(keyed, keys, on_duplicate)
     status = _key_status(None if target_unique and full_rows else target, given, keys)
-    marked = once.join(status, keys).select(*(F.col(n) for n in batch.columns), "_given", "_held")
+    marked = once.join(status, keys).select(*all_named(batch.columns), "_given", "_held")
     accepted = marked.filter("_given = 1 AND _held <= 1")
     refused = marked.filter("_given > 1 OR _held > 1")
     doubled = F.col("_given") > 1
     names = ", ".join(keys)
     rejects = results.missing_rejects(batch, keys).unionByName(
         refused.select(
-            *batch.columns,
+            *all_named(batch.columns),
             F.when(doubled, results.DUPLICATE).otherwise(results.DUPLICATE_TARGET).alias("error_code"),
             F.when(doubled, f"Duplicate value on: {names}").otherwise(f"More than one record found for: {names}")
             .alias("error_message"),
         )
     )
-    rows = accepted.select(*batch.columns)
+    rows = accepted.select(*all_named(batch.columns))
     if full_rows:
         table = _overwrite_rows(target, rows, status, keys)
     else:
-        added = accepted.filter("_held = 0").select(*batch.columns)
+        added = accepted.filter("_held = 0").select(*all_named(batch.columns))
         table = _overwrite_cells(target, rows, keys, null_policy).unionByName(added, allowMissingColumns=True)
     return WritePlan(table, rows, rejects)
 
@@ -108,7 +109,7 @@ def _one_row_per_key(keyed: DataFrame, keys: list[str], on_duplicate: str, order
 def _given_keys(keyed: DataFrame, keys: list[str], on_duplicate: str) -> DataFrame:
     """Per batch key, how often it counts (``_given``): once, if only its last row is kept."""
     times = F.count("*") if on_duplicate == "reject" else F.lit(1).cast("long")
-    return keyed.groupBy(*keys).agg(times.alias("_given"))
+    return keyed.groupBy(*all_named(keys)).agg(times.alias("_given"))
 
 
 def _key_status(target: DataFrame | None, given: DataFrame, keys: list[str]) -> DataFrame:
@@ -120,42 +121,42 @@ def _key_status(target: DataFrame | None, given: DataFrame, keys: list[str]) ->
     """
     if target is None:
         return given.withColumn("_held", F.lit(0).cast("long"))
-    held = target.select(*keys).join(given.filter("_given = 1"), keys, "left_semi")
-    held = held.groupBy(*keys).agg(F.count("*").alias("_held"))
-    return given.join(held, keys, "left").select(*keys, "_given", F.coalesce("_held", F.lit(0)).alias("_held"))
+    held = target.select(*all_named(keys)).join(given.filter("_given = 1"), keys, "left_semi")
+    held = held.groupBy(*all_named(keys)).agg(F.count("*").alias("_held"))
+    return given.join(held, keys, "left").select(*all_named(keys), "_given", F.coalesce("_held", F.lit(0)).alias("_held"))
 
 
 def _overwrite_rows(target: DataFrame, rows: DataFrame, status: DataFrame, keys: list[str]) -> DataFrame:
-    replaced = status.filter("_given = 1 AND _held <= 1").select(*keys)
-    untouched = target.join(replaced, keys, "left_anti").select(*target.columns)
+    replaced = status.filter("_given = 1 AND _held <= 1").select(*all_named(keys))
+    untouched = target.join(replaced, keys, "left_anti").select(*all_named(target.columns))
     return untouched.unionByName(rows, allowMissingColumns=True)
 
 
 def _overwrite_cells(target: DataFrame, rows: DataFrame, keys: list[str], null_policy: str) -> DataFrame:
     """The target rows, with the given cells replaced where a batch row has their key."""
     values = [name for name in rows.columns if name not in keys]
-    packed = rows.select(*keys, F.struct(F.lit(True).alias("hit"), *values).alias("_new"))
+    packed = rows.select(*all_named(keys), F.struct(F.lit(True).alias("hit"), *all_named(values)).alias("_new"))
     held = {name.lower() for name in target.columns}
 
     def merged(name: str):
-        old = F.col(name) if name.lower() in held else F.lit(None)
-        new = F.col(f"_new.{name}")
+        old = named(name) if name.lower() in held else F.lit(None)
+        new = F.col("_new").getField(name)
         if null_policy == "keep":
             return F.coalesce(new, old).alias(name)
         return F.when(F.col("_new.hit"), new).otherwise(old).alias(name)
 
     given = {name.lower(): name for name in values}
-    columns = [merged(name) if name.lower() in given else F.col(name) for name in target.columns]
+    columns = [merged(name) if name.lower() in given else named(name) for name in target.columns]
     columns += [merged(name) for name in values if name.lower() not in held]
     return target.join(packed, keys, "left").select(*columns)
 
 
 def upsert_outcomes(target: DataFrame, accepted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(outcome, n): rows inserted, updated and unchanged, from the key columns alone."""
-    sides = target.select(*keys, F.lit(1).alias("_old"), F.lit(0).alias("_new")).unionByName(
-        accepted.select(*keys, F.lit(0).alias("_old"), F.lit(1).alias("_new"))
+    sides = target.select(*all_named(keys), F.lit(1).alias("_old"), F.lit(0).alias("_new")).unionByName(
+        accepted.select(*all_named(keys), F.lit(0).alias("_old"), F.lit(1).alias("_new"))
     )
-    per_key = sides.groupBy(*keys).agg(F.sum("_old").alias("_old"), F.max("_new").alias("_new"))
+    per_key = sides.groupBy(*all_named(keys)).agg(F.sum("_old").alias("_old"), F.max("_new").alias("_new"))
     outcome = (
         F.when(F.col("_old") == 0, F.lit("inserted")).when(F.col("_new") == 1, F.lit("updated"))
         .otherwise(F.lit("unchanged"))
@@ -166,7 +167,7 @@ def upsert_outcomes(target: DataFrame, accepted: DataFrame, keys: Sequence[str])
 def delete_by_id(target: DataFrame, ids: DataFrame, id_column: str = ID) -> WritePlan:
     """Remove the listed ids; ids that are not there do no harm."""
     doomed = distinct_keys(ids, id_column)
-    table = target.join(doomed, id_column, "left_anti").select(*target.columns)
+    table = target.join(doomed, id_column, "left_anti").select(*all_named(target.columns))
     return WritePlan(table, doomed, results.without_rows(ids))
 
 
@@ -179,18 +180,18 @@ def delete_by_key(target: DataFrame, batch: DataFrame, key: str, keymap: DataFra
     Without a map the target's own rows are matched by the key at once, without
     the way through their ids.
     """
-    wanted = distinct_keys(batch.select(F.col(key).cast("string").alias(KEY)), KEY)
+    wanted = distinct_keys(batch.select(named(key).cast("string").alias(KEY)), KEY)
     if keymap is None:
-        texts = target.withColumn(KEY_TEXT, F.col(key).cast("string"))
-        named = wanted.withColumnRenamed(KEY, KEY_TEXT)
-        table = texts.join(named, KEY_TEXT, "left_anti").select(*target.columns)
+        texts = target.withColumn(KEY_TEXT, named(key).cast("string"))
+        given = wanted.withColumnRenamed(KEY, KEY_TEXT)
+        table = texts.join(given, KEY_TEXT, "left_anti").select(*all_named(target.columns))
         shown = id_column if id_column.lower() in (name.lower() for name in target.columns) else key
-        doomed = texts.join(named, KEY_TEXT, "left_semi").select(shown).distinct()
-        known = texts.select(F.col(KEY_TEXT).alias(KEY))
+        doomed = texts.join(given, KEY_TEXT, "left_semi").select(named(shown)).distinct()
+        known = texts.select(KEY_TEXT).join(given, KEY_TEXT, "left_semi").select(F.col(KEY_TEXT).alias(KEY)).distinct()
     else:
         doomed = keymap.join(wanted, KEY, "left_semi").select(F.col(ID).alias(id_column)).distinct()
-        table = target.join(doomed, id_column, "left_anti").select(*target.columns)
-        known = keymap.select(KEY)
+        table = target.join(doomed, id_column, "left_anti").select(*all_named(target.columns))
+        known = keymap.select(KEY).join(wanted, KEY, "left_semi").distinct()
     unresolved = wanted.join(known, KEY, "left_anti").select(F.col(KEY).alias(key))
     rejects = results.with_error(unresolved, results.NOT_FOUND, f"No record found for: {key}")
     return WritePlan(table, doomed, rejects)

@@ -8,13 +8,15 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from objsync.config import ResourceConfig, TargetConfig
+from objsync.functions.text import named
 from objsync.operators.results import write_rejects
 from objsync.operators.write import WritePlan, plan_write
-from objsync.plans.incremental import high_value
+from objsync.plans.incremental import high_value, past_boundary
 from objsync.plans.store import Commit, VersionedTable
-from objsync.session import drop_folder, new_folder, scratch_folder
+from objsync.session import drop_folder, scratch_folder
 from objsync.sources.objects import ObjectStore, extract
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -60,13 +62,16 @@ class Flow:
 
     def run(self, spark: SparkSession, table: VersionedTable, keymap: DataFrame | None = None,
             rejects_root: str | None = None, staged: bool = False, **state) -> RunResult:
-        """Stage the records, write the new version, commit it, and report.
+        """Stage the records, write the new version and the rejects, commit, and report.
 
         The staged copy is read by every later step, so the source is read once
         and a lost executor costs a re-read of the copy; ``staged`` says that the
-        source is such a copy already. No rows is an error unless the target
-        allows it; any failure raises and commits nothing, and a plan that does
-        not fit the target fails before the records are read.
+        source is such a copy already. Inserts and replaces use the records once
+        besides their count, which comes from the written copy too. No rows is an
+        error unless the target allows it; any failure raises and commits nothing,
+        and a plan that does not fit the target fails before the records are read.
+        Rejects lie beside the table unless ``rejects_root`` is given; the commit
+        holds their number and folder.
         """
         job = uuid.uuid4().hex
         held = table.current()
@@ -82,26 +87,28 @@ class Flow:
             if self.target.operation in ("upsert", "merge", "delete"):
                 failed = plan.rejects.count()  # from key columns; the rows are read only if there are any
                 if failed:
-                    root = rejects_root or new_folder(spark, "rejects")
+                    root = rejects_root or f"{table.path}/_rejects"
                     path = write_rejects(plan.rejects, root, self.target.name, self.target.operation, job)
+            commit = table.publish(replace(commit, state={**commit.state, "rejected": failed, "rejects_path": path}))
         return RunResult(job, self.target.name, self.target.operation, processed, failed, path, commit)
 
     def _write(self, spark: SparkSession, table: VersionedTable, staged: DataFrame, keymap: DataFrame | None,
                state: dict) -> tuple[Commit, WritePlan]:
         base = table.current()
+        staged = table.fitted(staged, base)
         empty = spark.createDataFrame([], staged.schema)
         whole = table.read(at=base) if base else empty
         if self.target.operation in ("insert", "replace"):
             plan = self._write_plan(whole, staged, keymap, base is None)
             if self.target.operation == "insert":
-                return table.append(plan.accepted, **state), plan
-            return table.replace(plan.table, base=base, **state), plan
-        # Keys live in one bucket each, so an update by those keys needs only the touched ones.
-        by_bucket = self.target.operation != "delete" and list(self.target.matching_keys) == table.keys
+                return table.prepare_append(plan.accepted, **state), plan
+            return table.prepare_replace(plan.table, base=base, **state), plan
+        # Keys live in one bucket each, so a change by those keys needs only the touched ones.
+        by_bucket = list(self.target.matching_keys) == table.keys and (self.target.operation != "delete" or keymap is None)
         touched = table.touched(staged) if by_bucket and base else None
         affected = table.read(touched, base) if base else empty
         plan = self._write_plan(affected, staged, keymap, base is None)
-        return table.replace(plan.table, touched, base, **state), plan
+        return table.prepare_replace(plan.table, touched, base, **state), plan
 
     def _write_plan(self, target: DataFrame, records: DataFrame, keymap: DataFrame | None, first: bool) -> WritePlan:
         """The plan of the operation; the first records of a table bring its columns."""
@@ -109,23 +116,45 @@ class Flow:
 
 
 def sync(spark: SparkSession, store: ObjectStore, config: ResourceConfig, table: VersionedTable,
-         target: TargetConfig, transforms: Sequence[Transform] = ()) -> RunResult:
+         target: TargetConfig, transforms: Sequence[Transform] = (), late_ties: bool = False) -> RunResult:
     """Extract what lies past the cursor, map it, write it, and move the cursor with the commit.
 
     The cursor is kept in the commit of the target, so data and cursor move
     together. It is read from the extracted rows, since the mapping may drop it.
+    ``late_ties`` also finds rows that arrive later with the very value the last run
+    ended on: the keys read at that value are kept in a folder beside the table,
+    which the commit names, and the next run takes them out of an inclusive extract.
     """
     state, cursor = table.state, config.replication_key
+    last, ties = (state.get("last_value"), state.get("ties")) if cursor else (None, None)
+    known = spark.read.parquet(ties) if late_ties and ties else None
     with Staging(spark) as staging:
-        rows = staging.copy(extract(store, config, state.get("last_value") if cursor else None))
+        rows = extract(store, config, last, inclusive=known is not None)
+        if known is not None:
+            rows = past_boundary(rows, cursor, last, known, config.keys)
+        rows = staging.copy(rows)
         moved = {}
         if cursor:
-            value_type = rows.select(f"`{cursor}`").schema[0].dataType.simpleString()
-            moved = {"cursor_field": cursor, "value_type": value_type,
-                     "last_value": high_value(rows, cursor) or state.get("last_value")}
+            value_type = rows.select(named(cursor)).schema[0].dataType.simpleString()
+            moved = {"cursor_field": cursor, "value_type": value_type, "last_value": high_value(rows, cursor) or last}
+            if late_ties and moved["last_value"] is not None:
+                moved["ties"] = _keep_ties(table, rows, known, cursor, moved["last_value"], config.keys)
         return Flow(config.name, rows, target, transforms).run(spark, table, staged=True, **moved)
 
 
+def _keep_ties(table: VersionedTable, rows: DataFrame, known: DataFrame | None, cursor: str, last: str,
+               keys: Sequence[str]) -> str:
+    """The keys of the rows at the cursor's last value, in a folder of their own."""
+    columns = [named(n) for n in (*keys, cursor)]
+    held = rows.select(*columns)
+    if known is not None:
+        held = held.unionByName(known.select(*columns))
+    folder = f"{table.path}/_ties/{uuid.uuid4().hex}"
+    at_last = named(cursor) == F.lit(last).cast(rows.schema[cursor].dataType)
+    held.filter(at_last).distinct().write.parquet(folder)
+    return folder
+
+
 class Staging:
     """Copies of rows in the shared folder for the length of a run.
 

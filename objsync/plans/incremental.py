@@ -7,15 +7,20 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from objsync.functions.literals import utc_time
+from objsync.functions.text import named
 from objsync.sources.objects import after
 
 STATE_SCHEMA = "resource string, cursor_field string, last_value string, value_type string, version long"
 
 
 def high_value(df: DataFrame, cursor: str) -> str | None:
-    """The highest cursor value as text, NULL for no rows."""
-    return df.agg(F.max(cursor).cast("string")).first()[0]
+    """The highest cursor value as text, NULL for no rows; an instant is given in UTC, whatever the session's zone."""
+    highest, kind = F.max(named(cursor)), df.schema[cursor].dataType
+    text = F.concat(utc_time(highest).cast("string"), F.lit("Z")) if isinstance(kind, T.TimestampType) else highest.cast("string")
+    return df.agg(text).first()[0]
 
 
 def past_boundary(df: DataFrame, cursor: str, last_value: Any, held: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -26,9 +31,9 @@ def past_boundary(df: DataFrame, cursor: str, last_value: Any, held: DataFrame,
     later are taken out by key and cursor.
     """
     on = [*keys, cursor]
-    seen = held.filter(after(held, cursor, last_value, inclusive=True)).select(*on)
+    seen = held.filter(after(held, cursor, last_value, inclusive=True)).select(*[named(n) for n in on])
     fresh = df.filter(after(df, cursor, last_value, inclusive=True))
-    return fresh.join(seen, on, "left_anti").select(*df.columns)
+    return fresh.join(seen, on, "left_anti").select(*[named(n) for n in df.columns])
 
 
 def state_frame(spark: SparkSession, states: Mapping[str, Mapping[str, Any]]) -> DataFrame:

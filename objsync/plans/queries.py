@@ -44,7 +44,7 @@ CATALOG: dict[str, Query] = {}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 PARENTS = {
-    "orders": {"customer": Parent("customer", "o_custkey", "c_custkey")},
+    "orders": {"customer": Parent("customer", "o_custkey", "c_custkey", unique=True)},
     "customer": {"nation": Parent("nation", "c_nationkey", "n_nationkey")},
     "nation": {"region": Parent("region", "n_regionkey", "r_regionkey")},
 }

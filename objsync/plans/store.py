@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from objsync.functions.text import named
+
 BUCKET = "bucket"
 
 
@@ -87,15 +89,26 @@ class VersionedTable:
             return self._spark.createDataFrame([], commit.schema)
         return self._spark.read.schema(commit.schema).parquet(*paths)
 
+    def fitted(self, rows: DataFrame, base: Commit | None = None) -> DataFrame:
+        """The rows with the column types of the latest (or a given) version.
+
+        Text is parsed and numbers are converted where that loses nothing; a value
+        that does not fit fails the job, and a type that cannot be converted is
+        refused at once. Columns that the table lacks stay as they are.
+        """
+        commit = base or self.current()
+        return _fitted(rows, commit.schema) if commit else rows
+
     def touched(self, batch: DataFrame) -> set[int] | None:
         """The buckets that hold the keys of a batch; never more than there are buckets."""
         if not self.rule:
             return None
+        batch = self.fitted(batch)
         return {row[0] for row in batch.select(self._bucket_of()).distinct().collect()}
 
     def append(self, df: DataFrame, **state: Any) -> Commit:
         """Add rows beside the present ones."""
-        return self._commit(self.current(), df, lambda old, new: old + new, state)
+        return self.publish(self.prepare_append(df, **state))
 
     def replace(self, df: DataFrame, buckets: Iterable[int] | None = None, base: Commit | None = None,
                 **state: Any) -> Commit:
@@ -104,11 +117,20 @@ class VersionedTable:
         ``base`` is the version the rows were made from; if another one has been
         committed since, the commit is refused, so no update gets lost.
         """
+        return self.publish(self.prepare_replace(df, buckets, base, **state))
+
+    def prepare_append(self, df: DataFrame, **state: Any) -> Commit:
+        """Write the folders of an append; nothing is seen before ``publish``."""
+        return self._prepare(self.current(), df, lambda old, new: old + new, state)
+
+    def prepare_replace(self, df: DataFrame, buckets: Iterable[int] | None = None, base: Commit | None = None,
+                        **state: Any) -> Commit:
+        """Write the folders of a replacement; nothing is seen before ``publish``."""
         base = base or self.current()
         if buckets is None:
-            return self._commit(base, df, lambda old, new: new, state)
+            return self._prepare(base, df, lambda old, new: new, state)
         gone = set(buckets)
-        return self._commit(base, df, lambda old, new: tuple(f for f in old if f[0] not in gone) + new, state)
+        return self._prepare(base, df, lambda old, new: tuple(f for f in old if f[0] not in gone) + new, state)
 
     def expire(self, keep: int = 1) -> int:
         """Delete the folders that none of the last ``keep`` versions names; returns how many.
@@ -135,16 +157,17 @@ class VersionedTable:
     def _bucket_of(self) -> Column:
         return F.coalesce(F.expr(self.rule).cast("long"), F.lit(-1).cast("long")).alias(BUCKET)
 
-    def _commit(self, base: Commit | None, df: DataFrame, arrange, state: dict[str, Any]) -> Commit:
+    def _prepare(self, base: Commit | None, df: DataFrame, arrange, state: dict[str, Any]) -> Commit:
         version = base.version + 1 if base else 1
         folder = f"v={version}-{uuid.uuid4().hex}"
+        # Folders that stay fix the types of what is written beside them.
+        kept = bool(base and arrange(base.folders, ()))
+        if kept:
+            df = _fitted(df, base.schema)
         folders = arrange(base.folders if base else (), self._write(df, folder))
-        kept = base is not None and set(folders) & set(base.folders)
         schema = _union_schema(base.schema, df.schema) if kept else df.schema
         state = {**(base.state if base else {}), **state}
-        commit = Commit(version, schema, folders, tuple(self.keys), self.rule, state)
-        self._publish(commit)
-        return commit
+        return Commit(version, schema, folders, tuple(self.keys), self.rule, state)
 
     def _write(self, df: DataFrame, folder: str) -> tuple[tuple[int | None, str], ...]:
         if not self.rule:
@@ -158,6 +181,11 @@ class VersionedTable:
             (int(name.partition("=")[2]), f"{folder}/{name}") for name in names if name.startswith(f"{BUCKET}=")
         )
 
+    def publish(self, commit: Commit) -> Commit:
+        """Make a prepared version the current one; refused if its number is taken."""
+        self._publish(commit)
+        return commit
+
     def _publish(self, commit: Commit) -> None:
         """Write aside, then rename without overwrite: a commit is seen whole or not at all."""
         name = f"{commit.version:012d}.json"
@@ -196,6 +224,27 @@ def _hash_rule(keys: Sequence[str], buckets: int) -> str:
     return f"pmod(xxhash64({texts}), {buckets})"
 
 
+def _fitted(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows under the types of a schema, as far as it has their columns."""
+    wanted = {f.name.lower(): f.dataType for f in schema.fields}
+    casts = {}
+    for column in rows.schema.fields:
+        target = wanted.get(column.name.lower(), column.dataType)
+        if column.dataType.simpleString() == target.simpleString():
+            continue
+        value = named(column.name)
+        numbers = isinstance(column.dataType, T.NumericType) and isinstance(target, T.NumericType)
+        if not (numbers or isinstance(column.dataType, (T.StringType, T.NullType)) and isinstance(target, T.AtomicType)
+                or isinstance(target, T.StringType) and isinstance(column.dataType, T.AtomicType)):
+            raise ValueError(f"Column '{column.name}' is {column.dataType.simpleString()}, the table has {target.simpleString()}")
+        cast = value.try_cast(target)
+        # What comes back must be what was given; text may be spelt in another way.
+        same = cast.isNotNull() if not numbers else cast.try_cast(column.dataType).eqNullSafe(value)
+        wrong = F.raise_error(F.concat(F.lit(f"Value of '{column.name}' does not fit {target.simpleString()}: "), value.cast("string")))
+        casts[column.name] = F.when(value.isNull() | same, cast).otherwise(wrong.cast(target))
+    return rows.select(*[casts.get(n, named(n)).alias(n) for n in rows.columns]) if casts else rows
+
+
 def _union_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     """All columns of both, nullable; folders that lack a column read as NULL."""
     held = {f.name.lower() for f in old.fields}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import cache, reduce
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,16 +17,22 @@ from pyspark.sql import functions as F
 
 from objsync.config import ResourceConfig, validate_resources
 from objsync.functions.rules import check_name
+from objsync.functions.text import named
 from objsync.operators.mapping import apply_types
 
 
 @dataclass(frozen=True)
 class Parent:
-    """A many-to-one lookup: child column ``foreign_key`` holds the parent's ``parent_key``."""
+    """A many-to-one lookup: child column ``foreign_key`` holds the parent's ``parent_key``.
+
+    A parent key that repeats fails the job when a row uses it; ``unique`` says that
+    none does and spares the aggregate that finds out.
+    """
 
     object: str
     foreign_key: str
     parent_key: str
+    unique: bool = False
 
 
 @dataclass(frozen=True)
@@ -39,11 +45,9 @@ class ObjectStore:
 
 def file_store(spark: SparkSession, root: str, fmt: str = "parquet", suffix: str | None = None,
                parents: Mapping[str, Mapping[str, Parent]] | None = None, **options: Any) -> ObjectStore:
-    """Objects as files ``root/<name><suffix>`` of any Spark format; a store lists each object once."""
+    """Objects as files ``root/<name><suffix>`` of any Spark format; each load lists the files anew."""
     ending = f".{fmt}" if suffix is None else suffix
-    return ObjectStore(
-        cache(lambda name: spark.read.format(fmt).options(**options).load(f"{root}/{name}{ending}")), parents or {}
-    )
+    return ObjectStore(lambda name: spark.read.format(fmt).options(**options).load(f"{root}/{name}{ending}"), parents or {})
 
 
 def table_store(spark: SparkSession, database: str | None = None,
@@ -68,12 +72,12 @@ def jdbc_store(spark: SparkSession, url: str, split: Mapping[str, tuple[str, Any
     return ObjectStore(load, parents or {})
 
 
-def extract(store: ObjectStore, config: ResourceConfig, last_value: Any = None) -> DataFrame:
+def extract(store: ObjectStore, config: ResourceConfig, last_value: Any = None, inclusive: bool = False) -> DataFrame:
     """The selected rows of one object.
 
     Dotted fields walk to parents and keep the dotted name; the filter may use
     the object's own columns, the selected dotted fields and ``filter_fields``.
-    The cursor bound is strict and applies from the second run on, when
+    The cursor bound is strict (unless ``inclusive``) and applies from the second run on, when
     ``last_value`` is known. Rows are sorted only for a limit, by cursor then key,
     because a sort no limit follows would be a full shuffle for nothing.
     """
@@ -83,7 +87,7 @@ def extract(store: ObjectStore, config: ResourceConfig, last_value: Any = None)
     if config.query_filter is not None and not _is_blank(config.query_filter):
         rows = rows.filter(config.query_filter)
     if config.replication_key and last_value is not None:
-        rows = rows.filter(after(rows, config.replication_key, last_value))
+        rows = rows.filter(after(rows, config.replication_key, last_value, inclusive))
     if config.limit is not None:
         rows = rows.orderBy(*filter(None, (config.replication_key, *config.keys))).limit(config.limit)
     return apply_types(rows.select(*(F.col(name).alias(name) for name in config.fields)), config.column_types)
@@ -95,8 +99,8 @@ def _is_blank(condition: str | Column) -> bool:
 
 def after(rows: DataFrame, cursor: str, last_value: Any, inclusive: bool = False) -> Column:
     """The cursor bound as a constant of the column's own type, which the scan can use."""
-    bound = F.lit(last_value).cast(rows.select(cursor).schema[0].dataType)
-    return F.col(cursor) >= bound if inclusive else F.col(cursor) > bound
+    bound = F.lit(last_value).cast(rows.select(named(cursor)).schema[0].dataType)
+    return named(cursor) >= bound if inclusive else named(cursor) > bound
 
 
 def with_parents(store: ObjectStore, name: str, fields: Iterable[str]) -> DataFrame:
@@ -127,6 +131,8 @@ def with_parents(store: ObjectStore, name: str, fields: Iterable[str]) -> DataFr
         lookup = store.load(parent.object).select(
             F.col(parent.parent_key).alias("_key"), *(F.col(c).alias(flat[path] + c) for c in sorted(needed[path]))
         )
+        if not parent.unique:
+            lookup = _once(lookup, f"{parent.object}.{parent.parent_key}")
         foreign = F.col(flat[above] + parent.foreign_key if above else parent.foreign_key)
         rows = rows.join(lookup, foreign == F.col("_key"), "left").drop("_key")
 
@@ -139,6 +145,14 @@ def with_parents(store: ObjectStore, name: str, fields: Iterable[str]) -> DataFr
     return rows.select(*base.columns, *(nested(path) for path in paths if "." not in path)) if paths else rows
 
 
+def _once(lookup: DataFrame, name: str) -> DataFrame:
+    """One row per ``_key``; using a key that repeats raises."""
+    values = [c for c in lookup.columns if c != "_key"]
+    several = F.raise_error(F.concat(F.lit(f"More than one row for {name} = "), F.col("_key").cast("string")))
+    kept = lookup.groupBy("_key").agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in values])
+    return kept.select("_key", *[F.when(F.col("_n") == 1, F.col(c)).otherwise(several).alias(c) for c in values])
+
+
 def _prefixes(path: str) -> list[str]:
     parts = path.split(".")
     return [".".join(parts[: n + 1]) for n in range(len(parts))]

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from objsync.functions.text import all_named
 from objsync.operators.dedup import keep_last
+from objsync.operators.results import filled_rows, missing_fields
 from objsync.plans.store import VersionedTable
 
 
@@ -21,27 +24,36 @@ def merge_latest(target: DataFrame, changes: DataFrame, keys: Sequence[str], ord
     A change that arrives late does not replace a newer row. Only the target rows
     whose key occurs in the changes are compared; the others pass through.
     """
-    changed = changes.select(*keys)
-    rivals = target.join(changed, list(keys), "left_semi").select(*target.columns)
-    untouched = target.join(changed, list(keys), "left_anti").select(*target.columns)
+    changed = changes.select(*all_named(keys))
+    rivals = target.join(changed, list(keys), "left_semi").select(*all_named(target.columns))
+    untouched = target.join(changed, list(keys), "left_anti").select(*all_named(target.columns))
     return untouched.unionByName(keep_last(rivals.unionByName(changes), list(keys), list(order_by)))
 
 
 def apply_changes(table: VersionedTable, changes: DataFrame, batch_id: int, stream: str, order_by: Sequence[str]) -> bool:
-    """Merge one micro-batch and record its number in the same commit; a replayed batch is skipped."""
+    """Merge one micro-batch and record its number in the same commit; a replayed batch is skipped.
+
+    Rows without a key cannot be merged: they are left out, and the commit counts
+    those of all batches of the stream (``keyless:<stream>``).
+    """
     applied = f"stream:{stream}"
     base = table.current()
     if base and base.state.get(applied, -1) >= batch_id:
         return False
-    latest = keep_last(changes, table.keys, list(order_by))
+    changes = table.fitted(changes, base)
+    keyed = filled_rows(changes, table.keys)
+    keyless = f"keyless:{stream}"
+    lost = changes.select(F.count_if(missing_fields(table.keys) != "")).first()[0]
+    state = {applied: batch_id, keyless: (base.state.get(keyless, 0) if base else 0) + lost}
+    latest = keep_last(keyed, table.keys, list(order_by))
     if base is None:
-        table.replace(latest, **{applied: batch_id})
+        table.replace(latest, **state)
         return True
     latest = latest.persist()  # read for its buckets and three times by the merge
     try:
         touched = table.touched(latest)
         merged = merge_latest(table.read(touched, base), latest, table.keys, order_by)
-        table.replace(merged, touched, base, **{applied: batch_id})
+        table.replace(merged, touched, base, **state)
     finally:
         latest.unpersist()
     return True

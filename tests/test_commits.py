@@ -1,0 +1,150 @@
+"""Commits that stay readable, complete and in order, on inputs whose types, names or files change."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from objsync.config import ResourceConfig, TargetConfig
+from objsync.functions.literals import literal
+from objsync.operators import mapping as mp
+from objsync.operators.write import upsert
+from objsync.plans import flow as flow_module
+from objsync.plans.flow import Flow, sync
+from objsync.plans.incremental import high_value
+from objsync.plans.store import VersionedTable
+from objsync.sources.objects import ObjectStore, Parent, extract, file_store
+from objsync.streaming.sync import apply_changes
+from tests.conftest import rows
+
+
+def test_append_of_a_wider_type_stays_readable(spark, folder):
+    table = VersionedTable(spark, folder)
+    table.append(spark.createDataFrame([(1,)], "v int"))
+    table.append(spark.createDataFrame([(2,)], "v bigint"))
+    assert rows(table.read()) == [(1,), (2,)]
+    with pytest.raises(Exception, match="does not fit int"):
+        table.append(spark.createDataFrame([(2**40,)], "v bigint"))
+    with pytest.raises(ValueError, match="array"):
+        table.append(spark.createDataFrame([([1],)], "v array<int>"))
+    assert table.current().version == 2 and rows(table.read()) == [(1,), (2,)]
+
+
+@pytest.mark.parametrize(("held", "given", "value"), [
+    ("bigint", "string", "007"), ("int", "bigint", 7), ("bigint", "int", 7), ("double", "bigint", 7), ("decimal(12,2)", "bigint", 7), ("bigint", "double", 7.0)])
+@pytest.mark.parametrize("stream", [False, True])
+def test_a_key_of_another_type_stays_one_row(spark, folder, held, given, value, stream):
+    table = VersionedTable(spark, folder, ["k"], buckets=8)
+    table.append(spark.range(20).select(F.col("id").cast(held).alias("k"), F.lit("old").alias("t"), F.col("id").alias("n")))
+    batch = spark.createDataFrame([(value, "new", 100)], f"k {given}, t string, n bigint")
+    if stream:
+        apply_changes(table, batch, 0, "s", ["n"])
+    else:
+        Flow("x", batch, TargetConfig("T", "merge", primary_key="k")).run(spark, table)
+    got = table.read()
+    assert got.count() == 20 and rows(got.filter("t = 'new'").select(F.col("k").cast("int"))) == [(7,)]
+    assert got.schema["k"].dataType.simpleString() == held
+
+
+def test_a_fraction_is_no_whole_key(spark, folder):
+    table = VersionedTable(spark, folder, ["k"], buckets=2)
+    table.append(spark.range(3).select(F.col("id").alias("k")))
+    with pytest.raises(Exception, match="does not fit bigint"):
+        Flow("x", spark.createDataFrame([(1.5,)], "k double"), TargetConfig("T", "merge", primary_key="k")).run(spark, table)
+
+
+def test_a_sync_sees_files_added_since(spark, folder):
+    put = lambda *data: spark.createDataFrame(data, "k int, at int").write.mode("append").parquet(f"{folder}/thing.parquet")
+    put((1, 1), (2, 2))
+    store, table = file_store(spark, folder), VersionedTable(spark, f"{folder}/t", ["k"], buckets=2)
+    config = ResourceConfig("things", "thing", "k", ("k", "at"), replication_key="at")
+    target = TargetConfig("T", "merge", primary_key="k", allow_empty=True)
+    assert sync(spark, store, config, table, target).records_processed == 2
+    put((3, 3), (4, 3))
+    assert sync(spark, store, config, table, target).records_processed == 2
+    assert rows(table.read().select("k")) == [(1,), (2,), (3,), (4,)]
+
+
+def test_late_ties_are_found_once(spark, folder):
+    held = []
+    store = ObjectStore(lambda name: spark.createDataFrame(held, "k int, at timestamp_ntz"))
+    from datetime import datetime as d
+
+    config = ResourceConfig("things", "thing", "k", ("k", "at"), replication_key="at")
+    target, table = TargetConfig("T", "merge", primary_key="id", allow_empty=True), VersionedTable(spark, f"{folder}/t", ["id"], buckets=2)
+    run = lambda: sync(spark, store, config, table, target, (lambda df: mp.map_columns(df, {"id": "k"}),), late_ties=True).records_processed
+    held += [(1, d(2020, 1, 1)), (2, d(2020, 1, 2))]
+    assert run() == 2
+    held += [(3, d(2020, 1, 2)), (4, d(2020, 1, 1))]
+    assert (run(), run()) == (1, 0)
+    held += [(5, d(2020, 1, 2)), (6, d(2020, 1, 3))]
+    assert (run(), run()) == (2, 0)
+    assert rows(table.read()) == [(1,), (2,), (3,), (5,), (6,)]
+
+
+def test_unwritable_rejects_commit_nothing(spark, folder, monkeypatch):
+    table = VersionedTable(spark, f"{folder}/t", ["k"], buckets=2)
+    flow = Flow("x", spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string"), TargetConfig("T", "upsert", primary_key="k"))
+
+    def broken(*_):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(flow_module, "write_rejects", broken)
+        with pytest.raises(OSError, match="disk full"):
+            flow.run(spark, table, last_value="9")
+    assert table.current() is None
+    result = flow.run(spark, table, last_value="9")
+    assert result.commit.state == {"last_value": "9", "rejected": 1, "rejects_path": result.rejects_path}
+    assert result.rejects_path.startswith(f"{folder}/t/_rejects/")
+    assert spark.read.option("header", True).csv(result.rejects_path).first()["error_code"] == "REQUIRED_FIELD_MISSING"
+
+
+def test_delete_by_the_bucket_key_rewrites_its_bucket_only(spark, folder):
+    table = VersionedTable(spark, folder, ["email"], buckets=16)
+    table.append(spark.range(200).select(F.concat(F.lit("u"), "id").alias("email")))
+    before = set(table.current().folders)
+    flow = Flow("x", spark.createDataFrame([("u7",)], "email string"), TargetConfig("T", "delete", primary_key="email"))
+    flow.run(spark, table)
+    assert table.read().count() == 199
+    assert len(before - set(table.current().folders)) == 1
+
+
+def test_stream_rows_without_a_key_are_counted_and_left_out(spark, folder):
+    table = VersionedTable(spark, folder, ["k"], buckets=2)
+    for number in range(3):
+        apply_changes(table, spark.createDataFrame([(None, 1), (number, 1)], "k int, at int"), number, "s", ["at"])
+    assert rows(table.read().select("k")) == [(0,), (1,), (2,)]
+    assert table.state["keyless:s"] == 3
+
+
+def test_dotted_columns_are_written(spark):
+    target = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], ["Id", "Owner.Name", "v"])
+    batch = spark.createDataFrame([(2, "c"), (3, "d"), (None, "e")], "Id long, `Owner.Name` string")
+    plan = upsert(target, batch, "Id")
+    assert rows(plan.table) == [(1, "a", "x"), (2, "c", "y"), (3, "d", None)]
+    assert plan.rejects.count() == 1
+    by_name = upsert(target, target.select("Id", "`Owner.Name`", F.lit("z").alias("v")), "Owner.Name", on_duplicate="keep_last", order_by=["Owner.Name"])
+    assert rows(by_name.table) == [(1, "a", "z"), (2, "b", "z")]
+
+
+def test_literals_and_cursors_do_not_depend_on_the_session_zone(spark):
+    df = spark.sql("SELECT timestamp '2024-03-31 02:30:00.5 UTC' AS t, timestamp_ntz '2024-03-31 02:30:00.5' AS n")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "Europe/Paris", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            shown = df.select(*(literal(F.col(c), df.schema[c].dataType) for c in "tn")).first()
+            assert tuple(shown) == ("2024-03-31T02:30:00.500Z",) * 2
+            assert high_value(df, "t") == "2024-03-31 02:30:00.5Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_parent_key_that_repeats_fails_where_it_is_used(spark):
+    tables = {"child": spark.createDataFrame([(1, 1), (2, 2)], "k int, p int"),
+              "parent": spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "id int, n string")}
+    store = ObjectStore(tables.__getitem__, {"child": {"up": Parent("parent", "p", "id")}})
+    config = ResourceConfig("c", "child", "k", ("k", "up.n"))
+    with pytest.raises(Exception, match="More than one row for parent.id = 2"):
+        extract(store, config).collect()
+    tables["child"] = tables["child"].filter("p = 1")
+    assert rows(extract(store, config)) == [(1, "a")]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from objsync.functions.text import all_named, named
 
-SALT = "_salt"
+SALT, SPREAD = "_salt", "_spread"
 
 
 def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
@@ -31,17 +32,28 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01, tracked: int = 10_000
     return [entry["item"] for entry in found["top"] or [] if entry["count"] > share * found["n"]]
 
 
+def split_join(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equi-join on equal-named keys whose hot keys are split at run time, also against an aggregate on those keys.
+
+    Spark splits a skewed join only between two shuffles made for it. An aggregate on
+    the same keys would be joined where it lies; a hash of the keys as one more join
+    key asks for a shuffle of its own, and the aggregated side is the small one.
+    """
+    spread = F.xxhash64(*all_named(keys))
+    return rows.withColumn(SPREAD, spread).join(other.withColumn(SPREAD, spread), [*keys, SPREAD], how).drop(SPREAD)
+
+
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
                 hot: list | None = None, salt: int = 32) -> DataFrame:
     """Join rows to a lookup on one equal-named key.
 
-    Without ``hot`` this is a plain equi-join: Spark broadcasts the lookup if its
-    size allows and otherwise splits skewed partitions at run time. With a list
+    Without ``hot`` Spark broadcasts the lookup if its size allows and otherwise
+    splits skewed partitions at run time. With a list
     of hot keys, the rows of each (and rows without a key) are spread over
     ``salt`` tasks, and only the hot lookup rows are repeated to meet them.
     """
     if hot is None:
-        return rows.join(lookup, key, how)
+        return split_join(rows, lookup, [key], how)
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     spread = F.coalesce(is_hot, F.lit(True))
     salted = rows.withColumn(SALT, F.when(spread, _slot(rows, salt)).otherwise(F.lit(0)))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from objsync.functions.text import all_named, is_filled, named
 from objsync.operators.dedup import repeated_keys
+from objsync.operators.joins import split_join
 from objsync.operators.mapping import flatten
 from objsync.sources.files import CSV_OPTIONS
 
@@ -66,7 +67,7 @@ def label_errors(df: DataFrame, required: Sequence[str], unique: Sequence[str])
     message = F.when(gone != "", F.concat(F.lit("Required fields are missing: "), gone)).when(
         F.col("_repeated"), F.lit(f"Duplicate value on: {', '.join(unique)}")
     )
-    joined = df.join(repeated, list(unique), "left")
+    joined = split_join(df, repeated, list(unique), "left")
     return joined.select(*all_named(df.columns), code.alias("error_code"), message.alias("error_message"))
 
 

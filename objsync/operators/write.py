@@ -18,7 +18,7 @@ from objsync.config import TargetConfig
 from objsync.functions.text import all_named, named
 from objsync.operators import results
 from objsync.operators.dedup import keep_last
-from objsync.operators.joins import distinct_keys
+from objsync.operators.joins import distinct_keys, split_join
 from objsync.operators.keymap import ID, KEY
 from objsync.operators.mapping import spelled
 
@@ -74,7 +74,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: str | Sequence[str], null_
     once = _one_row_per_key(keyed, keys, on_duplicate, order_by)
     given = _given_keys(keyed, keys, on_duplicate)
     status = _key_status(None if target_unique and full_rows else target, given, keys)
-    marked = once.join(status, keys).select(*all_named(batch.columns), "_given", "_held")
+    marked = split_join(once, status, keys).select(*all_named(batch.columns), "_given", "_held")
     accepted = marked.filter("_given = 1 AND _held <= 1")
     refused = marked.filter("_given > 1 OR _held > 1")
     doubled = F.col("_given") > 1
@@ -128,7 +128,7 @@ def _key_status(target: DataFrame | None, given: DataFrame, keys: list[str]) ->
 
 def _overwrite_rows(target: DataFrame, rows: DataFrame, status: DataFrame, keys: list[str]) -> DataFrame:
     replaced = status.filter("_given = 1 AND _held <= 1").select(*all_named(keys))
-    untouched = target.join(replaced, keys, "left_anti").select(*all_named(target.columns))
+    untouched = split_join(target, replaced, keys, "left_anti").select(*all_named(target.columns))
     return untouched.unionByName(rows, allowMissingColumns=True)
 
 
@@ -148,7 +148,7 @@ def _overwrite_cells(target: DataFrame, rows: DataFrame, keys: list[str], null_p
     given = {name.lower(): name for name in values}
     columns = [merged(name) if name.lower() in given else named(name) for name in target.columns]
     columns += [merged(name) for name in values if name.lower() not in held]
-    return target.join(packed, keys, "left").select(*columns)
+    return split_join(target, packed, keys, "left").select(*columns)
 
 
 def upsert_outcomes(target: DataFrame, accepted: DataFrame, keys: Sequence[str]) -> DataFrame:

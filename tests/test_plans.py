@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from objsync.operators import write
+from objsync.operators import keymap, results, write
 from objsync.plans.queries import CATALOG
 
 SF = "/root/testdata/sf0.01"
@@ -73,3 +73,34 @@ def test_keep_last_reduces_before_the_shuffle(spark):
     assert "partial_max" in text
     text = plan(CATALOG["keymap_merge"](spark, SF))
     assert text.index("partial_max_by") > text.index("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("case", ["resolve", "split", "label", "upsert", "cells"])
+def test_a_hot_key_is_split(spark, folder, case):
+    """Beyond the broadcast limit, with low thresholds: the rows of a hot key go to several tasks."""
+    spark.range(0, 40_000, 1, 8).selectExpr("if(id % 2 = 0, 'hot', concat('k', id)) k", "id v", "uuid() pad").write.parquet(f"{folder}/r")
+    spark.range(0, 21_000).selectExpr("if(id = 0, 'hot', concat('k', id)) key", "cast(id as string) Id").write.parquet(f"{folder}/m")
+    many, few = spark.read.parquet(f"{folder}/r"), spark.read.parquet(f"{folder}/m")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.shuffle.partitions": "8"}
+    before = {name: spark.conf.get(name) for name in conf if name != "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        if case == "resolve":
+            df = keymap.resolve_keys(many, few, "k")
+        elif case == "split":
+            df = keymap.split_resolved(many, few, "k")[0]
+        elif case == "label":
+            df = results.label_errors(many, [], ["k"])
+        elif case == "upsert":
+            df = write.upsert(many.limit(0), many, "k").rejects
+        else:
+            df = write.upsert(many, few.selectExpr("key k", "cast(Id as long) v"), "k").table
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        assert "SortMergeJoin(skew=true)" in plan(df)
+    finally:
+        for name in conf:
+            spark.conf.set(name, before[name]) if name in before else spark.conf.unset(name)

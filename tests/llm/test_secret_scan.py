@@ -1,0 +1,83 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from objsync.llm import secret_scan
+
+SCHEMA = "doc_id long, text string"
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+ACCESS, HEX = re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")
+
+
+def brute(text):
+    spans = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, m.end(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= 16]
+    return sorted(spans + [(m.start(), 2, m.end(), "hex") for m in HEX.finditer(text) if len(m[0]) >= 32])
+
+
+def noise(draw, n=30):
+    return "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+
+
+def corpus():
+    draw = random.Random(3)
+    word = lambda: draw.choice(["retention", "blends", "order", "therefore", "über", "naïve", "😀", "configuration"])
+    rows = []
+    for i in range(120):
+        parts = [word() for _ in range(30)]
+        parts[draw.randrange(30)] = draw.choice([
+            f'password = "{noise(draw)}"', f"API_KEY:{noise(draw, 7)}", "AKIA" + "ABCD1234" * draw.randint(1, 3), "AKIAKIA12",
+            "".join(draw.choice("0123456789abcdef") for _ in range(draw.choice([31, 32, 64]))), f"token=secret: token: {noise(draw, 9)}",
+            f"secret: token: {noise(draw, 12)} token=token=abcdefghij"])
+        rows.append((i, " ".join(parts)))
+    return rows
+
+
+def scan(df, model=None):
+    found = secret_scan.find_secrets(df, model or secret_scan.train(df))
+    return {r["doc_id"]: r for r in found.collect()}
+
+
+def test_base_spans_match_brute_force(make):
+    rows = [*corpus(), (900, None), (901, ""), (902, "token=abcdefgh"), (903, "x " * 60_000 + "token=abcdefgh1 é AKIA" + "Z" * 12)]
+    rows.append((904, "Ktoken=aaaaaaaaa to\u212aen=bbbbbbbbbb"))
+    got = scan(make(rows, SCHEMA, clash=True))
+    for i, text in rows:
+        want = brute(text or "")
+        assert [tuple(s) for s in got[i]["base"]] == want
+        assert (got[i]["n_assign"], got[i]["n_access"], got[i]["n_hex"]) == tuple(sum(s[1] == k for s in want) for k in range(3))
+        assert set(map(tuple, got[i]["base"])) <= set(map(tuple, got[i]["spans"]))
+
+
+def test_method_adds_random_strings_only(make):
+    draw = random.Random(5)
+    strange = [noise(draw, 32) for _ in range(20)]
+    rows = [*corpus(), *[(500 + i, f"order {s} configuration") for i, s in enumerate(strange)],
+            *[(600 + i, "configurationretentiontherefore blends-order-blends-order-retention") for i in range(5)]]
+    got = scan(make(rows, SCHEMA))
+    for i, _ in enumerate(strange):
+        assert [tuple(s) for s in got[500 + i]["spans"]] == [(6, 3, 38, "markov")]
+    assert all(not got[600 + i]["spans"] for i in range(5))
+
+
+def test_without_samples_nothing_is_added(make):
+    df = make([(1, None), (2, "")], SCHEMA)
+    model = secret_scan.train(df)
+    assert model.least == 0 and set(model.ratios) == {0.0}
+    assert scan(make([(1, noise(random.Random(1)))], SCHEMA), model)[1]["spans"] == []
+    assert scan(df.filter("false"), model) == {}
+
+
+def test_repeats_and_redaction(make):
+    text = "a é password='abcdefgh0123' z AKIA" + "B" * 12 + "!"
+    df = make([(1, text), (1, text), (2, None), (3, "clean")], SCHEMA)
+    found = secret_scan.find_secrets(df, secret_scan.train(df))
+    got = sorted((r[0], r[1]) for r in found.select("doc_id", secret_scan.redacted(F.col("text"), F.col("spans"))).fillna("null").collect())
+    assert got == [(1, "a é [secret]' z [secret]!")] * 2 + [(2, "null"), (3, "clean")]
+
+
+def test_no_python_in_the_plan(make):
+    df = secret_scan.find_secrets(make(corpus(), SCHEMA), secret_scan.train(make(corpus(), SCHEMA)))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

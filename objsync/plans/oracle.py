@@ -280,4 +280,19 @@ ORACLE: dict[str, str] = {
     "stream_sync": """
         SELECT event_id, ts, user_id, event_type, value, props FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+    "file_stats": "SELECT count(*) AS n, true AS fits, true AS all_counted FROM documents",
+    "text_stats": "SELECT count(*) AS n, true AS fits FROM orders",
+    "json_records": """
+        SELECT p_partkey AS siren, coalesce(nullif(p_type, 'SMALL'), 'none') AS kind, p_brand AS town, NULL::varchar AS absent FROM part""",
+    "keymap_two_loads": f"""
+        WITH k AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' OR o_orderpriority = '1-URGENT')
+        SELECT o_orderkey, CASE WHEN o_custkey IN (FROM k) THEN "Id" END AS account_id
+        FROM orders LEFT JOIN ({_ACCOUNT}) ON c_name = {_LOOKUP}""",
+    "rejects_read_back": f"""
+        SELECT l_orderkey || '-' || l_linenumber AS line_key, l_quantity::varchar AS l_quantity, 'DUPLICATE_VALUE' AS error_code,
+          'Duplicate value on: line_key' AS error_message FROM ({_LINES}) WHERE n > 1""",
+    "sync_late_ties": "SELECT o_orderkey AS order_id, o_orderstatus AS status FROM orders",
+    "merge_text_keys": """
+        SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+        FROM customer""",
 }

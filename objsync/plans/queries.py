@@ -738,3 +738,77 @@ def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
     feed = file_feed(spark, sf, schema, pattern="events.parquet")
     start_sync(feed, users, ["ts", "event_id"], scratch_folder(spark, "stream")).awaitTermination()
     return users.read()
+
+
+@query
+def file_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per written file: all rows are there and no file is larger than a batch."""
+    folder = results.write_csv(table(spark, sf, "documents"), scratch_folder(spark, "csv"), batch_rows=500)
+    written = files.file_chunks(files.read_csv(spark, folder))
+    return written.agg(F.sum("n").alias("n"), (F.max("n") <= 500).alias("fits"), (F.count("*") * 500 >= F.sum("n")).alias("all_counted"))
+
+
+@query
+def text_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of CSV texts of at most a delivery batch."""
+    texts = results.csv_texts(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"))
+    lines = texts.select((F.size(F.split("body", "\n")) - 2).cast("long").alias("n"))
+    return lines.agg(F.sum("n").alias("n"), (F.max("n") <= results.BATCH_ROWS).alias("fits"))
+
+
+@query
+def json_records(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON files with a field that only some records have, read under a declared schema."""
+    folder = scratch_folder(spark, "json")
+    seat = F.struct(F.nullif("p_type", F.lit("SMALL")).alias("kind"), F.col("p_brand").alias("town"))
+    table(spark, sf, "part").select(F.col("p_partkey").alias("siren"), seat.alias("seat")).write.json(folder)
+    records = files.read_json(spark, folder, "siren bigint, seat struct<kind: string, town: string>, absent string")
+    return records.select("siren", child_or(F.col("seat.kind"), "none").alias("kind"), "seat.town", "absent")
+
+
+@query
+def keymap_two_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """A key map loaded for the keys of one part of the orders, then for another, and used for all."""
+    maps = km.KeyMaps(spark)
+    lookups = order_lookups(spark, sf)
+    for part in ("o_orderstatus = 'F'", "o_orderpriority = '1-URGENT'"):
+        maps.define("Account", "c_name", accounts(spark, sf), keys=km.lookup_keys(lookups.filter(part), "account_key"))
+    return maps.resolve(lookups, "Account", "c_name", "account_key", output="account_id", on_miss="null").select("o_orderkey", "account_id")
+
+
+@query
+def rejects_read_back(spark: SparkSession, sf: str) -> DataFrame:
+    """The rejects folder of a run, read as the CSV it is delivered in."""
+    lines = VersionedTable(spark, scratch_folder(spark, "tables"))
+    flow = Flow("lines", _doubled_lines(spark, sf).withColumn("line_key", F.concat_ws("-", "l_orderkey", "l_linenumber")),
+                TargetConfig("Line", "upsert", primary_key="line_key"))
+    path = flow.run(spark, lines).rejects_path
+    return files.read_csv(spark, path).select("line_key", "l_quantity", "error_code", "error_message")
+
+
+@query
+def sync_late_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Two syncs of one store: files are added in between, some of their rows at the very cursor value the first ended on."""
+    root = scratch_folder(spark, "objects")
+    orders = table(spark, sf, "orders")
+    late = "o_orderdate > timestamp_ntz'1997-12-31' OR (o_orderdate = timestamp_ntz'1997-12-31' AND o_orderkey % 2 = 1)"
+    store, target = file_store(spark, root), VersionedTable(spark, scratch_folder(spark, "tables"), ["order_id"], buckets=8)
+    config = ResourceConfig("tb_orders", "orders", "o_orderkey", ("o_orderkey", "o_orderstatus", "o_orderdate"), replication_key="o_orderdate")
+    merge = TargetConfig("tb_orders", "merge", primary_key="order_id", allow_empty=True)
+    for rows in (orders.filter(f"NOT ({late})"), orders.filter(late)):
+        rows.write.mode("append").parquet(f"{root}/orders.parquet")
+        sync(spark, store, config, target, merge, (lambda df: mp.map_columns(df, {"order_id": "o_orderkey", "status": "o_orderstatus"}),),
+             late_ties=True)
+    return target.read()
+
+
+@query
+def merge_text_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch with its keys as padded text, as CSV brings them, merged into a table bucketed by number."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    target = VersionedTable(spark, scratch_folder(spark, "tables"), ["c_custkey"], buckets=8)
+    target.append(customers)
+    batch = customers.filter("c_mktsegment = 'BUILDING'").select(
+        zero_padded(F.col("c_custkey"), 9).alias("c_custkey"), (F.col("c_acctbal") + 100).cast("string").alias("c_acctbal"))
+    Flow("customers", batch, TargetConfig("Customer", "merge", primary_key="c_custkey")).run(spark, target)
+    return target.read()

@@ -15,8 +15,9 @@ from objsync.llm.common import ranked, stored
 END_ID = 2
 # Rows of one length that one task numbers.
 BUCKET_ROWS = 4096
-# Words whose ids a worker remembers; past that it starts again.
-REMEMBERED = 400_000
+# Parts of at most so many characters whose ids a worker remembers; past that number it starts again.
+LONGEST = 64
+REMEMBERED = 600_000
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, ids array<int>"
 
@@ -59,17 +60,47 @@ def _encoder(path: str):
     """Text to the bytes of its ids.
 
     White space separates the tokenizer's words, so the ids of a text are those of
-    its blank-separated parts in turn, and a part that occurs again is looked up.
+    its blank-separated parts in turn, and a part that occurs again is looked up. A
+    part of letters is one word: it goes to the tokenizer's model at once, spelt as
+    the tokenizer's normaliser and byte alphabet would spell it.
     """
+    import unicodedata
+
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
+    model = tokenizer.model
+    # The byte alphabet gives printable bytes their own character and the others, in order, the ones from 256 on.
+    own = sorted(ord(c) for c in ByteLevel.alphabet() if ord(c) < 256)
+    others = iter(range(256, 512))
+    spelt = {byte: byte if byte in own else next(others) for byte in range(256)}
+    moved = {byte: char for byte, char in spelt.items() if byte != char}
+
+    def word(part):
+        """The ids of a part of letters, or None where lower case depends on more than the letter."""
+        if not part.isascii():
+            part = unicodedata.normalize("NFC", part)
+            if "\u03a3" in part or "\u0130" in part:
+                return None
+        part = part.lower()
+        if not part.isascii():
+            if not part.isalpha():
+                return None
+            part = part.encode().decode("latin-1").translate(moved)
+        return [token.id for token in model.tokenize(part)]
 
     class Known(dict):
         def __missing__(self, part):
-            ids = tokenizer.encode(part, add_special_tokens=False).ids
-            data = np.array(ids, dtype="<u4").tobytes()
-            if len(part) <= 64:
+            # Lower case can turn the last letter into one with a mark, which a full stop would join.
+            if part[-1:] in (".", ",") and part[:-1].isalpha() and "\u0130" not in part and len(part) <= LONGEST:
+                data = self[part[:-1]] + self[part[-1]]
+            else:
+                ids = word(part) if part.isalpha() else None
+                if ids is None:
+                    ids = tokenizer.encode(part, add_special_tokens=False).ids
+                data = np.array(ids, dtype="<u4").tobytes()
+            if len(part) <= LONGEST:
                 if len(self) >= REMEMBERED:
                     self.clear()
                 self[part] = data

@@ -152,16 +152,21 @@ def _overwrite_cells(target: DataFrame, rows: DataFrame, keys: list[str], null_p
 
 
 def upsert_outcomes(target: DataFrame, accepted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(outcome, n): rows inserted, updated and unchanged, from the key columns alone."""
-    sides = target.select(*all_named(keys), F.lit(1).alias("_old"), F.lit(0).alias("_new")).unionByName(
-        accepted.select(*all_named(keys), F.lit(0).alias("_old"), F.lit(1).alias("_new"))
-    )
-    per_key = sides.groupBy(*all_named(keys)).agg(F.sum("_old").alias("_old"), F.max("_new").alias("_new"))
-    outcome = (
-        F.when(F.col("_old") == 0, F.lit("inserted")).when(F.col("_new") == 1, F.lit("updated"))
-        .otherwise(F.lit("unchanged"))
-    )
-    return per_key.groupBy(outcome.alias("outcome")).agg(F.sum(F.greatest("_old", F.lit(1))).alias("n"))
+    """(outcome, n): rows inserted, updated and unchanged, where there are any.
+
+    The batch keys narrow the target's keys before anything is counted by key; the
+    unchanged rows are the target's number of rows less the updated ones.
+    """
+    given = accepted.select(*all_named(keys)).distinct()
+    held = target.select(*all_named(keys)).join(given, list(keys), "left_semi")
+    held = held.groupBy(*all_named(keys)).agg(F.count("*").alias("_old"))
+    by_key = given.join(held, list(keys), "left").select(
+        F.expr("int(_old IS NULL)").alias("inserted"), F.coalesce("_old", F.lit(0)).alias("updated"), F.lit(0).alias("whole"))
+    whole = target.agg(F.count("*").alias("whole")).select(F.lit(0).alias("inserted"), F.lit(0).alias("updated"), "whole")
+    sums = by_key.unionByName(whole).agg(*[F.sum(c).alias(c) for c in ("inserted", "updated", "whole")])
+    counts = {"inserted": F.col("inserted"), "updated": F.col("updated"), "unchanged": F.col("whole") - F.col("updated")}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("outcome"), n.alias("n")) for k, n in counts.items()]))
+    return sums.select(each.alias("o")).select("o.outcome", "o.n").filter("n > 0")
 
 
 def delete_by_id(target: DataFrame, ids: DataFrame, id_column: str = ID) -> WritePlan:

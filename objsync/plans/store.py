@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 from objsync.functions.text import named
 
 BUCKET = "bucket"
+# A bucket is a folder and an entry of every commit; a rule that makes more of them is a mistake.
+MOST_BUCKETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -100,11 +102,14 @@ class VersionedTable:
         return _fitted(rows, commit.schema) if commit else rows
 
     def touched(self, batch: DataFrame) -> set[int] | None:
-        """The buckets that hold the keys of a batch; never more than there are buckets."""
+        """The buckets that hold the keys of a batch; never more than there are buckets, and ``MOST_BUCKETS`` at most."""
         if not self.rule:
             return None
         batch = self.fitted(batch)
-        return {row[0] for row in batch.select(self._bucket_of()).distinct().collect()}
+        found = batch.select(self._bucket_of()).distinct().limit(MOST_BUCKETS + 1).collect()
+        if len(found) > MOST_BUCKETS:
+            raise ValueError(f"The rule '{self.rule}' makes more than {MOST_BUCKETS} buckets of one batch")
+        return {row[0] for row in found}
 
     def append(self, df: DataFrame, **state: Any) -> Commit:
         """Add rows beside the present ones."""
@@ -133,22 +138,24 @@ class VersionedTable:
         return self._prepare(base, df, lambda old, new: tuple(f for f in old if f[0] not in gone) + new, state)
 
     def expire(self, keep: int = 1) -> int:
-        """Delete the folders that none of the last ``keep`` versions names; returns how many.
+        """Delete the folders that none of the last ``keep`` versions names, and older commits; returns how many folders.
 
         Readers of older versions and unfinished writers must be gone.
         """
         folder = self._hadoop.Path(f"{self.path}/_commits")
-        names = sorted(name for name in self._names(folder) if name.endswith(".json") and not name.startswith("."))
-        named = {path for name in names[-max(keep, 1):] for _, path in self._load(name).folders}
+        commits = sorted(name for name in self._names(folder) if name.endswith(".json") and not name.startswith("."))
+        kept = {path for name in commits[-max(keep, 1):] for _, path in self._load(name).folders}
         written = [v for v in self._names(self._hadoop.Path(self.path)) if v.startswith("v=")]
         dropped = 0
         for version in written:
             names = self._names(self._hadoop.Path(f"{self.path}/{version}"))
             inner = [f"{version}/{name}" for name in names if name.startswith(f"{BUCKET}=")]
-            gone = [path for path in inner or [version] if path not in named]
+            gone = [path for path in inner or [version] if path not in kept]
             for path in [version] if inner and len(gone) == len(inner) else gone:
                 self._files.delete(self._hadoop.Path(f"{self.path}/{path}"), True)
             dropped += len(gone)
+        for name in commits[: -max(keep, 1)]:
+            self._files.delete(self._hadoop.Path(f"{self.path}/_commits/{name}"), False)
         return dropped
 
     def _names(self, folder) -> list[str]:

@@ -148,3 +148,23 @@ def test_a_parent_key_that_repeats_fails_where_it_is_used(spark):
         extract(store, config).collect()
     tables["child"] = tables["child"].filter("p = 1")
     assert rows(extract(store, config)) == [(1, "a")]
+
+
+def test_expire_drops_old_commits_too(spark, folder):
+    table = VersionedTable(spark, folder)
+    for number in range(4):
+        table.replace(spark.range(number + 1))
+    assert table.expire(keep=2) == 2
+    assert table.current().version == 4 and table.read().count() == 4
+    table.append(spark.range(1))
+    assert VersionedTable(spark, folder).current().version == 5
+
+
+def test_a_rule_with_too_many_buckets_is_refused(spark, folder, monkeypatch):
+    from objsync.plans import store
+
+    monkeypatch.setattr(store, "MOST_BUCKETS", 5)
+    table = VersionedTable(spark, folder, ["id"], bucket_by="id")
+    table.append(spark.range(3))
+    with pytest.raises(ValueError, match="more than 5 buckets"):
+        table.touched(spark.range(9))

@@ -40,7 +40,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     for it. Rows with a null id or vector take no part; a shorter vector counts as
     padded with zeros; a query id that repeats is asked once, with its smallest
     vector; repeated candidates each take a rank. Scores beyond the range of a long
-    are cut to it. Empty tables give no rows; other columns are ignored.
+    are cut to it before they are ranked. Empty tables give no rows; other columns are ignored.
 
     Vectors are dealt by a hash over blocks, about a quarter of the root of their
     number and at most ``BLOCK_ROWS`` each, and every query visits every block in a
@@ -141,13 +141,14 @@ class _Block:
             step = step * 2 if step else 4
             upto = int(np.searchsorted(self.shown, step, side="left"))
             scores = product(grid[active], self.grid[seen:upto])
-            scores = scores.astype(np.int64) if exact else scores
+            scores = scores.astype(np.int64) if exact else _in_range(scores)
             for number, line in zip(active, scores, strict=True):
                 kept[number] = self._merged(kept[number], line, seen, upto, asking[number], k)
             seen = upto
             if seen < rows:
                 # Every unseen row lies between the places where the two ends of each list stand.
                 bound = product(up[active], self.low[rows - 1 - step][None, :]) + product(down[active], self.low[step][None, :])
+                bound = bound if exact else _in_range(bound)
                 kth = [kept[n][1][k - 1] if len(kept[n][1]) >= k else None for n in active]
                 stays = [last is None or not limit < last for limit, last in zip(bound[:, 0], kth, strict=True)]
                 active = active[np.array(stays, dtype=bool)]
@@ -155,7 +156,7 @@ class _Block:
         for query, (at, score) in zip(asking.tolist(), kept, strict=True):
             out[0].extend([query] * len(at))
             out[1].extend(self.ids[at].tolist())
-            out[2].extend(max(-(1 << 63), min((1 << 63) - 1, int(s))) for s in score)
+            out[2].extend(map(int, score))
         return out
 
     def _merged(self, held, line, first: int, last: int, own: int, k: int):
@@ -174,6 +175,11 @@ class _Block:
         return at[order], score[order]
 
 
+def _in_range(scores: np.ndarray) -> np.ndarray:
+    """Python integers cut to the range of a long."""
+    return np.minimum(np.maximum(scores, -(1 << 63)), (1 << 63) - 1) if scores.size else scores
+
+
 def _big_product(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Inner products as Python integers, for components beyond what a double sums exactly."""
     whole = np.frompyfunc(int, 1, 1)

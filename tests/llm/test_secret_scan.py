@@ -55,7 +55,7 @@ def test_method_adds_random_strings_only(make):
     strange = [noise(draw, 32) for _ in range(20)]
     rows = [*corpus(), *[(500 + i, f"order {s} configuration") for i, s in enumerate(strange)],
             *[(600 + i, "configurationretentiontherefore blends-order-blends-order-retention") for i in range(5)]]
-    got = scan(make(rows, SCHEMA))
+    got = scan(make(rows, SCHEMA), secret_scan.train(make(corpus(), SCHEMA)))
     for i, _ in enumerate(strange):
         assert [tuple(s) for s in got[500 + i]["spans"]] == [(6, 3, 38, "markov")]
     assert all(not got[600 + i]["spans"] for i in range(5))

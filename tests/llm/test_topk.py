@@ -46,9 +46,12 @@ def test_empty_short_and_repeated(make):
 def test_components_beyond_exact_doubles(make):
     rows = [(i, [v]) for i, v in enumerate([2.0**40 + 2.0**20, 2.0**40, 2.0**41, -(2.0**41)])]
     whole = [(i, [int(64 * v[0])]) for i, v in rows]
-    want = brute(whole, whole[::2], 5)
-    cut = sorted((q, r, i, max(-(1 << 63), min((1 << 63) - 1, s))) for q, r, i, s in want)
-    assert run(make, rows) == cut
+    cut = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    want = []
+    for q, v in whole[::2]:
+        scores = sorted((-cut(v[0] * w[0]), i) for i, w in whole if i != q)
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+    assert run(make, rows) == sorted(want)
 
 
 @pytest.mark.parametrize("seed", range(4))

@@ -51,7 +51,7 @@ def test_segmentation_is_the_cheapest_split(make):
 def test_method_judges_the_rest(make):
     rows = [(i, f"http://shopbest.example.com/en/{i}", "<p>shop best news day</p>") for i in range(20)]
     rows += [(30 + i, f"http://newsday.example.com/fr/{i}", "news day") for i in range(20)]
-    rows += [(60, "http://bestshop.example.org/en/1", None), (61, "http://daynews.example.org/fr/1", ""), (62, None, "x"), (63, "no url", "x")]
+    rows += [(60, "http://bestshop.example.org/en/1", None), (61, "http://daynews.example.org/fr/1", ""), (62, None, "day"), (63, "no url", "")]
     rows += [(64, "http://" + "news" * 5000 + ".org/", ""), (60, "http://bestshop.example.org/en/1", None)]
     df = make(rows, SCHEMA, clash=True)
     got = {r["page_id"]: r for r in urls.judge(df, RULES, urls.word_counts(df, "html")).collect()}

@@ -28,12 +28,12 @@ class Settings:
     belong to the fit.
     """
 
-    orders: tuple[int, ...] = (4, 5)
+    orders: tuple[int, ...] = (4, 5, 6)
     bits: int = 19
     rows: int = 1500
     chars: int = 6000
-    kept: int = 12_000
-    decay: float = 1e-4
+    kept: int = 4000
+    decay: float = 1e-2
     epochs: int = 150
     rate: float = 0.05
 

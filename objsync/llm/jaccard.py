@@ -65,7 +65,10 @@ def link_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     is compared with the others; what it links is merged; then the next ``GROWTH``,
     and so on by powers, always between sets that no links connect yet. Thousands of
     near copies so cost one comparison each and not one per pair, while every pair
-    that shares a signature is either compared or already connected.
+    that shares a signature is either compared or already connected. A comparison
+    starts with bitmaps of a few bits per token, whose differing bits are a lower
+    bound of the tokens in which two sets differ; only the sets of pairs that stand
+    this test are read from the texts and intersected.
     """
     texts = docs.select(F.col("doc_id"), F.col("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()[0]
@@ -76,7 +79,7 @@ def link_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     rows = stored(_signed(texts, measure, shared, bits), "signed")
     nodes = stored(rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("own"), F.count("*").alias("n")), "nodes")
     posts = _postings(rows, bits)
-    labels = _linked(texts, posts, measure)
+    labels = _linked(texts, rows, posts, measure)
     rooted = nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("own").alias("component_id"), F.sum("n").alias("rows")).filter("rows > 1").drop("rows")
     shared_ids = stored(rooted.join(stored(ids, "ids"), "root").select("node", "component_id"), "components")
@@ -273,30 +276,47 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, measure: Measure) -> tu
 
 def _signed(texts: DataFrame, measure: Measure, listed, bits: int) -> DataFrame:
     """Per row: its id, the size and the node of its set, the signatures and the number of rare ones."""
-    fields = "n_shingles int, node long, rare int, signatures array<long>"
+    fields = "n_shingles int, node long, rare int, signatures array<long>, bitmap binary"
     schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, {fields}"
 
     def sign(batches):
         shingler, table = Shingler(measure.words), listed.value
         for batch in batches:
-            sizes, nodes, rares, lists = [], [], [], []
+            sizes, nodes, rares, lists, bitmaps = [], [], [], [], []
             for tokens in shingler.sets(batch.column(1).to_pylist()):
                 sizes.append(len(tokens))
                 if not len(tokens):
-                    nodes.append(None), rares.append(0), lists.append(np.empty(0, dtype=np.uint64))
+                    nodes.append(None), rares.append(0), lists.append(np.empty(0, dtype=np.uint64)), bitmaps.append(None)
                     continue
                 found, rare = signatures(tokens, _member(tokens >> np.uint64(32 - bits), table), measure)
-                nodes.append(_node(tokens)), rares.append(rare), lists.append(found)
+                nodes.append(_node(tokens)), rares.append(rare), lists.append(found), bitmaps.append(_bitmap(tokens))
             ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
             flat = pa.array(np.concatenate([np.empty(0, dtype=np.uint64), *lists]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, type=pa.int32()), pa.array(nodes, type=pa.int64()),
-                 pa.array(rares, type=pa.int32()), pa.ListArray.from_arrays(pa.array(ends), flat)],
-                ["doc_id", "n_shingles", "node", "rare", "signatures"])
+                 pa.array(rares, type=pa.int32()), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(bitmaps, type=pa.binary())],
+                ["doc_id", "n_shingles", "node", "rare", "signatures", "bitmap"])
 
     return texts.mapInArrow(sign, schema)
 
 
+def _bitmap(tokens: np.ndarray) -> bytes:
+    """Whether an odd number of tokens falls on each bit; there are as many bits as tokens, within bounds."""
+    bits = min(1 << 16, max(256, 1 << (len(tokens) - 1).bit_length()))
+    odd = np.bincount((tokens >> np.uint64(7)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def _differing(one: bytes, two: bytes) -> int:
+    """A lower bound of the tokens that are in one of two sets only; the longer bitmap is folded."""
+    while len(one) != len(two):
+        one, two = (one, two) if len(one) > len(two) else (two, one)
+        half = len(one) // 2
+        folded = int.from_bytes(one[:half], "little") ^ int.from_bytes(one[half:], "little")
+        one = folded.to_bytes(half, "little")
+    return (int.from_bytes(one, "little") ^ int.from_bytes(two, "little")).bit_count()
+
+
 def _member(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
     if not len(table):
         return np.zeros(len(keys), dtype=bool)
@@ -386,11 +406,29 @@ def _compared(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
-def _linked(texts: DataFrame, posts: DataFrame, measure: Measure) -> DataFrame:
+def _standing(pairs: DataFrame, bitmaps: DataFrame, measure: Measure) -> DataFrame:
+    """The pairs whose bitmaps do not rule a link out."""
+    left = bitmaps.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("bitmap").alias("left"))
+    right = bitmaps.select(F.col("node").alias("b"), "n", F.col("bitmap").alias("right"))
+
+    def test(batches):
+        for batch in batches:
+            both = zip(*[batch.column(c).to_pylist() for c in ("left", "right", "m", "n")], strict=True)
+            # Tokens in one set only are the sizes less twice the intersection.
+            keep = pa.array([(measure.above + measure.below) * _differing(x, y) <= (measure.below - measure.above) * (m + n)
+                             for x, y, m, n in both], type=pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "m", "n", "left", "right").mapInArrow(test, "a long, b long")
+
+
+def _linked(texts: DataFrame, rows: DataFrame, posts: DataFrame, measure: Measure) -> DataFrame:
     """The component (``root``) of every node that shares a signature."""
     nodes = stored(posts.select("node").distinct(), "shared")
     labels = nodes.withColumn("root", F.col("node"))
-    sets = _token_sets(texts, nodes, measure.words)
+    bitmaps = rows.select("node", F.col("n_shingles").alias("n"), "bitmap").join(nodes, "node", "left_semi")
+    bitmaps = stored(bitmaps.dropDuplicates(["node"]), "bitmaps")
+    sets = None
     lower, upper = 1, FIRST_ROUND
     open_posts = posts.withColumn("root", F.col("node"))
     while True:
@@ -400,7 +438,13 @@ def _linked(texts: DataFrame, posts: DataFrame, measure: Measure) -> DataFrame:
         apart = (F.col("p.turn") < F.col("q.turn")) & (F.col("p.root") != F.col("q.root")) & possible
         pairs = first.join(then, (F.col("p.sig") == F.col("q.sig")) & apart).select(
             F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
-        links = stored(_compared(pairs, sets, measure), "links")
+        standing = stored(_standing(pairs, bitmaps, measure), "pairs")
+        needed = standing.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        needed = stored(needed if sets is None else needed.join(sets.select("node"), "node", "left_anti"), "needed")
+        if sets is None or not needed.isEmpty():
+            read = _token_sets(texts, needed, measure.words)
+            sets = read if sets is None else sets.unionByName(read)
+        links = stored(_compared(standing, sets, measure), "links")
         if not links.isEmpty():
             one = labels.select(F.col("node").alias("a"), F.col("root").alias("ra"))
             two = labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))

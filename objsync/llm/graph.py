@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from objsync.llm.common import stored
+from objsync.operators.joins import split_join
 
 
 def components(edges: DataFrame, purpose: str = "stars") -> DataFrame:
@@ -13,26 +14,29 @@ def components(edges: DataFrame, purpose: str = "stars") -> DataFrame:
 
     Each round points the neighbours of a node to the smallest of them, first the
     larger ones and then the smaller ones, until every node points to its root. The
-    smallest neighbours are found by an aggregate and written before they are joined
-    back, so a node with a third of all edges is split like any skewed join.
+    smallest neighbours are found by an aggregate and joined back in a join that
+    splits, so a node with a third of all edges is spread. No edges give no rows.
     """
-    edges = stored(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), purpose)
-    seen = None
-    while True:
+    edges = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = stored(edges, purpose)
+    while not _is_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")), purpose)
-        large = both.join(least, "a").filter("b > a and b != root").select(F.col("b").alias("a"), F.col("root").alias("b"))
-        # Edges to a smaller neighbour that no larger star has moved are kept as they are.
-        still = both.join(least, "a").filter("b < a").select("a", F.col("root").alias("b"))
-        moved = stored(large.unionByName(still).distinct(), purpose)
-        smallest = stored(moved.groupBy("a").agg(F.min("b").alias("root")), purpose)
-        joined = moved.join(smallest, "a")
-        small = joined.select(F.explode(F.array(
+        least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("low", "a").alias("root"))
+        seen = split_join(both, least, ["a"])
+        # A larger neighbour moves to the root; a node keeps an edge to its smallest neighbour.
+        moved = seen.select(F.when(F.col("b") > F.col("a"), F.col("b")).otherwise(F.col("a")).alias("a"), F.col("root").alias("b"))
+        moved = stored(moved.filter("a != b").distinct(), purpose)
+        smallest = moved.groupBy("a").agg(F.min("b").alias("root"))
+        pointed = split_join(moved, smallest, ["a"]).select(F.explode(F.array(
             F.struct(F.col("b").alias("a"), F.col("root").alias("b")), F.struct(F.col("a").alias("a"), F.col("root").alias("b")),
-        )).alias("e")).select("e.*").filter("a != b").distinct()
-        following = stored(small, purpose)
-        key = following.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
-        edges = following
-        if key == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = key
+        )).alias("e")).select("e.*")
+        edges = stored(pointed.filter("a != b").distinct(), purpose)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge, to a node that has none to a smaller one."""
+    sides = edges.select("a", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("a"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    degrees = sides.groupBy("a").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return degrees.filter("up > 1 or (up = 1 and down > 0)").isEmpty()

@@ -439,13 +439,15 @@ def _linked(texts: DataFrame, rows: DataFrame, posts: DataFrame, measure: Measur
         pairs = first.join(then, (F.col("p.sig") == F.col("q.sig")) & apart).select(
             F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
         standing = stored(_standing(pairs, bitmaps, measure), "pairs")
-        needed = standing.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        needed = stored(needed if sets is None else needed.join(sets.select("node"), "node", "left_anti"), "needed")
-        if sets is None or not needed.isEmpty():
-            read = _token_sets(texts, needed, measure.words)
-            sets = read if sets is None else sets.unionByName(read)
-        links = stored(_compared(standing, sets, measure), "links")
-        if not links.isEmpty():
+        links = None
+        if not standing.isEmpty():
+            needed = standing.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            needed = stored(needed if sets is None else needed.join(sets.select("node"), "node", "left_anti"), "needed")
+            if sets is None or not needed.isEmpty():
+                read = _token_sets(texts, needed, measure.words)
+                sets = read if sets is None else sets.unionByName(read)
+            links = stored(_compared(standing, sets, measure), "links")
+        if links is not None and not links.isEmpty():
             one = labels.select(F.col("node").alias("a"), F.col("root").alias("ra"))
             two = labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
             roots = components(links.join(one, "a").join(two, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")))

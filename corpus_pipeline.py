@@ -42,9 +42,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     _ready(spark)
     groups = jaccard.link_documents(docs.select("doc_id", "text"), NEAR)
     kept = stored(groups.filter("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("copies")), "kept")
-    alone = docs.join(kept.filter("copies = 1 and doc_id is not null"), "doc_id", "left_semi")
-    again = docs.join(kept.filter("copies > 1 and doc_id is not null"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return alone.unionByName(again).unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    known = kept.filter("doc_id is not null")
+    alone = docs.join(known.filter("copies = 1"), "doc_id", "left_semi")
+    again = known.filter("copies > 1")
+    if not again.isEmpty():  # rows that share an id, one of which stays
+        alone = alone.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return alone.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

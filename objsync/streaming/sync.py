@@ -44,7 +44,9 @@ def apply_changes(table: VersionedTable, changes: DataFrame, batch_id: int, stre
     keyed = filled_rows(changes, table.keys)
     keyless = f"keyless:{stream}"
     lost = changes.select(F.count_if(missing_fields(table.keys) != "")).first()[0]
-    state = {applied: batch_id, keyless: (base.state.get(keyless, 0) if base else 0) + lost}
+    state = {applied: batch_id}
+    if lost:
+        state[keyless] = (base.state.get(keyless, 0) if base else 0) + lost
     latest = keep_last(keyed, table.keys, list(order_by))
     if base is None:
         table.replace(latest, **state)

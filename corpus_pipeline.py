@@ -62,9 +62,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Replace every secret in the texts; all documents stay."""
     _ready(spark)
     found = secret_scan.find_secrets(docs.select(F.struct(*docs.columns).alias("row"), "text"), secret_scan.train(docs))
-    text = secret_scan.redacted(F.col("text"), F.col("spans"))
-    clean = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return found.select(*[clean.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+    found = found.select("row", secret_scan.redacted(F.col("text"), F.col("spans")).alias("clean"))
+    # Counted from the finished text: the same aggregate twice in one projection would share its running state.
+    values = {"text": F.col("clean"), "n_chars": F.length("clean").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return found.select(*[values.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

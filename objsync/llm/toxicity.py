@@ -41,20 +41,21 @@ class Settings:
 def train(labelled: DataFrame, settings: Settings = Settings()) -> tuple[np.ndarray, float] | None:
     """Coefficients per feature and the intercept, from ``text`` and ``toxic`` (0 or 1).
 
-    The classifier is fitted on a bounded sample: at most ``settings.rows`` texts of
-    each class, chosen by a hash of the text, and of each at most its first
-    ``settings.chars`` characters. One task fits it; the driver receives the
+    The classifier is fitted on a bounded sample: at most ``settings.rows`` distinct
+    texts of each class, chosen by a hash of the text, and of each at most its first
+    ``settings.chars`` characters. Copies hold one place, and are put together before
+    any row is dealt. One task fits the classifier; the driver receives the
     coefficients. Other labels and null texts are left out. Without rows of both
     classes there is no classifier (None).
     """
     known = labelled.filter("text is not null and toxic in (0, 1)").select(
         F.col("toxic").cast("int").alias("toxic"), "text").withColumn("draw", F.xxhash64("text"))
-    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    counts = {r["toxic"]: r["count"] for r in known.select("toxic", "draw").distinct().groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
     size = F.when(F.col("toxic") == 1, counts[1]).otherwise(counts[0])
     unit = F.col("draw") / F.lit(float(1 << 64)) + F.lit(0.5)
-    thinned = known.withColumn("unit", unit).filter(F.col("unit") * size <= 4 * settings.rows)
+    thinned = known.withColumn("unit", unit).filter(F.col("unit") * size <= 4 * settings.rows).distinct()
     turn = F.row_number().over(Window.partitionBy("toxic").orderBy("unit", "text"))
     sample = thinned.withColumn("turn", turn).filter(F.col("turn") <= settings.rows).select(
         "toxic", F.substring("text", 1, settings.chars).alias("text"))

@@ -49,3 +49,24 @@ def test_held_out_accuracy(spark):
     right, total, caught, toxic = both.agg(F.sum(F.expr("int(predicted = toxic)")), F.count("*"),
                                            F.sum(F.expr("int(predicted = 1 and toxic = 1)")), F.sum("toxic")).head()
     assert right / total > 0.97 and caught / toxic > 0.85
+
+
+def sampled(monkeypatch, df, settings):
+    """The texts and labels that the fit is given."""
+    import pickle
+
+    import numpy as np
+
+    def seen(texts, labels, _):
+        return np.frombuffer(pickle.dumps(list(zip(texts, labels.tolist(), strict=True))).ljust(1 << 20, b"\0"), dtype=np.uint8), 0.0
+
+    monkeypatch.setattr(toxicity, "_fit", seen)
+    weights, _ = toxicity.train(df, settings)
+    return pickle.loads(weights.astype(np.uint8).tobytes())
+
+
+def test_copies_hold_one_place_of_the_sample(make, monkeypatch):
+    # Every text many times over: by rows, the copies of one text would fill all places.
+    df = make([r for r in [(i, f"text number {i}", i % 2) for i in range(40)] for _ in range(50)], SCHEMA)
+    got = sampled(monkeypatch, df, toxicity.Settings(rows=15))
+    assert len(got) == len(set(got)) == 30 and sum(label for _, label in got) == 15

@@ -14,8 +14,6 @@ from objsync.llm import decontaminate, jaccard, language, packing, secret_scan
 from objsync.llm.common import bounded_batches, stored
 from objsync.session import tune
 
-# Below this no language stands out; four that fit alike have a quarter each.
-LEAST_SCORE = 0.3
 # Near duplicates on word shingles: five words, and a similarity of 0.8 or more.
 NEAR = jaccard.Measure(words=5, above=80, below=100)
 
@@ -28,9 +26,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Keep documents in a known language; texts that are null, without a letter or like no language go."""
     _ready(spark)
     models = language.train(docs.select("text", "lang"))
-    known = language.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), models)
-    kept = known.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select("row.*")
+    known = language.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), models, language.limits(models))
+    return known.filter(F.col("lang_pred") != language.UNKNOWN).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

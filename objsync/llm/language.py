@@ -57,7 +57,25 @@ def train(labelled: DataFrame, rows: int = 160, chars: int = 250) -> list[tuple[
     return sorted((r["lang"], r["text"]) for r in sample.collect())
 
 
-def predict(docs: DataFrame, models: list[tuple[str, str]]) -> DataFrame:
+def limits(models: list[tuple[str, str]]) -> list[float]:
+    """The phrases per symbol from which a text is not like the language, for each of ``models``.
+
+    A language's own texts need as many as the second half of its training text does
+    under the first half; a text without anything of the language needs one for each
+    symbol. The limit lies halfway, so neither the length of a text nor the number of
+    languages moves it.
+    """
+    found = []
+    for _, text in models:
+        table, width = _symbols([text])
+        half = len(text) // 2
+        codes = _reduced(table[np.frombuffer(text[:half].encode("utf-32-le"), dtype=np.uint32)])
+        counts, symbols, _ = _parsed([text[half:]], table, [_automaton(codes.tolist(), width)])
+        found.append((1 + min(1.0, float(counts[0, 0] / symbols[0]))) / 2)
+    return found
+
+
+def predict(docs: DataFrame, models: list[tuple[str, str]], limits: list[float] | None = None) -> DataFrame:
     """Add ``lang_pred`` and ``score`` (0 to 1), from the whole text of every document.
 
     Each language's suffix automaton parses the text: a phrase is the longest match
@@ -68,11 +86,14 @@ def predict(docs: DataFrame, models: list[tuple[str, str]]) -> DataFrame:
     every language has the weight 2 ** -(phrases * bits / sqrt(symbols)).
 
     ``und`` with score 0 where the text is null or has no letter, or where no
-    language is known. Columns of these names are replaced; repeated rows are judged
-    alike; an empty table gives no rows. Models are bounded by ``train``.
+    language is known. With ``limits`` it is so, too, where the winner's phrases per
+    symbol reach its limit; the phrase that the end of the text cuts off counts only
+    where all symbols are phrases by themselves. Columns of these names are replaced;
+    repeated rows are judged alike; an empty table gives no rows. Models are bounded
+    by ``train``.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    return add_columns(docs, FIELDS, lambda: _predictor(shared.value), ["text"])
+    shared = docs.sparkSession.sparkContext.broadcast((models, limits))
+    return add_columns(docs, FIELDS, lambda: _predictor(*shared.value), ["text"])
 
 
 def _symbols(texts: list[str]) -> tuple[np.ndarray, int]:
@@ -138,7 +159,7 @@ def _automaton(codes: list[int], width: int) -> np.ndarray:
     return table.ravel()
 
 
-def _predictor(models: list[tuple[str, str]]):
+def _predictor(models: list[tuple[str, str]], limits: list[float] | None = None):
     names = [name for name, _ in models]
     table, width = _symbols([text for _, text in models])
     automata, bits = [], []
@@ -158,6 +179,11 @@ def _predictor(models: list[tuple[str, str]]):
             cost = counts[known] * bits / np.sqrt(symbols[known])[:, None]
             winner[known] = cost.argmin(axis=1)
             score[known] = 1 / np.exp2(cost.min(axis=1)[:, None] - cost).sum(axis=1)
+        if len(known) and limits is not None:
+            least = counts[known, winner[known]]
+            rate = np.where(least < symbols[known], least - 1, least) / symbols[known]
+            strange = known[rate >= np.array(limits)[winner[known]]]
+            winner[strange], score[strange] = -1, 0
         return [pa.array([names[w] if w >= 0 else UNKNOWN for w in winner], type=pa.string()), pa.array(score)]
 
     return judge

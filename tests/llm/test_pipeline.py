@@ -77,3 +77,18 @@ def test_empty_documents(spark, tables, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("langs", [("en", "de"), ("en", "de", "fr", "es")])
+def test_texts_of_no_known_language_go_at_any_length(spark, langs):
+    draw = random.Random(8)
+    stems = {"en": ["the", "thing", "over", "ring", "with"], "de": ["der", "schaft", "über", "keit", "und"],
+             "fr": ["les", "tion", "été", "eau", "dans"], "es": ["los", "ción", "ñaja", "ando", "con"]}
+    words = lambda parts, n, m: " ".join("".join(draw.choice(parts) for _ in range(draw.randint(1, m))) for _ in range(n))
+    sizes = [1, 5, 40, 400, 4000, 20_000]
+    rows = [(i, words(stems[langs[i % len(langs)]], 60, 3), langs[i % len(langs)], "s", 0) for i in range(80)]
+    rows += [(100 + i, words("абвгдежзийклмн", n, 8), None, "s", 0) for i, n in enumerate(sizes)]
+    rows += [(110, "ж", None, "s", 0), (111, "жд", None, "s", 0)]
+    rows += [(200 + i, words(stems["en"], n, 3), None, "s", 0) for i, n in enumerate(sizes)]
+    kept = {r["doc_id"] for r in cp.identify_language(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert kept == {*range(80), *range(200, 200 + len(sizes))}

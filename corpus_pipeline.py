@@ -31,20 +31,24 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents keep the one with the smallest id.
+    """Of each group of linked documents keep one row: of those with the smallest id, nulls last, any one.
 
-    Repeats of that row go too. Documents without an id stay, unless they are linked
-    to one that has an id.
+    Rows are told apart by id and text, so rows that share an id, or have none, stay
+    or go by their own links. Rows that agree in both are copies, one of which stays,
+    unless the text has no word: that is linked with nothing.
     """
     _ready(spark)
-    groups = jaccard.link_documents(docs.select("doc_id", "text"), NEAR)
-    kept = stored(groups.filter("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("copies")), "kept")
-    known = kept.filter("doc_id is not null")
-    alone = docs.join(known.filter("copies = 1"), "doc_id", "left_semi")
-    again = known.filter("copies > 1")
-    if not again.isEmpty():  # rows that share an id, one of which stays
-        alone = alone.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return alone.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    row = F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id"), F.xxhash64("text").alias("hash"))
+    groups = jaccard.link_documents(docs.select(row.alias("doc_id"), "text"), NEAR)
+    first = groups.filter((F.col("doc_id") == F.col("component_id")) | (F.col("n_shingles") == 0))
+    kept = stored(first.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("n_shingles").alias("n")).select(
+        F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.hash").alias("__hash"), (F.col("rows") == 1).alias("single"), "n"), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    alone = docs.join(kept.filter("single or n = 0"), same, "left_semi")
+    again = kept.filter("not single and n > 0")
+    if not again.isEmpty():  # rows that agree in id and text, one of which stays
+        alone = alone.unionByName(docs.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return alone.select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,3 +92,26 @@ def test_texts_of_no_known_language_go_at_any_length(spark, langs):
     rows += [(200 + i, words(stems["en"], n, 3), None, "s", 0) for i, n in enumerate(sizes)]
     kept = {r["doc_id"] for r in cp.identify_language(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
     assert kept == {*range(80), *range(200, 200 + len(sizes))}
+
+
+def test_near_copies_are_decided_by_row(spark):
+    draw = random.Random(9)
+    text = lambda: " ".join(f"w{draw.randrange(10_000)}" for _ in range(40))
+    a, b, c, d, e, f, g = (text() for _ in range(7))
+    near = lambda t: t + " end"
+    rows = [
+        (None, a), (None, near(a)), (None, a),  # no id at all: one stays
+        (5, b), (None, near(b)), (None, b),  # an id comes before none
+        (7, c), (7, d),  # one id, two texts: both stay
+        (1, e), (9, near(e)), (9, f),  # one row of an id goes, the other stays
+        (11, g), (11, g), (11, near(g)),  # rows alike and a near copy under one id: one stays
+        (13, ""), (13, ""), (None, None), (None, None),  # without words: linked with nothing
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    got = sorted(((r["doc_id"], r["text"]) for r in cp.drop_near_copies(spark, docs, "").collect()), key=repr)
+    none = [r for r in got if r[0] is None and r[1]]
+    eleven = [r for r in got if r[0] == 11]
+    assert len(none) == 1 and none[0][1] in (a, near(a))
+    assert len(eleven) == 1 and eleven[0][1] in (g, near(g))
+    rest = [r for r in got if r not in none + eleven]
+    assert rest == sorted([(5, b), (7, c), (7, d), (1, e), (9, f), (13, ""), (13, ""), (None, None), (None, None)], key=repr)

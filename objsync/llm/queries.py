@@ -91,7 +91,8 @@ def op6_shortest_pack_first(spark: SparkSession, sf: str) -> DataFrame:
 def op7_log_ratio_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     labels = table(spark, sf, "labels").select("doc_id", "toxic").filter(fold(5) != 0)
-    model = toxicity.train(docs.join(labels, "doc_id").select("text", "toxic"))
+    drawn = docs.withColumn("draw", F.xxhash64("text"))
+    model = toxicity.train(drawn.join(labels, "doc_id").select("text", "toxic", "draw"), draw="draw")
     held = F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out")
     return toxicity.predict(docs.select("doc_id", held, "text"), model).select("doc_id", "held_out", "score", "predicted")
 

@@ -23,7 +23,7 @@ class Settings:
     """``orders``: lengths of the n-grams; ``bits``: they fall into 2**bits features.
 
     ``rows`` and ``chars`` bound the training sample: texts per class, and characters
-    of a text. The ``kept`` features with the strongest ratios get a coefficient.
+    of a text on average. The ``kept`` features with the strongest ratios get a coefficient.
     ``decay`` is the weight of the squared coefficients, ``epochs`` and ``rate``
     belong to the fit.
     """
@@ -38,27 +38,33 @@ class Settings:
     rate: float = 0.05
 
 
-def train(labelled: DataFrame, settings: Settings = Settings()) -> tuple[np.ndarray, float] | None:
+def train(labelled: DataFrame, settings: Settings = Settings(), draw: str | None = None) -> tuple[np.ndarray, float] | None:
     """Coefficients per feature and the intercept, from ``text`` and ``toxic`` (0 or 1).
 
     The classifier is fitted on a bounded sample: at most ``settings.rows`` distinct
-    texts of each class, chosen by a hash of the text, and of each at most its first
-    ``settings.chars`` characters. Copies hold one place, and are put together before
-    any row is dealt. One task fits the classifier; the driver receives the
-    coefficients. Other labels and null texts are left out. Without rows of both
+    texts of each class, in the order of a hash of the text, up to ``rows * chars``
+    characters in all. Texts are whole: past that bound they are left out, but for
+    the first. Copies hold one place, and are put together before any row is dealt.
+    One task fits the classifier; the driver receives the coefficients. Other labels
+    and null texts are left out. ``draw`` names a column with xxhash64 of the text, if
+    there is one: taken before a join, it keeps the texts out of the shuffle for the
+    counts. Without rows of both
     classes there is no classifier (None).
     """
     known = labelled.filter("text is not null and toxic in (0, 1)").select(
-        F.col("toxic").cast("int").alias("toxic"), "text").withColumn("draw", F.xxhash64("text"))
+        F.col("toxic").cast("int").alias("toxic"), "text",
+        (F.col(f"`{draw}`") if draw else F.xxhash64("text")).alias("draw"))
     counts = {r["toxic"]: r["count"] for r in known.select("toxic", "draw").distinct().groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
     size = F.when(F.col("toxic") == 1, counts[1]).otherwise(counts[0])
     unit = F.col("draw") / F.lit(float(1 << 64)) + F.lit(0.5)
     thinned = known.withColumn("unit", unit).filter(F.col("unit") * size <= 4 * settings.rows).distinct()
-    turn = F.row_number().over(Window.partitionBy("toxic").orderBy("unit", "text"))
-    sample = thinned.withColumn("turn", turn).filter(F.col("turn") <= settings.rows).select(
-        "toxic", F.substring("text", 1, settings.chars).alias("text"))
+    drawn = Window.partitionBy("toxic").orderBy("unit", "text")
+    held = F.sum(F.length("text")).over(drawn.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    fits = (F.col("turn") == 1) | (F.col("held") <= settings.rows * settings.chars)
+    sample = thinned.withColumns({"turn": F.row_number().over(drawn), "held": held}).filter(
+        (F.col("turn") <= settings.rows) & fits).select("toxic", "text")
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["toxic", "text"])

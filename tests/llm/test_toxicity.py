@@ -70,3 +70,13 @@ def test_copies_hold_one_place_of_the_sample(make, monkeypatch):
     df = make([r for r in [(i, f"text number {i}", i % 2) for i in range(40)] for _ in range(50)], SCHEMA)
     got = sampled(monkeypatch, df, toxicity.Settings(rows=15))
     assert len(got) == len(set(got)) == 30 and sum(label for _, label in got) == 15
+
+
+def test_sampled_texts_are_whole(make, monkeypatch):
+    rows = [(i, f"{i} " + "calm " * 2000 + ("moron" if i % 2 else "fine"), i % 2) for i in range(8)]
+    settings = toxicity.Settings(rows=4, chars=6000)
+    got = sampled(monkeypatch, make(rows, SCHEMA), settings)
+    # Two texts of 10,000 characters fit in 4 * 6,000 for each class, and none is cut.
+    assert len(got) == 4 and {text.endswith("moron") == bool(label) for text, label in got} == {True}
+    assert set(got) <= {(text, label) for _, text, label in rows}
+    assert len(sampled(monkeypatch, make(rows, SCHEMA), toxicity.Settings(rows=4, chars=10))) == 2

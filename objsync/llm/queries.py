@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from objsync.llm import decontaminate, jaccard, language, packing, secret_scan, shards, topk, toxicity, urls, warc
+from objsync.llm import conversations, decontaminate, jaccard, language, packing, secret_scan, shards, topk, toxicity, urls, warc, whitening
 from objsync.llm.common import bounded_batches
 from objsync.session import scratch_folder
 
@@ -118,6 +118,26 @@ def op10_benchmark_passages(spark: SparkSession, sf: str) -> DataFrame:
                         F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query
+def op12_qd_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", whitening.integers(F.col("embedding")).alias("vector"))
+    return whitening.whiten(vectors, *whitening.fit(vectors))
+
+
+@query
+def op13_lr_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    turns = conversations.ordered(conversations.damaged(rows))
+    repairs, segments = conversations.repair(turns)
+    lines = conversations.digests(conversations.repaired(turns, segments, together=True))
+    named = rows.select("conv_id").distinct()
+    found = named.join(repairs.withColumnRenamed("conv_id", "__id"), F.col("conv_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    found = found.join(lines.withColumnRenamed("conv_id", "__id"), F.col("conv_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
 ORACLE["op1_threshold_topk"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS vector FROM embeddings

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -36,6 +37,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of results that were written and are no longer referred to.
+
+    Spark drops them when the driver collects its garbage, which a job of many steps over a
+    large input should not leave to chance.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, UPPER, UPPER.lower())

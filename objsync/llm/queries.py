@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from objsync.llm import conversations, decontaminate, jaccard, language, packing, secret_scan, shards, topk, toxicity, urls, warc, whitening
+from objsync.llm import conversations, decontaminate, jaccard, language, packing, secret_scan, shards, suffix_dedup, topk, toxicity, urls, warc, whitening
 from objsync.llm.common import bounded_batches
 from objsync.session import scratch_folder
 
@@ -118,6 +118,12 @@ def op10_benchmark_passages(spark: SparkSession, sf: str) -> DataFrame:
                         F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query
+def op11_prefix_doubling(spark: SparkSession, sf: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op12_qd_whitening(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings").select("vec_id", whitening.integers(F.col("embedding")).alias("vector"))

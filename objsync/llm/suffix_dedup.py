@@ -78,7 +78,7 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
 
     texts = docs.select("doc_id", F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("data"))
     texts = texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("data") >= size))
-    places = texts.mapInArrow(_scan(size, _places, unlike, repeats), "k1 long, k2 long, doc long, row long, low long, high long")
+    places = texts.mapInArrow(_scan(size, _places, unlike, leaders, repeats), "k1 long, k2 long, doc long, row long, low long, high long")
     later = split_join(places, known, ["k1", "k2"]).filter("doc > first")
     found = later.groupBy(F.col("doc").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_set(F.struct("low", "high")).alias("__runs"))
     found = stored(found, "runs")
@@ -207,20 +207,25 @@ def _contexts(named: Named, shared: Sieve) -> pa.RecordBatch:
 
 def _strings(named: Named, unlike: Sieve, leaders: Sieve) -> pa.RecordBatch:
     doc = named.doc[named.owner]
-    keep = unlike.passes(named.half[named.places])
-    keep &= leaders.passes(named.contexts()[1] ^ doc.astype(np.int64).view(np.uint64))
+    keep = _leading(named, unlike, leaders, named.contexts()[1])
     runs = np.diff(named.cuts)
     each = np.repeat(keep, runs)
     a, b = named.pairs()
     return _batch(k1=a[each], k2=b[each], doc=np.repeat(doc[keep], runs[keep]))
 
 
-def _places(named: Named, unlike: Sieve, repeats: Sieve) -> pa.RecordBatch:
+def _leading(named: Named, unlike: Sieve, leaders: Sieve, k2: np.ndarray) -> np.ndarray:
+    """The runs of the first document with their strings, where places differ: the later ones go as a whole."""
+    doc = named.doc[named.owner].astype(np.int64).view(np.uint64)
+    return unlike.passes(named.half[named.places]) & leaders.passes(k2 ^ doc)
+
+
+def _places(named: Named, unlike: Sieve, leaders: Sieve, repeats: Sieve) -> pa.RecordBatch:
     k1, k2 = named.contexts()
     whole = repeats.passes(k1 ^ k2)
     runs = np.diff(named.cuts)
     a, b = named.pairs()
-    single = np.repeat(unlike.passes(named.half[named.places]), runs) & repeats.passes(a ^ b)
+    single = np.repeat(_leading(named, unlike, leaders, k2), runs) & repeats.passes(a ^ b)
     owner = np.concatenate([named.owner[whole], np.repeat(named.owner, runs)[single]])
     shift = (named.base - named.begin)[owner]
     first, last = named.starts[named.cuts[:-1]][whole], named.starts[named.cuts[1:] - 1][whole]

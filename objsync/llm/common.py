@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -30,21 +29,24 @@ def bounded_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared folder and read back: lineage ends here, and each later use reads the copy."""
-    folder = scratch_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+# Whether Spark deletes the shuffle files of an execution at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of results that were written and are no longer referred to.
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to the shared folder and read back: lineage ends here, and each later use reads the copy.
 
-    Spark drops them when the driver collects its garbage, which a job of many steps over a
-    large input should not leave to chance.
+    The shuffle files of the write go at its end, since nothing reads them again.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    session = df.sparkSession
+    folder = scratch_folder(session, purpose)
+    before = session.conf.get(CLEANUP, None)
+    session.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        session.conf.unset(CLEANUP) if before is None else session.conf.set(CLEANUP, before)
+    return session.read.schema(df.schema).parquet(folder)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from objsync.llm.common import Sieve, add_columns, free_names, hash_mix, release, sieve, stored
+from objsync.llm.common import Sieve, add_columns, free_names, hash_mix, sieve, stored
 from objsync.operators.joins import split_join
 
 # Bytes that are named at a time; a longer text is read in stretches that overlap by a string.
@@ -56,12 +56,10 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
 
     grams = source.mapInArrow(_scan(size, _grams), "gram long, doc long").groupBy("gram").agg(*across).filter("first < last")
     grams = stored(grams.select("gram"), "grams")
-    release(grams.sparkSession)
     shared = _sieve(grams, "gram")
 
     around = source.mapInArrow(_scan(size, _contexts, shared), "gram long, k1 long, k2 long, doc long")
     around = stored(around.groupBy("gram", "k1", "k2").agg(*across), "contexts")
-    release(around.sparkSession)
     # Where all copies of a place agree in all strings around it, no string needs a look of its own.
     differ = around.groupBy("gram").agg(F.count("*").alias("n"), *[f("first").alias(f.__name__) for f in (F.min, F.max)], F.max("last").alias("last"))
     differ = stored(differ.filter("n > 1 and min < last").select("gram"), "differ")
@@ -73,7 +71,6 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     strings = strings.groupBy("k1", "k2").agg(*across).filter("first < last")
     known = around.filter("first < last").select("k1", "k2", "first").unionByName(strings.select("k1", "k2", "first"))
     known = stored(known, "repeats")
-    release(known.sparkSession)
     repeats = _sieve(known.select(F.col("k1").bitwiseXOR(F.col("k2")).alias("key")), "key")
 
     texts = docs.select("doc_id", F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("data"))
@@ -82,7 +79,6 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     later = split_join(places, known, ["k1", "k2"]).filter("doc > first")
     found = later.groupBy(F.col("doc").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_set(F.struct("low", "high")).alias("__runs"))
     found = stored(found, "runs")
-    release(found.sparkSession)
 
     own = free_names(docs, FIELDS.names)
     marked = own.join(found, (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__row")), "left")

@@ -80,7 +80,8 @@ def test_spans_are_byte_offsets_of_the_text(make):
 
 def test_empty_table_and_very_long_text(make):
     assert result(make([], SCHEMA)) == []
-    long = "".join(random.Random(3).choice("abcdefgh ") for _ in range(1_300_000))
+    draw = random.Random(3)
+    long = "".join(draw.choice("abcdefgh ") for _ in range(1_300_000))
     got = result(make([(1, long[600_000:600_300]), (2, long)], SCHEMA))
     assert [r[:4] for r in got] == [(1, 300, 0, 0), (2, 1_300_000, 300, 1)]
 

@@ -24,8 +24,10 @@ from objsync.llm.common import Sieve, add_columns, free_names, hash_mix, sieve,
 from objsync.operators.joins import split_join
 
 # Bytes that are named at a time; a longer text is read in stretches that overlap by a string.
-STRETCH = 1 << 19
-PLACE_BITS = 21
+STRETCH = 1 << 16
+PLACE_BITS = 18
+# Bits for the length of a run, which is below the size of a string.
+RUN_BITS = 16
 NAMES = hash_mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
@@ -61,10 +63,11 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     around = source.mapInArrow(_scan(size, _contexts, shared), "gram long, k1 long, k2 long, doc long")
     around = stored(around.groupBy("gram", "k1", "k2").agg(*across), "contexts")
     # Where all copies of a place agree in all strings around it, no string needs a look of its own.
-    differ = around.groupBy("gram").agg(F.count("*").alias("n"), *[f("first").alias(f.__name__) for f in (F.min, F.max)], F.max("last").alias("last"))
-    differ = stored(differ.filter("n > 1 and min < last").select("gram"), "differ")
+    differ = around.groupBy("gram").agg(F.count("*").alias("n"), F.min("first").alias("min"), F.max("last").alias("last"))
+    differ = stored(differ.filter("n > 1 and min < last").select("gram", "min"), "differ")
     unlike = _sieve(differ, "gram")
-    leading = around.join(differ, "gram", "left_semi").select(F.col("k2").bitwiseXOR(F.col("first")).alias("lead"))
+    leading = around.join(differ, "gram").select(F.col("k2").bitwiseXOR(F.col("first")).alias("lead"), (F.col("first") > F.col("min")).alias("later"))
+    leading = stored(leading, "leading")
     leaders = _sieve(leading, "lead")
 
     strings = source.mapInArrow(_scan(size, _strings, unlike, leaders), "k1 long, k2 long, doc long")
@@ -73,11 +76,12 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     known = stored(known, "repeats")
     repeats = _sieve(known.select(F.col("k1").bitwiseXOR(F.col("k2")).alias("key")), "key")
 
+    followers = _sieve(leading.filter("later"), "lead")
     texts = docs.select("doc_id", F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("data"))
     texts = texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("data") >= size))
-    places = texts.mapInArrow(_scan(size, _places, unlike, leaders, repeats), "k1 long, k2 long, doc long, row long, low long, high long")
+    places = texts.mapInArrow(_scan(size, _places, unlike, followers, repeats), "k1 long, k2 long, doc long, row long, at long")
     later = split_join(places, known, ["k1", "k2"]).filter("doc > first")
-    found = later.groupBy(F.col("doc").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_set(F.struct("low", "high")).alias("__runs"))
+    found = later.groupBy(F.col("doc").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_set("at").alias("__runs"))
     found = stored(found, "runs")
 
     own = free_names(docs, FIELDS.names)
@@ -105,33 +109,42 @@ def _scan(size: int, emit, *sieves):
 
 @dataclass
 class Named:
-    """Stretches of texts with the names of their strings.
+    """Texts or stretches of them, end to end, with the names of their strings.
 
-    ``half[i]`` names the half-size string at byte i. ``starts`` lists where a whole
-    string starts. Runs of these that share their sampled place: ``cuts`` are the
-    borders of the runs in ``starts``, ``places`` their sampled bytes, ``owner`` the
-    stretch of each; ``doc``, ``row`` and ``base`` belong to stretches.
+    ``half[i]`` names the half-size string at byte i. A run is a range of bytes at which
+    strings with one sampled place start: ``first`` and ``last`` of it, ``gram``, the name
+    at that place, and ``owner``, the number of the text, for which there are ``doc``,
+    ``row`` and ``shift``, from a byte here to one of the text. ``cuts`` are the borders
+    between runs, ``whole`` marks those within a text.
     """
 
     half: np.ndarray
-    step: int
-    starts: np.ndarray
+    gap: int
     cuts: np.ndarray
-    places: np.ndarray
+    whole: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    gram: np.ndarray
     owner: np.ndarray
-    begin: np.ndarray
     doc: np.ndarray
     row: np.ndarray
-    base: np.ndarray
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.half[self.starts], self.half[self.starts + self.step]
+    shift: np.ndarray
 
     def contexts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two sums over the strings of each run: runs with equal strings have equal sums."""
-        name = _pair(*self.pairs())
-        return tuple(np.add.reduceat(hash_mix(name ^ np.uint64(salt)), self.cuts[:-1]) if len(name) else name
-                     for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
+        """Two sums over the names of each run's strings: runs with equal strings have equal sums."""
+        name = _pair(self.half[:-self.gap], self.half[self.gap:])[:self.cuts[-1]]
+        other = name ^ (name >> np.uint64(31))
+        other *= np.uint64(0x9E3779B97F4A7C15)
+        return tuple(np.add.reduceat(n, self.cuts[:-1])[self.whole] for n in (name, other))
+
+    def each(self, keep: np.ndarray) -> np.ndarray:
+        """The starts of all strings of the runs to keep."""
+        sizes = self.last[keep] - self.first[keep] + 1
+        ends = np.cumsum(sizes)
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[keep] - ends + sizes, sizes)
+
+    def sizes(self) -> np.ndarray:
+        return self.last - self.first + 1
 
 
 def _stretches(batch: pa.RecordBatch, size: int) -> Iterator[Named]:
@@ -154,7 +167,7 @@ def _stretches(batch: pa.RecordBatch, size: int) -> Iterator[Named]:
 def _named(held: list[tuple], size: int) -> Named:
     data = np.frombuffer(b"".join(p for p, *_ in held), dtype=np.uint8)
     lengths = np.array([len(p) for p, *_ in held])
-    begin = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+    begin = np.cumsum(lengths) - lengths
     step = (size + 1) // 2
     # Names of 1, 2, 4, ... bytes, and of half the size by two that overlap.
     name, reach = NAMES[data], 1
@@ -162,7 +175,7 @@ def _named(held: list[tuple], size: int) -> Named:
         further = min(2 * reach, step)
         name = _pair(name[:len(name) - (further - reach)], name[further - reach:])
         reach = further
-    # A whole string is two halves; with an odd size they overlap too.
+    # A whole string is two halves, which overlap by a byte if its size is odd.
     gap = size - step
     # The least name of those in a string, the first of equal ones: its place rides in the low bits.
     low = np.uint64((1 << PLACE_BITS) - 1)
@@ -171,63 +184,63 @@ def _named(held: list[tuple], size: int) -> Named:
         further = min(2 * reach, window)
         least = np.minimum(least[:len(least) - (further - reach)], least[further - reach:])
         reach = further
-    counts = lengths - size + 1
-    owner = np.repeat(np.arange(len(held)), counts)
-    starts = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + begin[owner]
-    places = (least[starts] & low).astype(np.int64)
-    cuts = np.concatenate([[0], np.flatnonzero((np.diff(places) != 0) | (np.diff(owner) != 0)) + 1, [len(starts)]])
-    first = cuts[:-1]
-    return Named(name, gap, starts, cuts, places[first], owner[first], begin,
-                 *[np.array([h[k] for h in held]) for k in (1, 2, 3)])
+    places = (least & low).astype(np.int64)
+    # Bytes at which a string would leave its text belong to no run.
+    border = np.zeros(len(places), dtype=bool)
+    for end in (begin + lengths)[:-1]:
+        border[end - size + 1:end] = True
+    cuts = np.concatenate([[0], np.flatnonzero((places[1:] != places[:-1]) | (border[1:] != border[:-1])) + 1, [len(places)]])
+    whole = ~border[cuts[:-1]]
+    first, last = cuts[:-1][whole], cuts[1:][whole] - 1
+    doc, row, base = (np.array([h[k] for h in held], dtype=np.int64) for k in (1, 2, 3))
+    owner = np.searchsorted(begin, first, side="right") - 1
+    return Named(name, gap, cuts, whole, first, last, name[places[first]], owner, doc, row, base - begin)
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The name of two names."""
-    mixed = a * np.uint64(0xD6E8FEB86659FD93) + b * np.uint64(0xA0761D6478BD642F) + np.uint64(0xE7037ED1A0B428DB)
+    mixed = a * np.uint64(0xD6E8FEB86659FD93)
+    mixed += b
     mixed ^= mixed >> np.uint64(32)
     mixed *= np.uint64(0x8EBC6AF09C88C6E3)
-    return mixed ^ (mixed >> np.uint64(29))
+    return mixed
 
 
 def _grams(named: Named) -> pa.RecordBatch:
-    rows = np.unique(np.rec.fromarrays([named.half[named.places].view(np.int64), named.doc[named.owner]], names="gram,doc"))
-    return _batch(gram=rows.gram, doc=rows.doc)
+    rows = np.unique(np.rec.fromarrays([named.gram.view(np.int64), named.owner], names="gram,owner"))
+    return _batch(gram=rows.gram, doc=named.doc[rows.owner])
 
 
 def _contexts(named: Named, shared: Sieve) -> pa.RecordBatch:
-    gram = named.half[named.places]
-    keep = shared.passes(gram)
+    keep = shared.passes(named.gram)
     k1, k2 = named.contexts()
-    return _batch(gram=gram[keep], k1=k1[keep], k2=k2[keep], doc=named.doc[named.owner[keep]])
-
-
-def _strings(named: Named, unlike: Sieve, leaders: Sieve) -> pa.RecordBatch:
-    doc = named.doc[named.owner]
-    keep = _leading(named, unlike, leaders, named.contexts()[1])
-    runs = np.diff(named.cuts)
-    each = np.repeat(keep, runs)
-    a, b = named.pairs()
-    return _batch(k1=a[each], k2=b[each], doc=np.repeat(doc[keep], runs[keep]))
+    return _batch(gram=named.gram[keep], k1=k1[keep], k2=k2[keep], doc=named.doc[named.owner[keep]])
 
 
 def _leading(named: Named, unlike: Sieve, leaders: Sieve, k2: np.ndarray) -> np.ndarray:
     """The runs of the first document with their strings, where places differ: the later ones go as a whole."""
-    doc = named.doc[named.owner].astype(np.int64).view(np.uint64)
-    return unlike.passes(named.half[named.places]) & leaders.passes(k2 ^ doc)
+    return unlike.passes(named.gram) & leaders.passes(k2 ^ named.doc[named.owner].view(np.uint64))
+
+
+def _strings(named: Named, unlike: Sieve, leaders: Sieve) -> pa.RecordBatch:
+    keep = _leading(named, unlike, leaders, named.contexts()[1])
+    at = named.each(keep)
+    return _batch(k1=named.half[at], k2=named.half[at + named.gap], doc=np.repeat(named.doc[named.owner[keep]], named.sizes()[keep]))
 
 
 def _places(named: Named, unlike: Sieve, leaders: Sieve, repeats: Sieve) -> pa.RecordBatch:
+    """Runs and single strings that may repeat; ``at`` holds the first start and, in the low bits, how many more follow."""
     k1, k2 = named.contexts()
     whole = repeats.passes(k1 ^ k2)
-    runs = np.diff(named.cuts)
-    a, b = named.pairs()
-    single = np.repeat(_leading(named, unlike, leaders, k2), runs) & repeats.passes(a ^ b)
-    owner = np.concatenate([named.owner[whole], np.repeat(named.owner, runs)[single]])
-    shift = (named.base - named.begin)[owner]
-    first, last = named.starts[named.cuts[:-1]][whole], named.starts[named.cuts[1:] - 1][whole]
-    alone = named.starts[single]
-    return _batch(k1=np.concatenate([k1[whole], a[single]]), k2=np.concatenate([k2[whole], b[single]]), doc=named.doc[owner], row=named.row[owner],
-                  low=np.concatenate([first, alone]) + shift, high=np.concatenate([last, alone]) + shift)
+    keep = _leading(named, unlike, leaders, k2)
+    at, owner = named.each(keep), np.repeat(named.owner[keep], named.sizes()[keep])
+    a, b = named.half[at], named.half[at + named.gap]
+    single = repeats.passes(a ^ b)
+    owner = np.concatenate([named.owner[whole], owner[single]])
+    starts = np.concatenate([named.first[whole], at[single]]) + named.shift[owner]
+    more = np.concatenate([named.last[whole] - named.first[whole], np.zeros(single.sum(), dtype=np.int64)])
+    return _batch(k1=np.concatenate([k1[whole], a[single]]), k2=np.concatenate([k2[whole], b[single]]), doc=named.doc[owner],
+                  row=named.row[owner], at=(starts << RUN_BITS) | more)
 
 
 def _batch(**columns: np.ndarray) -> pa.RecordBatch:
@@ -239,7 +252,9 @@ def _cutter(size: int):
         columns = [[] for _ in FIELDS]
         for data, starts in zip(texts.to_pylist(), runs.to_pylist(), strict=True):
             spans: list[dict] = []
-            for low, high in sorted((r["low"], r["high"]) for r in starts or []):
+            for at in sorted(starts or []):
+                low = at >> RUN_BITS
+                high = low + (at & (1 << RUN_BITS) - 1)
                 if spans and low <= spans[-1]["end"]:
                     spans[-1]["end"] = max(spans[-1]["end"], high + size)
                 else:

@@ -120,13 +120,16 @@ class Sieve:
         return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def sieve(df: DataFrame, column: str, bits: int = 24) -> Sieve:
-    """The sieve of a column of longs; the words of the bitmap are put together by an aggregate."""
+def sieve(df: DataFrame, column: str, bits: int = 24, written: bool = False) -> Sieve:
+    """The sieve of a column of longs; the words of the bitmap are put together by an aggregate.
+
+    ``written`` lets the words pass through the shared folder, so that no shuffle files stay.
+    """
     at = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
     marks = df.groupBy(F.shiftright(at, 6).cast("int").alias("at")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast({column} & 63L as int))")).alias("bits"))
     words = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    rows = marks.toArrow()
+    rows = (stored(marks, "sieve") if written else marks).toArrow()
     words[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return Sieve(words)
 

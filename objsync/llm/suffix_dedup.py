@@ -93,7 +93,7 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
 def _sieve(df: DataFrame, column: str):
     """The bitmap of a column, with sixteen bits a value up to 16 MB, as a broadcast."""
     bits = min(27, max(16, (16 * df.count()).bit_length()))
-    return df.sparkSession.sparkContext.broadcast(sieve(df, column, bits))
+    return df.sparkSession.sparkContext.broadcast(sieve(df, column, bits, written=True))
 
 
 def _scan(size: int, emit, *sieves):

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from objsync.llm.common import Sieve, add_columns, free_names, hash_mix, sieve, stored
-from objsync.operators.joins import split_join
 
 # Bytes that are named at a time; a longer text is read in stretches that overlap by a string.
 STRETCH = 1 << 16
@@ -62,6 +61,7 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
 
     around = source.mapInArrow(_scan(size, _contexts, shared), "gram long, k1 long, k2 long, doc long")
     around = stored(around.groupBy("gram", "k1", "k2").agg(*across), "contexts")
+    shared.destroy()
     # Where all copies of a place agree in all strings around it, no string needs a look of its own.
     differ = around.groupBy("gram").agg(F.count("*").alias("n"), F.min("first").alias("min"), F.max("last").alias("last"))
     differ = stored(differ.filter("n > 1 and min < last").select("gram", "min"), "differ")
@@ -74,15 +74,18 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     strings = strings.groupBy("k1", "k2").agg(*across).filter("first < last")
     known = around.filter("first < last").select("k1", "k2", "first").unionByName(strings.select("k1", "k2", "first"))
     known = stored(known, "repeats")
+    leaders.destroy()
     repeats = _sieve(known.select(F.col("k1").bitwiseXOR(F.col("k2")).alias("key")), "key")
 
     followers = _sieve(leading.filter("later"), "lead")
     texts = docs.select("doc_id", F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("data"))
     texts = texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("data") >= size))
     places = texts.mapInArrow(_scan(size, _places, unlike, followers, repeats), "k1 long, k2 long, doc long, row long, at long")
-    later = split_join(places, known, ["k1", "k2"]).filter("doc > first")
+    later = places.join(known, ["k1", "k2"]).filter("doc > first")
     found = later.groupBy(F.col("doc").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_set("at").alias("__runs"))
     found = stored(found, "runs")
+    for used in (unlike, followers, repeats):
+        used.destroy()
 
     own = free_names(docs, FIELDS.names)
     marked = own.join(found, (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__row")), "left")

@@ -19,14 +19,16 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from objsync.functions.text import named
+from objsync.operators.dedup import keep_last, merge_latest
 
 BUCKET = "bucket"
 # A bucket is a folder and an entry of every commit; a rule that makes more of them is a mistake.
@@ -35,7 +37,11 @@ MOST_BUCKETS = 100_000
 
 @dataclass(frozen=True)
 class Commit:
-    """One version: its schema, its folders with the bucket of each, the layout, and the sync state."""
+    """One version: its schema, its folders with the bucket of each, the layout, and the sync state.
+
+    ``changes`` are folders of changed rows in the order they came, each with the
+    buckets that hold its rows already; ``order_by`` says which row of a key is the latest.
+    """
 
     version: int
     schema: T.StructType
@@ -43,6 +49,8 @@ class Commit:
     keys: tuple[str, ...] = ()
     rule: str | None = None
     state: dict[str, Any] = field(default_factory=dict)
+    changes: tuple[tuple[str, tuple[int, ...]], ...] = ()
+    order_by: tuple[str, ...] = ()
 
 
 class VersionedTable:
@@ -81,15 +89,38 @@ class VersionedTable:
         return dict(commit.state) if commit else {}
 
     def read(self, buckets: Iterable[int] | None = None, at: Commit | None = None) -> DataFrame:
-        """The rows of the latest (or a given) version, of all or some buckets."""
+        """The rows of the latest (or a given) version, of all or some buckets.
+
+        Change folders are merged on the way: their latest rows are the small side of the
+        joins, so the rows of the buckets are not shuffled for them below Spark's broadcast limit.
+        """
         commit = at or self.current()
         if commit is None:
             raise FileNotFoundError(f"Nothing was committed to {self.path}")
         wanted = None if buckets is None else set(buckets)
         paths = [f"{self.path}/{p}" for b, p in commit.folders if wanted is None or b in wanted]
-        if not paths:
-            return self._spark.createDataFrame([], commit.schema)
-        return self._spark.read.schema(commit.schema).parquet(*paths)
+        rows = self._spark.read.schema(commit.schema).parquet(*paths) if paths else self._spark.createDataFrame([], commit.schema)
+        changed = self._changed(commit, wanted)
+        if changed is None:
+            return rows
+        return merge_latest(rows, changed, self.keys, commit.order_by).select(*[named(n) for n in commit.schema.names])
+
+    def _changed(self, commit: Commit, wanted: set[int] | None = None) -> DataFrame | None:
+        """The latest row of each key in the change folders; None where there are none."""
+        parts: dict[tuple[int, ...], list[str]] = {}
+        for path, folded in commit.changes:
+            parts.setdefault(folded, []).append(f"{self.path}/{path}")
+        rows = None
+        for folded, paths in parts.items():
+            part = self._spark.read.schema(commit.schema).parquet(*paths)
+            if folded:
+                part = part.filter(~self._bucket_of().isin(list(folded)))
+            rows = part if rows is None else rows.unionByName(part)
+        if rows is None:
+            return None
+        if wanted is not None and self.rule:
+            rows = rows.filter(self._bucket_of().isin(list(wanted)) if wanted else F.lit(False))
+        return keep_last(rows, self.keys, list(commit.order_by))
 
     def fitted(self, rows: DataFrame, base: Commit | None = None) -> DataFrame:
         """The rows with the column types of the latest (or a given) version.
@@ -126,7 +157,39 @@ class VersionedTable:
 
     def prepare_append(self, df: DataFrame, **state: Any) -> Commit:
         """Write the folders of an append; nothing is seen before ``publish``."""
-        return self._prepare(self.current(), df, lambda old, new: old + new, state)
+        base = self.current()
+        commit = self._prepare(base, df, lambda old, new: old + new, state)
+        return replace(commit, changes=base.changes, order_by=base.order_by) if base else commit
+
+    def prepare_change(self, df: DataFrame, order_by: Sequence[str], **state: Any) -> Commit:
+        """Write rows that replace or join those of their keys, alone; nothing is seen before ``publish``.
+
+        The row with the highest ``order_by`` values is the one of its key, whether it comes
+        with this change, an earlier one or lies in a bucket. Costs follow the change and not the table.
+        """
+        base = self.current()
+        if not self.keys or not order_by:
+            raise ValueError("A change needs the table's keys and columns to order by")
+        if base is None:
+            return self._prepare(None, keep_last(df, self.keys, list(order_by)), lambda old, new: new, state)
+        if base.changes and tuple(order_by) != base.order_by:
+            raise ValueError(f"{self.path} holds changes ordered by {list(base.order_by)}; compact it first")
+        version = base.version + 1
+        folder = f"v={version}-{uuid.uuid4().hex}"
+        df = _fitted(df, base.schema)
+        self._check_rule(df)
+        df.write.parquet(f"{self.path}/{folder}")
+        return Commit(version, _union_schema(base.schema, df.schema), base.folders, tuple(self.keys), self.rule,
+                      {**base.state, **state}, (*base.changes, (folder, ())), tuple(order_by))
+
+    def compact(self, **state: Any) -> Commit | None:
+        """Fold all change folders into the buckets they touch (or the whole table, if it has none)."""
+        base = self.current()
+        changed = self._changed(base) if base else None
+        if changed is None:
+            return base
+        touched = self.touched(changed)
+        return self.publish(replace(self.prepare_replace(self.read(touched, base), touched, base, **state), changes=(), order_by=()))
 
     def prepare_replace(self, df: DataFrame, buckets: Iterable[int] | None = None, base: Commit | None = None,
                         **state: Any) -> Commit:
@@ -135,16 +198,20 @@ class VersionedTable:
         if buckets is None:
             return self._prepare(base, df, lambda old, new: new, state)
         gone = set(buckets)
-        return self._prepare(base, df, lambda old, new: tuple(f for f in old if f[0] not in gone) + new, state)
+        commit = self._prepare(base, df, lambda old, new: tuple(f for f in old if f[0] not in gone) + new, state)
+        # The new buckets hold what was changed in them.
+        changes = tuple((path, tuple(sorted(gone.union(folded)))) for path, folded in base.changes) if base else ()
+        return replace(commit, changes=changes, order_by=base.order_by if changes else ())
 
     def expire(self, keep: int = 1) -> int:
         """Delete the folders that none of the last ``keep`` versions names, and older commits; returns how many folders.
 
-        Readers of older versions and unfinished writers must be gone.
+        Folders of stored ties (``_ties``) go the same way. Readers of older versions and unfinished writers must be gone.
         """
         folder = self._hadoop.Path(f"{self.path}/_commits")
         commits = sorted(name for name in self._names(folder) if name.endswith(".json") and not name.startswith("."))
-        kept = {path for name in commits[-max(keep, 1):] for _, path in self._load(name).folders}
+        last = [self._load(name) for name in commits[-max(keep, 1):]]
+        kept = {path for commit in last for _, path in (*commit.folders, *((None, path) for path, _ in commit.changes))}
         written = [v for v in self._names(self._hadoop.Path(self.path)) if v.startswith("v=")]
         dropped = 0
         for version in written:
@@ -154,6 +221,12 @@ class VersionedTable:
             for path in [version] if inner and len(gone) == len(inner) else gone:
                 self._files.delete(self._hadoop.Path(f"{self.path}/{path}"), True)
             dropped += len(gone)
+        ties = self._hadoop.Path(f"{self.path}/_ties")
+        named_ties = {str(commit.state.get("ties") or "").rpartition("/")[2] for commit in last}
+        for name in self._names(ties) if self._files.exists(ties) else ():
+            if name not in named_ties:
+                self._files.delete(self._hadoop.Path(f"{self.path}/_ties/{name}"), True)
+                dropped += 1
         for name in commits[: -max(keep, 1)]:
             self._files.delete(self._hadoop.Path(f"{self.path}/_commits/{name}"), False)
         return dropped
@@ -164,6 +237,14 @@ class VersionedTable:
     def _bucket_of(self) -> Column:
         return F.coalesce(F.expr(self.rule).cast("long"), F.lit(-1).cast("long")).alias(BUCKET)
 
+    def _check_rule(self, df: DataFrame) -> None:
+        """Refuse a rule that reads more than the keys: rows of one key must share a bucket."""
+        if self.rule:
+            try:
+                df.select(*[named(key) for key in self.keys]).select(self._bucket_of())
+            except AnalysisException as error:
+                raise ValueError(f"The rule '{self.rule}' must read the keys {self.keys} only: {error}") from None
+
     def _prepare(self, base: Commit | None, df: DataFrame, arrange, state: dict[str, Any]) -> Commit:
         version = base.version + 1 if base else 1
         folder = f"v={version}-{uuid.uuid4().hex}"
@@ -171,6 +252,7 @@ class VersionedTable:
         kept = bool(base and arrange(base.folders, ()))
         if kept:
             df = _fitted(df, base.schema)
+        self._check_rule(df)
         folders = arrange(base.folders if base else (), self._write(df, folder))
         schema = _union_schema(base.schema, df.schema) if kept else df.schema
         state = {**(base.state if base else {}), **state}
@@ -204,6 +286,8 @@ class VersionedTable:
             "keys": commit.keys,
             "rule": commit.rule,
             "state": commit.state,
+            "changes": commit.changes,
+            "order_by": commit.order_by,
         }
         out = self._files.create(aside, False)
         out.write(json.dumps(body).encode())
@@ -222,12 +306,14 @@ class VersionedTable:
             tuple(body["keys"]),
             body["rule"],
             body["state"],
+            tuple((path, tuple(folded)) for path, folded in body.get("changes", ())),
+            tuple(body.get("order_by", ())),
         )
 
 
 def _hash_rule(keys: Sequence[str], buckets: int) -> str:
-    """A hash of the keys' text, so that an int and a bigint of one value agree."""
-    texts = ", ".join(f"string(`{key}`)" for key in keys)
+    """A hash of the keys' text, so that an int and a bigint of one value agree, and zero with minus zero."""
+    texts = ", ".join(f"if(string(`{key}`) = '-0.0', '0.0', string(`{key}`))" for key in keys)
     return f"pmod(xxhash64({texts}), {buckets})"
 
 
@@ -246,12 +332,27 @@ def _fitted(rows: DataFrame, schema: T.StructType) -> DataFrame:
             raise ValueError(f"Column '{column.name}' is {column.dataType.simpleString()}, the table has {target.simpleString()}")
         cast = value.try_cast(target)
         # What comes back must be what was given; text may be spelt in another way.
-        same = cast.isNotNull() if not numbers else cast.try_cast(column.dataType).eqNullSafe(value)
+        same = cast.try_cast(column.dataType).eqNullSafe(value) if numbers else _same_value(value, cast, target)
         wrong = F.raise_error(F.concat(F.lit(f"Value of '{column.name}' does not fit {target.simpleString()}: "), value.cast("string")))
         casts[column.name] = F.when(value.isNull() | same, cast).otherwise(wrong.cast(target))
     return rows.select(*[casts.get(n, named(n)).alias(n) for n in rows.columns]) if casts else rows
 
 
+def _same_value(text: Column, cast: Column, target: T.DataType) -> Column:
+    """Whether a text still has its value after a cast: no digit, time of day or fraction of a second is lost."""
+    if isinstance(target, (T.FractionalType, T.DecimalType)):
+        exact = "decimal(38,18)"
+        written = cast.cast("string") if not isinstance(target, T.DecimalType) else cast
+        digits = text.try_cast(exact) == written.try_cast(exact)
+        # Beyond what a decimal holds, as 1e300 or NaN, doubles are compared.
+        return cast.isNotNull() & F.coalesce(digits, text.try_cast("double") == written.try_cast("double"), F.lit(False))
+    if isinstance(target, T.DateType):
+        return cast.isNotNull() & text.try_cast("timestamp_ntz").eqNullSafe(cast.cast("timestamp_ntz"))
+    if isinstance(target, (T.TimestampType, T.TimestampNTZType)):
+        return cast.isNotNull() & ~text.cast("string").rlike(r"\.\d{6}0*[1-9]")
+    return cast.isNotNull()
+
+
 def _union_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     """All columns of both, nullable; folders that lack a column read as NULL."""
     held = {f.name.lower() for f in old.fields}

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from objsync.functions.text import all_named
 from objsync.operators.dedup import keep_last
 from objsync.operators.results import filled_rows, missing_fields
 from objsync.plans.store import VersionedTable
@@ -18,21 +17,13 @@ from objsync.plans.store import VersionedTable
 QUERY_ID = "sql.streaming.queryId"
 
 
-def merge_latest(target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The target after changes that have one row per key: the later row by ``order_by`` stays.
-
-    A change that arrives late does not replace a newer row. Only the target rows
-    whose key occurs in the changes are compared; the others pass through.
-    """
-    changed = changes.select(*all_named(keys))
-    rivals = target.join(changed, list(keys), "left_semi").select(*all_named(target.columns))
-    untouched = target.join(changed, list(keys), "left_anti").select(*all_named(target.columns))
-    return untouched.unionByName(keep_last(rivals.unionByName(changes), list(keys), list(order_by)))
-
-
-def apply_changes(table: VersionedTable, changes: DataFrame, batch_id: int, stream: str, order_by: Sequence[str]) -> bool:
+def apply_changes(table: VersionedTable, changes: DataFrame, batch_id: int, stream: str, order_by: Sequence[str],
+                  compact_after: int = 16) -> bool:
     """Merge one micro-batch and record its number in the same commit; a replayed batch is skipped.
 
+    The batch is written alone, as a change folder, so a batch of a hundred keys writes a
+    hundred rows whatever the size of the table; a change that arrives late does not replace a newer
+    row. Once there are ``compact_after`` change folders they are folded into the buckets they touch.
     Rows without a key cannot be merged: they are left out, and the commit counts
     those of all batches of the stream (``keyless:<stream>``).
     """
@@ -47,33 +38,26 @@ def apply_changes(table: VersionedTable, changes: DataFrame, batch_id: int, stre
     state = {applied: batch_id}
     if lost:
         state[keyless] = (base.state.get(keyless, 0) if base else 0) + lost
-    latest = keep_last(keyed, table.keys, list(order_by))
-    if base is None:
-        table.replace(latest, **state)
-        return True
-    latest = latest.persist()  # read for its buckets and three times by the merge
-    try:
-        touched = table.touched(latest)
-        merged = merge_latest(table.read(touched, base), latest, table.keys, order_by)
-        table.replace(merged, touched, base, **state)
-    finally:
-        latest.unpersist()
+    commit = table.publish(table.prepare_change(keep_last(keyed, table.keys, list(order_by)), order_by, **state))
+    if len(commit.changes) >= compact_after:
+        table.compact()
     return True
 
 
 def start_sync(feed: DataFrame, table: VersionedTable, order_by: Sequence[str], checkpoint: str,
-               continuous: str | None = None) -> StreamingQuery:
+               continuous: str | None = None, compact_after: int = 16) -> StreamingQuery:
     """Drain what is there (or keep running every ``continuous`` interval) with exactly-once effect.
 
     The target table is the only state, so no watermark is needed and a change
     may be as late as it likes. Limit the files per trigger on the feed to bound
     a micro-batch. Batches are numbered per checkpoint: with a new one the feed
-    is drained again, which changes nothing that was already merged.
+    is drained again, which changes nothing that was already merged. ``compact_after``
+    is the number of change folders that readers merge at most.
     """
 
     def apply(changes: DataFrame, batch_id: int) -> None:
         stream = changes.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        apply_changes(table, changes, batch_id, stream, order_by)
+        apply_changes(table, changes, batch_id, stream, order_by, compact_after)
 
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
     return feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -168,3 +168,39 @@ def test_a_rule_with_too_many_buckets_is_refused(spark, folder, monkeypatch):
     table.append(spark.range(3))
     with pytest.raises(ValueError, match="more than 5 buckets"):
         table.touched(spark.range(9))
+
+
+@pytest.mark.parametrize(("kind", "kept", "lossy"), [
+    ("decimal(10,2)", ["1.23", "1.2300", "007"], ["1.239", "x", "123456789.1"]), ("date", ["2024-05-06", "2024-05-06 00:00:00"], ["2024-05-06 23:59:59"]),
+    ("float", ["0.1", "0.25", "1e30"], ["0.123456789012"]), ("double", ["0.123456789012", "1e300", "NaN"], ["0.12345678901234567"]),
+    ("int", ["7", "-7"], ["7.5", "99999999999"]), ("timestamp", ["2024-05-06 01:02:03.123456"], ["2024-05-06 01:02:03.1234567"])])
+def test_text_that_would_lose_value_is_refused(spark, folder, kind, kept, lossy):
+    for number, text in enumerate([*kept, *lossy]):
+        table = VersionedTable(spark, f"{folder}/{number}")
+        table.append(spark.range(1).select(F.lit(None).cast(kind).alias("v")))
+        batch = spark.createDataFrame([(text,)], "v string")
+        if text in kept:
+            table.append(batch)
+            assert table.read().filter("v is not null").count() == 1
+        else:
+            with pytest.raises(Exception, match="does not fit"):
+                table.append(batch)
+            assert table.current().version == 1
+
+
+def test_a_rule_over_other_columns_is_refused(spark, folder):
+    table = VersionedTable(spark, folder, ["id"], bucket_by="year div 10")
+    with pytest.raises(ValueError, match="must read the keys"):
+        table.append(spark.createDataFrame([(1, 2001)], "id int, year int"))
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_zero_and_minus_zero_are_one_key(spark, folder, stream):
+    table = VersionedTable(spark, folder, ["k"], buckets=64)
+    table.append(spark.createDataFrame([(0.0, 1)], "k double, n int"))
+    batch = spark.createDataFrame([(-0.0, 2)], "k double, n int")
+    if stream:
+        apply_changes(table, batch, 0, "s", ["n"])
+    else:
+        Flow("x", batch, TargetConfig("T", "merge", primary_key="k")).run(spark, table)
+    assert [n for _, n in rows(table.read())] == [2]

@@ -13,6 +13,7 @@ from objsync.functions.text import all_named, is_filled, named
 from objsync.operators.dedup import repeated_keys
 from objsync.operators.joins import split_join
 from objsync.operators.mapping import flatten
+from objsync.session import scratch_folder
 from objsync.sources.files import CSV_OPTIONS
 
 # Error codes of rejected rows and the size of a delivery batch.
@@ -22,6 +23,9 @@ DUPLICATE_TARGET = "DUPLICATE_EXTERNAL_ID"
 NOT_FOUND = "ENTITY_NOT_FOUND"
 BATCH_ROWS = 10_000
 
+# A row's number within its task, and the task, as Spark packs them into one number.
+_AT, _TASK, _TASK_BITS = "_at", "_task", 33
+
 
 def missing_fields(required: Sequence[str]) -> Column:
     """The names of the required columns that are NULL or empty, comma separated; '' when none."""
@@ -98,33 +102,76 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, ba
     return path
 
 
-def csv_texts(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """(body): the rows as CSV texts with header, each of at most ``batch_rows`` rows.
+def delivery_batches(df: DataFrame, batch_rows: int = BATCH_ROWS, order_by: Sequence[str] = ()) -> DataFrame:
+    """The rows with ``row``, a gapless number from 0, and ``batch``, that number in batches of exactly ``batch_rows``.
+
+    The rows are written once to the shared folder, in the order asked for or as they
+    come. A task's rows are numbered as they are written; the counts per task, a row each,
+    are summed up on the driver and shift these numbers. No window and no single task sees the rows.
+    """
+    spark = df.sparkSession
+    rows = df.orderBy(*all_named(order_by)) if order_by else df
+    folder = scratch_folder(spark, "batches")
+    rows.withColumn(_AT, F.monotonically_increasing_id()).write.parquet(folder)
+    held = spark.read.schema(rows.schema.add(_AT, T.LongType())).parquet(folder).withColumn(_TASK, F.shiftright(_AT, _TASK_BITS))
+    shifts, total = [], 0
+    for task, n in held.groupBy(_TASK).count().orderBy(_TASK).collect():
+        shifts.append((task, total))
+        total += n
+    shift = spark.createDataFrame(shifts, f"{_TASK} long, _shift long")
+    row = (F.col("_shift") + F.col(_AT).bitwiseAND(F.lit((1 << _TASK_BITS) - 1))).alias("row")
+    numbered = held.join(shift, _TASK).select(*[named(n) for n in df.columns], row)
+    return numbered.select("*", F.expr(f"row div {batch_rows}").alias("batch"))
+
+
+def csv_texts(df: DataFrame, batch_rows: int = BATCH_ROWS, order_by: Sequence[str] = ()) -> DataFrame:
+    """(batch, body): the rows as CSV texts with header, each of exactly ``batch_rows`` rows but for the last.
 
     NULL is blank and every value is in quotes, so empty text is told from NULL.
 
-    A text is made from one Arrow batch, so nothing is grouped or shuffled. Values
+    A task makes the texts of its batches one after the other from rows in order. Values
     become text before they reach Python, where a NULL would turn integers into floats.
     """
     flat = flatten(df)
-    texts = flat.select(*(F.col(f"`{name}`").cast("string").alias(name) for name in flat.columns))
-
-    header = ",".join('"' + n.replace('"', '""') + '"' if set(n) & set('",\n\r') else n for n in texts.columns) + "\n"
+    texts = flat.select(*(F.col(f"`{name}`").cast("string").alias(f"_{n}") for n, name in enumerate(flat.columns)),
+                        *[named(name).alias(f"_by{n}") for n, name in enumerate(order_by)])
+    columns = [f"_{n}" for n in range(len(flat.columns))]
+    numbered = delivery_batches(texts, batch_rows, [f"_by{n}" for n in range(len(order_by))]).select("batch", "row", *columns)
+    header = ",".join('"' + n.replace('"', '""') + '"' if set(n) & set('",\n\r') else n for n in flat.columns) + "\n"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Only this function travels to the workers, so it calls nothing of this package.
         from pyarrow import csv
 
         options = csv.WriteOptions(include_header=False, quoting_style="all_valid")
+
+        def text(number, parts):
+            out = pa.BufferOutputStream()
+            for part in parts:
+                csv.write_csv(part, out, options)
+            body = header + out.getvalue().to_pybytes().decode()
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([body], type=pa.string())], ["batch", "body"])
+
+        number, parts = None, []
         for batch in batches:
-            bodies = []
-            for first in range(0, batch.num_rows, batch_rows):
-                out = pa.BufferOutputStream()
-                csv.write_csv(batch.slice(first, batch_rows), out, options)
-                bodies.append(header + out.getvalue().to_pybytes().decode())
-            yield pa.RecordBatch.from_arrays([pa.array(bodies, type=pa.string())], ["body"])
-
-    return texts.mapInArrow(write, "body string")
+            owners = batch.column(0).to_pylist()
+            first = 0
+            while first < len(owners):
+                # Rows come in order, so a batch is a run of them.
+                last = first
+                while last < len(owners) and owners[last] == owners[first]:
+                    last += 1
+                if parts and owners[first] != number:
+                    yield text(number, parts)
+                    parts = []
+                number = owners[first]
+                parts.append(batch.slice(first, last - first).select(columns))
+                first = last
+        if parts:
+            yield text(number, parts)
+
+    dealt = numbered.repartition("batch").sortWithinPartitions("batch", "row")
+    return dealt.mapInArrow(write, "batch long, body string")
 
 
 def write_rejects(rejects: DataFrame, root: str, target: str, operation: str, run: str) -> str:

@@ -14,7 +14,7 @@ from objsync.config import ResourceConfig, TargetConfig
 from objsync.functions.text import named
 from objsync.operators.results import write_rejects
 from objsync.operators.write import WritePlan, plan_write
-from objsync.plans.incremental import high_value, past_boundary
+from objsync.plans.incremental import high_pair, high_value, past_boundary
 from objsync.plans.store import Commit, VersionedTable
 from objsync.session import drop_folder, scratch_folder
 from objsync.sources.objects import ObjectStore, extract
@@ -124,19 +124,36 @@ def sync(spark: SparkSession, store: ObjectStore, config: ResourceConfig, table:
     ``late_ties`` also finds rows that arrive later with the very value the last run
     ended on: the keys read at that value are kept in a folder beside the table,
     which the commit names, and the next run takes them out of an inclusive extract.
+
+    With a limit the cursor is the pair of value and key, so runs stop and go on anywhere,
+    also among rows of one value and among rows without one, which come first. Such a
+    cursor cannot see late ties; the two exclude each other. Without a limit, rows whose
+    cursor is NULL are read by the first run only.
     """
     state, cursor = table.state, config.replication_key
+    limited = bool(cursor) and config.limit is not None
+    if limited and late_ties:
+        raise ValueError(f"Resource '{config.name}': a limited sync cannot look for late ties")
+    if limited and not set(config.keys) <= set(config.fields):
+        raise ValueError(f"Resource '{config.name}': a limited sync must select its key {list(config.keys)}")
+    last_key = state.get("last_key") if cursor else None
     last, ties = (state.get("last_value"), state.get("ties")) if cursor else (None, None)
     known = spark.read.parquet(ties) if late_ties and ties else None
     with Staging(spark) as staging:
-        rows = extract(store, config, last, inclusive=known is not None)
+        rows = extract(store, config, last, inclusive=known is not None, last_key=last_key)
         if known is not None:
             rows = past_boundary(rows, cursor, last, known, config.keys)
         rows = staging.copy(rows)
         moved = {}
         if cursor:
             value_type = rows.select(named(cursor)).schema[0].dataType.simpleString()
-            moved = {"cursor_field": cursor, "value_type": value_type, "last_value": high_value(rows, cursor) or last}
+            moved = {"cursor_field": cursor, "value_type": value_type}
+            if limited:
+                value, key = high_pair(rows, cursor, config.keys)
+                moved |= {"last_value": value if key else last, "last_key": key or last_key}
+            else:
+                highest = high_value(rows, cursor)
+                moved |= {"last_value": highest or last, "last_key": None if highest else last_key}
             if late_ties and moved["last_value"] is not None:
                 moved["ties"] = _keep_ties(table, rows, known, cursor, moved["last_value"], config.keys)
         return Flow(config.name, rows, target, transforms).run(spark, table, staged=True, **moved)

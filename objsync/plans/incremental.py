@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,9 +18,20 @@ STATE_SCHEMA = "resource string, cursor_field string, last_value string, value_t
 
 def high_value(df: DataFrame, cursor: str) -> str | None:
     """The highest cursor value as text, NULL for no rows; an instant is given in UTC, whatever the session's zone."""
-    highest, kind = F.max(named(cursor)), df.schema[cursor].dataType
-    text = F.concat(utc_time(highest).cast("string"), F.lit("Z")) if isinstance(kind, T.TimestampType) else highest.cast("string")
-    return df.agg(text).first()[0]
+    return df.agg(_text(F.max(named(cursor)), df.schema[cursor].dataType)).first()[0]
+
+
+def high_pair(df: DataFrame, cursor: str, keys: Sequence[str]) -> tuple[str | None, list[str] | None]:
+    """The highest cursor value and, of the rows that have it, the highest key, as text; no key for no rows."""
+    columns = [cursor, *keys]
+    top = F.max(F.struct(*[named(c).alias(f"_{n}") for n, c in enumerate(columns)]))
+    texts = [_text(F.col("top").getField(f"_{n}"), df.schema[c].dataType).alias(f"_{n}") for n, c in enumerate(columns)]
+    value, *key = df.agg(top.alias("top")).filter("top is not null").select(*texts).first() or (None,)
+    return value, key or None
+
+
+def _text(value: Column, kind: T.DataType) -> Column:
+    return F.concat(utc_time(value).cast("string"), F.lit("Z")) if isinstance(kind, T.TimestampType) else value.cast("string")
 
 
 def past_boundary(df: DataFrame, cursor: str, last_value: Any, held: DataFrame, keys: Sequence[str]) -> DataFrame:

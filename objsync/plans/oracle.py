@@ -274,14 +274,28 @@ ORACLE: dict[str, str] = {
     "flow_sync": """
         SELECT o_orderkey AS order_id, o_orderstatus AS status, c_name AS account FROM orders
         LEFT JOIN customer ON c_custkey = o_custkey""",
+    "flow_limited_sync": "SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders",
     "flow_results": f"""
         SELECT 'Line' AS object, 'upsert' AS operation, count(*) AS records_processed,
           count(*) FILTER (WHERE n > 1) AS records_failed FROM ({_LINES})""",
     "stream_sync": """
         SELECT event_id, ts, user_id, event_type, value, props FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+    "stream_changes": """
+        SELECT event_id, ts, user_id, event_type, value, props FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+    "compact_changes": """
+        SELECT event_id, ts, user_id, event_type, value, props FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
     "file_stats": "SELECT count(*) AS n, true AS fits, true AS all_counted FROM documents",
-    "text_stats": "SELECT count(*) AS n, true AS fits FROM orders",
+    "text_stats": "SELECT count(*) AS n, (count(*) + 9999) // 10000 AS texts, count(*) // 10000 AS whole FROM orders",
+    "delivery_batches": """
+        SELECT (rn - 1) // 10000 AS batch, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+        FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) GROUP BY 1""",
+    "batch_results": f"""
+        SELECT ((rn - 1) // 10000)::varchar AS job_id, 'Line' AS object, 'upsert' AS operation,
+          count(*) AS records_processed, count({_LINE_CODE}) AS records_failed
+        FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS rn FROM ({_LINES})) GROUP BY 1""",
     "json_records": """
         SELECT p_partkey AS siren, coalesce(nullif(p_type, 'SMALL'), 'none') AS kind, p_brand AS town, NULL::varchar AS absent FROM part""",
     "keymap_two_loads": f"""

@@ -36,7 +36,7 @@ from objsync.sources.objects import (
     file_store,
     high_values,
 )
-from objsync.streaming.sync import file_feed, start_sync
+from objsync.streaming.sync import apply_changes, file_feed, start_sync
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -721,6 +721,19 @@ def flow_sync(spark: SparkSession, sf: str) -> DataFrame:
     return target.read()
 
 
+@query
+def flow_limited_sync(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in runs of a third of the table each, which stop and go on among orders of one day."""
+    store, target = objects(spark, sf), VersionedTable(spark, scratch_folder(spark, "tables"), ["o_orderkey"], buckets=8)
+    third = store.load("orders").count() // 3 + 1
+    config = ResourceConfig("tb_orders", "orders", "o_orderkey", ("o_orderkey", "o_orderstatus", "o_orderdate"),
+                            write_disposition="merge", replication_key="o_orderdate", limit=third)
+    merge = TargetConfig("tb_orders", "merge", primary_key="o_orderkey")
+    for _ in range(3):
+        sync(spark, store, config, target, merge)
+    return target.read()
+
+
 @query
 def flow_results(spark: SparkSession, sf: str) -> DataFrame:
     """The result row of a run that accepts some order lines and rejects others."""
@@ -740,6 +753,29 @@ def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
     return users.read()
 
 
+def _change_batches(spark: SparkSession, sf: str) -> VersionedTable:
+    """A table of users with five batches of events, each written as a change folder."""
+    events = table(spark, sf, "events")
+    users = VersionedTable(spark, scratch_folder(spark, "tables"), ["user_id"], buckets=8)
+    for number in range(5):
+        apply_changes(users, events.filter(f"event_id % 5 = {number}"), number, "events", ["ts", "event_id"], compact_after=9)
+    return users
+
+
+@query
+def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest event of each user, read across a bucketed table and its change folders."""
+    return _change_batches(spark, sf).read()
+
+
+@query
+def compact_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The same once the change folders are folded into the buckets."""
+    users = _change_batches(spark, sf)
+    users.compact()
+    return users.read()
+
+
 @query
 def file_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per written file: all rows are there and no file is larger than a batch."""
@@ -750,10 +786,25 @@ def file_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def text_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of CSV texts of at most a delivery batch."""
+    """CSV texts of exactly a delivery batch each, but for the last."""
     texts = results.csv_texts(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"))
     lines = texts.select((F.size(F.split("body", "\n")) - 2).cast("long").alias("n"))
-    return lines.agg(F.sum("n").alias("n"), (F.max("n") <= results.BATCH_ROWS).alias("fits"))
+    return lines.agg(F.sum("n").alias("n"), F.count("*").alias("texts"), F.count_if(F.col("n") == results.BATCH_ROWS).alias("whole"))
+
+
+@query
+def delivery_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in delivery batches by key: rows and keys of each."""
+    batches = results.delivery_batches(table(spark, sf, "orders").select("o_orderkey"), order_by=["o_orderkey"])
+    return batches.groupBy("batch").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+
+
+@query
+def batch_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Processed and failed lines of each delivery batch."""
+    labelled = results.label_errors(_doubled_lines(spark, sf), ["l_partkey"], ["l_orderkey", "l_linenumber"])
+    batches = results.delivery_batches(labelled, order_by=["l_orderkey", "l_linenumber"])
+    return results.job_results(batches, F.col("batch"), "Line", "upsert")
 
 
 @query

@@ -7,7 +7,7 @@ filter push-down reach the scan.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
@@ -72,13 +72,16 @@ def jdbc_store(spark: SparkSession, url: str, split: Mapping[str, tuple[str, Any
     return ObjectStore(load, parents or {})
 
 
-def extract(store: ObjectStore, config: ResourceConfig, last_value: Any = None, inclusive: bool = False) -> DataFrame:
+def extract(store: ObjectStore, config: ResourceConfig, last_value: Any = None, inclusive: bool = False,
+            last_key: Sequence[Any] | None = None) -> DataFrame:
     """The selected rows of one object.
 
     Dotted fields walk to parents and keep the dotted name; the filter may use
     the object's own columns, the selected dotted fields and ``filter_fields``.
     The cursor bound is strict (unless ``inclusive``) and applies from the second run on, when
-    ``last_value`` is known. Rows are sorted only for a limit, by cursor then key,
+    ``last_value`` is known. With ``last_key``, the key of the last row read, the bound is the
+    pair of both: a limited extract goes on among rows of one cursor value, and behind
+    rows without one, which come first. Rows are sorted only for a limit, by cursor then key,
     because a sort no limit follows would be a full shuffle for nothing.
     """
     if not config.fields:
@@ -86,7 +89,9 @@ def extract(store: ObjectStore, config: ResourceConfig, last_value: Any = None,
     rows = with_parents(store, config.object, [check_name(f) for f in (*config.fields, *config.filter_fields)])
     if config.query_filter is not None and not _is_blank(config.query_filter):
         rows = rows.filter(config.query_filter)
-    if config.replication_key and last_value is not None:
+    if config.replication_key and last_key is not None:
+        rows = rows.filter(after_pair(rows, config.replication_key, last_value, config.keys, last_key))
+    elif config.replication_key and last_value is not None:
         rows = rows.filter(after(rows, config.replication_key, last_value, inclusive))
     if config.limit is not None:
         rows = rows.orderBy(*filter(None, (config.replication_key, *config.keys))).limit(config.limit)
@@ -103,6 +108,16 @@ def after(rows: DataFrame, cursor: str, last_value: Any, inclusive: bool = False
     return named(cursor) >= bound if inclusive else named(cursor) > bound
 
 
+def after_pair(rows: DataFrame, cursor: str, last_value: Any, keys: Sequence[str], last_key: Sequence[Any]) -> Column:
+    """The bound (cursor, key) > (last value, last key); its first part is a plain one that the scan can use."""
+    kinds = rows.select(*[named(key) for key in keys]).schema
+    last = F.struct(*[F.lit(value).cast(kind.dataType).alias(kind.name) for value, kind in zip(last_key, kinds, strict=True)])
+    further = F.struct(*[named(key).alias(kind.name) for key, kind in zip(keys, kinds, strict=True)]) > last
+    if last_value is None:
+        return named(cursor).isNotNull() | further
+    return after(rows, cursor, last_value, inclusive=True) & (after(rows, cursor, last_value) | further)
+
+
 def with_parents(store: ObjectStore, name: str, fields: Iterable[str]) -> DataFrame:
     """Left-join the parents that dotted fields walk to, each as a struct column within its child.
 

@@ -204,3 +204,42 @@ def test_zero_and_minus_zero_are_one_key(spark, folder, stream):
     else:
         Flow("x", batch, TargetConfig("T", "merge", primary_key="k")).run(spark, table)
     assert [n for _, n in rows(table.read())] == [2]
+
+
+def test_a_limited_sync_goes_on_among_ties(spark, folder):
+    data = [(k, None) for k in range(2)] + [(k, 5) for k in range(2, 8)] + [(9, 7)]
+    source = spark.createDataFrame(data, "k int, at int")
+    store, table = ObjectStore(lambda _: source, {}), VersionedTable(spark, f"{folder}/t", ["k"])
+    config = ResourceConfig("things", "thing", "k", ("k", "at"), replication_key="at", limit=2)
+    target = TargetConfig("T", "merge", primary_key="k", allow_empty=True)
+    read = [sync(spark, store, config, table, target).records_processed for _ in range(6)]
+    assert read == [2, 2, 2, 2, 1, 0] and rows(table.read()) == sorted(data, key=repr)
+    assert (table.state["last_value"], table.state["last_key"]) == ("7", ["9"])
+    whole = ResourceConfig("things", "thing", "k", ("k", "at"), replication_key="at")
+    data += [(20, 7), (21, 8)]
+    source = spark.createDataFrame(data, "k int, at int")
+    assert sync(spark, store, whole, table, target).records_processed == 2 and table.state["last_key"] is None
+    with pytest.raises(ValueError, match="late ties"):
+        sync(spark, store, config, table, target, late_ties=True)
+    folders = table.expire()
+    assert folders > 0 and table.read().count() == len(data)
+
+
+def test_expire_drops_the_ties_of_older_versions(spark, folder):
+    source = spark.createDataFrame([(1, 1), (2, 1)], "k int, at int")
+    store, table = ObjectStore(lambda _: source, {}), VersionedTable(spark, f"{folder}/t", ["k"])
+    config = ResourceConfig("things", "thing", "k", ("k", "at"), replication_key="at")
+    target = TargetConfig("T", "merge", primary_key="k", allow_empty=True)
+    for _ in range(3):
+        sync(spark, store, config, table, target, late_ties=True)
+    table.expire()
+    assert len(table._names(table._hadoop.Path(f"{folder}/t/_ties"))) == 1
+    assert sync(spark, store, config, table, target, late_ties=True).records_processed == 0
+
+
+def test_the_pair_bound_reaches_the_scan(spark, folder):
+    spark.range(100).selectExpr("id k", "id div 10 at").write.parquet(f"{folder}/thing.parquet")
+    config = ResourceConfig("things", "thing", "k", ("k", "at"), replication_key="at", limit=5)
+    df = extract(file_store(spark, folder), config, 3, last_key=[34])
+    assert [r["k"] for r in df.collect()] == [35, 36, 37, 38, 39]
+    assert "GreaterThanOrEqual(at,3)" in df._jdf.queryExecution().executedPlan().toString()

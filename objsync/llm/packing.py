@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,37 +39,65 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = 4096, key: str = "
     def cut(batches):
         encode = _encoder(tokenizer)
         for batch in batches:
-            out = [[] for _ in range(6)]
-            for owner, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = encode(text or "") + END_ID.to_bytes(4, "little")
-                for at in range(0, len(data), 4 * size):
-                    piece = data[at:at + 4 * size]
-                    for column, value in zip(out, (owner, at // 4, len(piece) // 4, zlib.crc32(piece), len(data) // 4,
-                                                   piece), strict=True):
-                        column.append(value)
-            arrays = [pa.array(out[0], type=batch.column(0).type), *[pa.array(c, type=pa.int64()) for c in out[1:5]]]
-            if with_ids:
-                lengths = np.concatenate([[0], np.cumsum(out[2])]).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join(out[5]), dtype=np.int32))
-                arrays.append(pa.ListArray.from_arrays(pa.array(lengths), flat))
+            ids, ends = encode(batch.column(1))
+            tokens = np.diff(ends, prepend=0)
+            pieces = -(-tokens // size)
+            owner = np.repeat(np.arange(len(tokens)), pieces)
+            starts = (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * size
+            lengths = np.minimum(size, tokens[owner] - starts)
+            data = memoryview(ids.tobytes())
+            first = 4 * (ends[owner] - tokens[owner] + starts)
+            sums = [zlib.crc32(data[at:at + 4 * n]) for at, n in zip(first.tolist(), lengths.tolist(), strict=True)]
+            arrays = [batch.column(0).take(pa.array(owner)), *map(pa.array, (starts, lengths, np.array(sums, dtype=np.int64), tokens[owner]))]
+            if with_ids:  # pieces follow each other as the ids do
+                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                arrays.append(pa.ListArray.from_arrays(offsets, pa.array(ids.view(np.int32))))
             yield pa.RecordBatch.from_arrays(arrays, [key, "start", "length", "ids_crc32", "doc_tokens", "ids"][:len(arrays)])
 
     return docs.select(key, "text").mapInArrow(cut, schema)
 
 
 def _encoder(path: str):
-    """Text to the bytes of its ids.
+    """A column of texts to the ids of all, each text's followed by ``END_ID``, and where each text's end.
 
     White space separates the tokenizer's words, so the ids of a text are those of
-    its blank-separated parts in turn, and a part that occurs again is looked up. A
-    part of letters is one word: it goes to the tokenizer's model at once, spelt as
+    its blank-separated parts in turn. The distinct parts of a batch are found by Arrow and
+    looked up once; their ids are then dealt out by position.
+    """
+    known = _known(path)
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        parts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        each = parts.flatten().dictionary_encode()
+        found = [known[part] for part in each.dictionary.to_pylist()]
+        sizes = np.fromiter((len(data) // 4 for data in found), dtype=np.int64, count=len(found))
+        flat, codes = np.frombuffer(b"".join(found), dtype="<u4"), each.indices.to_numpy()
+        lengths = sizes[codes]
+        after = np.cumsum(lengths)
+        at = np.repeat((np.cumsum(sizes) - sizes)[codes] - after + lengths, lengths) + np.arange(lengths.sum())
+        last = np.cumsum(pc.list_value_length(parts).to_numpy())
+        ends = np.concatenate([[0], after])[last]
+        return np.insert(flat[at], ends, END_ID), ends + np.arange(1, len(ends) + 1)
+
+    return encode
+
+
+def _known(path: str):
+    """A dictionary from a part to the bytes of its ids, which a worker process keeps from task to task.
+
+    A part of letters is one word: it goes to the tokenizer's model at once, spelt as
     the tokenizer's normaliser and byte alphabet would spell it.
     """
     import unicodedata
 
+    import tokenizers
     from tokenizers import Tokenizer
     from tokenizers.pre_tokenizers import ByteLevel
 
+    # Functions travel by value, so what outlives a task is kept with a module of the worker's own.
+    memory = vars(tokenizers).setdefault("_objsync_known", {})
+    if path in memory:
+        return memory[path]
     tokenizer = Tokenizer.from_file(path)
     model = tokenizer.model
     # The byte alphabet gives printable bytes their own character and the others, in order, the ones from 256 on.
@@ -106,8 +135,8 @@ def _encoder(path: str):
                 self[part] = data
             return data
 
-    known = Known()
-    return lambda text: b"".join(map(known.__getitem__, text.replace("\n", " ").split(" ")))
+    memory[path] = Known()
+    return memory[path]
 
 
 def plan_packs(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int, int]]:
@@ -154,14 +183,15 @@ def pack(pieces: DataFrame, size: int = 4096, key: str = "doc_id") -> DataFrame:
     the slots made of it go back to the executors. The pieces of a length are
     numbered over many tasks, so a length of a third of all pieces stays spread.
     """
-    held = stored(pieces, "pieces")
+    # Equal pieces are told apart by a number, so that they too are dealt over many tasks.
+    held = stored(pieces.withColumn("__n", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in held.groupBy("length").count().collect()}
     slots = plan_packs(counts, size)
     total = sum(counts.values())
     session = held.sparkSession
     buckets = max(1, -(-total // BUCKET_ROWS))
-    spread = F.pmod(F.xxhash64(f"`{key}`", "start", "ids_crc32"), F.lit(buckets)).cast("int")
-    numbered = ranked(held.withColumn("__bucket", spread), ["length"], "__bucket", [f"`{key}`", "start", "ids_crc32"], "__rank")
+    spread = F.pmod(F.xxhash64(f"`{key}`", "start", "ids_crc32", "__n"), F.lit(buckets)).cast("int")
+    numbered = ranked(held.withColumn("__bucket", spread), ["length"], "__bucket", [f"`{key}`", "start", "ids_crc32", "__n"], "__rank")
     table = session.sparkContext.broadcast(_slot_table(slots))
 
     def place(batches):
@@ -176,9 +206,9 @@ def pack(pieces: DataFrame, size: int = 4096, key: str = "doc_id") -> DataFrame:
                 [batch.column(n) for n in kept] + [pa.array(sequence), pa.array(offsets[at])],
                 [*kept, "sequence_id", "offset"])
 
-    kept = [c for c in held.columns if c not in ("sequence_id", "offset")]
+    kept = [c for c in held.columns if c not in ("sequence_id", "offset", "__n")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema if f.name in kept)
-    return numbered.drop("__bucket").mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    return numbered.drop("__bucket", "__n").mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
 def _joint(lengths: np.ndarray, ranks: np.ndarray) -> np.ndarray:

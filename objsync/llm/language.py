@@ -23,29 +23,34 @@ FIELDS = StructType([StructField("lang_pred", StringType()), StructField("score"
 
 
 def training_sample(labelled: DataFrame, rows: int, chars: int) -> DataFrame:
-    """At most ``rows`` texts per language, chosen by a hash of the text, each cut to ``chars`` characters.
+    """Distinct whole texts of each language in the order of a hash of the text: at most ``rows``, of ``rows * chars`` characters in all.
 
-    Languages are counted first and thinned by a hash, so that the window that
-    takes the first rows of a language never sees much more than it keeps.
+    Texts past either bound are left out, but for the first; one longer than the second
+    bound comes after all others. Languages are counted first and thinned by a hash, and copies
+    are put together before any row is dealt, so that the window that takes the first
+    rows of a language never sees much more than it keeps.
     """
     known = labelled.filter("lang is not null and text rlike '\\\\p{L}'").select(F.col("lang").cast("string").alias("lang"), "text")
     known = known.withColumn("draw", F.xxhash64("text"))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in known.select("lang", "draw").distinct().groupBy("lang").count().collect()}
     if not counts:
         return known.select("lang", F.lit(1).alias("turn"), "text").limit(0)
     size = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])[F.col("lang")]
     unit = (F.col("draw") / F.lit(float(1 << 64))) + F.lit(0.5)
-    thinned = known.withColumn("unit", unit).filter(F.col("unit") * size <= 4 * rows)
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("unit", "text"))
-    return thinned.withColumn("turn", first).filter(F.col("turn") <= rows).select(
-        "lang", "turn", F.substring("text", 1, chars).alias("text"))
+    thinned = known.withColumn("unit", unit).filter(F.col("unit") * size <= 4 * rows).distinct()
+    length = F.length("text")
+    drawn = Window.partitionBy("lang").orderBy(length > rows * chars, "unit", "text")
+    held = F.sum(length).over(drawn.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = thinned.withColumns({"turn": F.row_number().over(drawn), "held": held})
+    fits = (F.col("turn") == 1) | (F.col("held") <= rows * chars)
+    return numbered.filter((F.col("turn") <= rows) & fits).select("lang", "turn", "text")
 
 
 def train(labelled: DataFrame, rows: int = 160, chars: int = 250) -> list[tuple[str, str]]:
     """The training text of each language of ``labelled`` (``text``, ``lang``), sorted by language.
 
-    It is a bounded sample: at most ``rows`` texts per language of at most ``chars``
-    characters each. Its suffix automaton has fewer than ``2 * rows * chars`` states;
+    It is a bounded sample: at most ``rows`` distinct whole texts per language with
+    ``rows * chars`` characters in all. Its suffix automaton has fewer than twice as many states;
     each task of ``predict`` builds it anew, in about a quarter of a second. Rows
     without a language or a letter are left out; no rows give no languages.
     """

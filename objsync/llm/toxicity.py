@@ -112,8 +112,8 @@ def _blocks(texts: list) -> list[tuple[int, int]]:
 
 
 def _grams(texts: list, orders: tuple[int, ...], bits: int):
-    """For each order: the text and the feature of every n-gram."""
-    joined = "\0".join(" " + (t or "").lower() + " " for t in texts)
+    """For each order: the text and the feature of every n-gram. A NUL, which parts the texts here, counts as a blank in them."""
+    joined = "\0".join(" " + (t or "").lower().replace("\0", " ") + " " for t in texts)
     codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
     blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
     keep = np.ones(len(codes), dtype=bool)

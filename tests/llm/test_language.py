@@ -66,3 +66,12 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
     right, total = got.join(docs, "doc_id").agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).head()
     assert total > 200 and right / total > 0.98
+
+
+def test_training_takes_distinct_whole_texts(make):
+    texts = [f"word{k} " + "abc def " * (k % 7) * 40 for k in range(30)]
+    df = make([(k % 30, texts[k % 30], "a") for k in range(3000)], SCHEMA, clash=True)
+    sample = [r["text"] for r in language.training_sample(df, 160, 1000).collect()]
+    assert sorted(sample) == sorted(texts)
+    few = [r["text"] for r in language.training_sample(df, 160, 10).collect()]
+    assert few and set(few) <= set(texts) and (len(few) == 1 or sum(map(len, few)) <= 1600)

@@ -80,3 +80,12 @@ def test_sampled_texts_are_whole(make, monkeypatch):
     assert len(got) == 4 and {text.endswith("moron") == bool(label) for text, label in got} == {True}
     assert set(got) <= {(text, label) for _, text, label in rows}
     assert len(sampled(monkeypatch, make(rows, SCHEMA), toxicity.Settings(rows=4, chars=10))) == 2
+
+
+def test_a_nul_character_is_a_blank(make):
+    odd = [(i, t.replace(" ", "\0", 1), k) for i, t, k in rows()]
+    model, plain = (toxicity.train(make(data, SCHEMA)) for data in (odd, rows()))
+    assert model is not None
+    df = make([(0, "you\0horrible\0\0moron", None), (1, "you horrible moron", None), (2, "\0", None), (3, "", None)], SCHEMA)
+    got = {r["doc_id"]: r["score"] for r in toxicity.predict(df, plain).collect()}
+    assert got[0] == got[1] and got[2] == got[3]

@@ -189,10 +189,10 @@ def delete_by_key(target: DataFrame, batch: DataFrame, key: str, keymap: DataFra
     if keymap is None:
         texts = target.withColumn(KEY_TEXT, named(key).cast("string"))
         given = wanted.withColumnRenamed(KEY, KEY_TEXT)
-        table = texts.join(given, KEY_TEXT, "left_anti").select(*all_named(target.columns))
+        table = split_join(texts, given, [KEY_TEXT], "left_anti").select(*all_named(target.columns))
         shown = id_column if id_column.lower() in (name.lower() for name in target.columns) else key
-        doomed = texts.join(given, KEY_TEXT, "left_semi").select(named(shown)).distinct()
-        known = texts.select(KEY_TEXT).join(given, KEY_TEXT, "left_semi").select(F.col(KEY_TEXT).alias(KEY)).distinct()
+        doomed = split_join(texts, given, [KEY_TEXT], "left_semi").select(named(shown)).distinct()
+        known = split_join(texts.select(KEY_TEXT), given, [KEY_TEXT], "left_semi").select(F.col(KEY_TEXT).alias(KEY)).distinct()
     else:
         doomed = keymap.join(wanted, KEY, "left_semi").select(F.col(ID).alias(id_column)).distinct()
         table = target.join(doomed, id_column, "left_anti").select(*all_named(target.columns))

@@ -75,7 +75,7 @@ def test_keep_last_reduces_before_the_shuffle(spark):
     assert text.index("partial_max_by") > text.index("Exchange hashpartitioning")
 
 
-@pytest.mark.parametrize("case", ["resolve", "split", "label", "upsert", "cells"])
+@pytest.mark.parametrize("case", ["resolve", "split", "label", "upsert", "cells", "delete"])
 def test_a_hot_key_is_split(spark, folder, case):
     """Beyond the broadcast limit, with low thresholds: the rows of a hot key go to several tasks."""
     spark.range(0, 40_000, 1, 8).selectExpr("if(id % 2 = 0, 'hot', concat('k', id)) k", "id v", "uuid() pad").write.parquet(f"{folder}/r")
@@ -94,6 +94,8 @@ def test_a_hot_key_is_split(spark, folder, case):
             df = keymap.split_resolved(many, few, "k")[0]
         elif case == "label":
             df = results.label_errors(many, [], ["k"])
+        elif case == "delete":
+            df = write.delete_by_key(many, few.selectExpr("key k"), "k").table
         elif case == "upsert":
             df = write.upsert(many.limit(0), many, "k").rejects
         else:

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -61,6 +62,64 @@ def test_method_adds_random_strings_only(make):
     assert all(not got[600 + i]["spans"] for i in range(5))
 
 
+def test_ratio_is_the_sum_over_character_pairs(make):
+    model = secret_scan.train(make(corpus(), SCHEMA))
+    draw = random.Random(9)
+    tokens = ["".join(draw.choice(secret_scan.ALPHABET) for _ in range(n)) for n in (20, 21, 33, 250)]
+
+    def plain(token):
+        places = [0] + [secret_scan.ALPHABET.index(c) + 1 for c in token]
+        return sum(model.ratios[a * secret_scan.WIDTH + b] for a, b in zip(places, places[1:], strict=False))
+
+    table = F.array(*[F.lit(r) for r in model.ratios])
+    got = make(list(enumerate(tokens)), SCHEMA).select("text", secret_scan._ratio(F.col("text"), table)).collect()
+    assert all(abs(ratio - plain(token)) < 1e-9 for token, ratio in got)
+
+
+def test_copies_give_one_sample(make):
+    copies = make([*corpus(), *[(1000, "password=zzzzzzzzzzzzzzzz")] * 300], SCHEMA)
+    assert secret_scan.train(copies) == secret_scan.train(copies.dropDuplicates(["text"]))
+
+
+def test_very_long_tokens_and_very_many_spans(make):
+    draw = random.Random(11)
+    long = noise(draw, 1_000_000)
+    many = " ".join(draw.choice([f"token={noise(draw, 9)}", noise(draw, 24), "ab" * 17, f"AKIA{'Z' * 13}"]) for _ in range(100_000))
+    model = secret_scan.train(make(corpus(), SCHEMA))
+    found = secret_scan.find_secrets(make([(1, "a " + long), (2, many)], SCHEMA), model)
+    start = time.perf_counter()
+    got = {r[0]: r for r in found.select("doc_id", "base", "spans", secret_scan.redacted(F.col("text"), F.col("spans")).alias("clean")).collect()}
+    assert time.perf_counter() - start < 60
+    assert [(s["start"], s["end"]) for s in got[1]["spans"]] == [(2, 1_000_002)] and got[1]["clean"] == "a [secret]"
+    assert [tuple(s) for s in got[2]["base"]] == brute(many)
+    at, out = 0, []
+    for s in got[2]["spans"]:
+        if s["start"] >= at:
+            out += [many[at:s["start"]], "[secret]"]
+        at = max(at, s["end"])
+    assert got[2]["clean"] == "".join(out) + many[at:]
+    base = [(s["start"], s["end"]) for s in got[2]["base"]]
+    assert len({(s["start"], s["end"]) for s in got[2]["spans"]}) > len(set(base))
+    # Everything here is apart, so sorted spans never overlap.
+    assert all(a["end"] <= b["start"] for a, b in zip(got[2]["spans"], got[2]["spans"][1:], strict=False))
+
+
+def test_tokens_that_touch_base_spans_are_left_out(make):
+    draw = random.Random(13)
+    rows = []
+    for i in range(60):
+        parts = [draw.choice([f"token={noise(draw, 9)}", noise(draw, 24), f"{noise(draw, 22)}AKIA{'Z' * 13}", f"x+{'0a' * 16}/{noise(draw, 20)}",
+                              f"{noise(draw, 25)}secret:{noise(draw, 8)}", "word"]) for _ in range(draw.randrange(40))]
+        rows.append((i, " ".join(parts)))
+    every = secret_scan.Model(tuple([1.0] * secret_scan.WIDTH ** 2), 0.0)
+    got = scan(make(rows, SCHEMA), every)
+    for i, text in rows:
+        base = brute(text)
+        tokens = [m.span() for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text)]
+        free = [(a, 3, b, "markov") for a, b in tokens if all(e <= a or b <= s for s, _, e, _ in base)]
+        assert [tuple(s) for s in got[i]["spans"]] == sorted(base + free)
+
+
 def test_without_samples_nothing_is_added(make):
     df = make([(1, None), (2, "")], SCHEMA)
     model = secret_scan.train(df)

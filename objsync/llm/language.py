@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from objsync.llm.common import add_columns
 
 UNKNOWN = "und"
-# A text is parsed in stretches of this many symbols, side by side; a phrase ends at the end of a stretch.
+# A text is parsed in stretches of this many symbols, side by side; phrases go on from one to the next.
 STRETCH = 4096
 # Symbols that are parsed at a time: what a worker holds.
 BLOCK = 2_000_000
@@ -221,7 +221,12 @@ def _parsed(texts: list, table: np.ndarray, automata: list[np.ndarray]) -> tuple
 
 
 def _count(lanes: list[np.ndarray], owners: list[int], automata: list[np.ndarray], counts: np.ndarray) -> None:
-    """Parse all stretches in step, a symbol of each at a time, and add their phrases."""
+    """Parse all stretches in step, a symbol of each at a time, and add their phrases.
+
+    Each stretch first starts with a phrase of its own. Where the one before leaves a phrase
+    open, it is parsed again from there beside the first parse, until both agree, which
+    they mostly do after a few phrases. So the phrases are those of the text as a whole.
+    """
     lengths = np.array([len(lane) for lane in lanes])
     order = np.argsort(-lengths, kind="stable")
     lengths = lengths[order]
@@ -229,7 +234,14 @@ def _count(lanes: list[np.ndarray], owners: list[int], automata: list[np.ndarray
     for column, number in enumerate(order):
         grid[:len(lanes[number]), column] = lanes[number]
     active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # lanes that have a symbol at a step
-    owners = np.array(owners)[order]
+    owners = np.array(owners)
+    column = np.empty(len(lanes), dtype=np.int64)
+    column[order] = np.arange(len(lanes))
+    following = np.flatnonzero(owners[1:] == owners[:-1]) + 1
+    later, before = column[following], column[following - 1]
+    final = np.ones(len(lanes), dtype=bool)
+    final[before] = False
+    owners = owners[order]
     for language, steps in enumerate(automata):
         state = np.zeros(len(lanes), dtype=np.int32)
         ended = np.zeros(len(lanes), dtype=np.int32)
@@ -238,5 +250,23 @@ def _count(lanes: list[np.ndarray], owners: list[int], automata: list[np.ndarray
             found = steps.take(state[:n] + grid[step, :n])
             ended[:n] += found & 3
             np.right_shift(found, 2, out=state[:n])
-        # The last phrase of a stretch ends with it.
-        np.add.at(counts[:, language], owners, ended + (state > 0))
+        begun = np.zeros(len(lanes), dtype=np.int32)
+        while len(wrong := np.flatnonzero(begun[later] != state[before])):
+            lane, true = later[wrong], state[before[wrong]]
+            taken = begun[lane]
+            begun[lane] = true
+            step = 0
+            while len(lane):
+                over = lengths[lane] == step
+                state[lane[over]] = true[over]
+                lane, true, taken = lane[~over], true[~over], taken[~over]
+                if not len(lane):
+                    break
+                symbols = grid[step, lane]
+                true, taken = steps.take(true + symbols), steps.take(taken + symbols)
+                ended[lane] += (true & 3) - (taken & 3)
+                apart = (true >> 2) != (taken >> 2)
+                lane, true, taken = lane[apart], true[apart] >> 2, taken[apart] >> 2
+                step += 1
+        # The end of a text ends its last phrase.
+        np.add.at(counts[:, language], owners, ended + ((state > 0) & final))

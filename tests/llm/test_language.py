@@ -33,12 +33,15 @@ def test_phrases_are_longest_matches():
     assert lettered.all() and symbols.tolist() == [len(code(t)) for t in texts]
 
 
-def test_long_texts_are_parsed_whole():
-    table, width = language._symbols(["abc"])
-    automata = [language._automaton([table[ord(c)] for c in "abc"], width)]
-    text = "abc" * language.STRETCH + "zz"
-    counts, _, _ = language._parsed([text], table, automata)
-    assert counts[0, 0] >= language.STRETCH + 2
+def test_long_texts_are_parsed_whole(monkeypatch):
+    draw = np.random.default_rng(3)
+    models = ["abcabbaacc", "b" * 9 + "a", "cab"]
+    table, width = language._symbols(models)
+    automata = [language._automaton([table[ord(c)] for c in m], width) for m in models]
+    texts = ["abc" * 40 + "zz", "b" * 200, "x", "", *("".join(draw.choice(list("aabbbcz"), n)) for n in range(1, 300, 7))]
+    monkeypatch.setattr(language, "STRETCH", 8)
+    counts, _, _ = language._parsed(texts, table, automata)
+    assert counts.tolist() == [[brute_phrases(t, m) for m in models] for t in texts]
 
 
 def test_predictions_and_odd_rows(make):

@@ -25,6 +25,7 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = "[A-Za-z0-9+/_=-]"
 WIDTH = len(ALPHABET) + 1  # 0 is the place before the first character
+SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string>>"
 FIELDS = ("start", "kind_no", "end", "kind")
 FAR = (1 << 31) - 1
 RESULTS = ("base", "spans", "n_assign", "n_access", "n_hex")
@@ -127,8 +128,9 @@ def _places(text: Column, matches: Column, pattern: str, number: int) -> Column:
     """Where the matches lie: the text between them, split by the same pattern, gives the distances."""
     steps = F.zip_with(matches, F.split(text, pattern, -1), lambda m, between: F.length(between) + F.length(m))
     ends = _scan(F.filter(steps, lambda n: n.isNotNull()), lambda a, b: a + b, 0)
-    return F.zip_with(ends, matches, lambda end, m: F.struct(
+    found = F.zip_with(ends, matches, lambda end, m: F.struct(
         (end - F.length(m)).alias("start"), F.lit(number).alias("kind_no"), end.alias("end"), F.lit(KINDS[number]).alias("kind")))
+    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(SPAN))
 
 
 def _apart(base: Column, tokens: Column) -> Column:

@@ -106,6 +106,11 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip": "SELECT * FROM documents",
     "csv_roundtrip_pages": "SELECT * FROM pages",
     "csv_checked_read": "SELECT * FROM customer",
+    "csv_split_pages": "SELECT * FROM pages",
+    "csv_split_conversations": """
+        SELECT conv_id, count(*) AS turns, count(text) AS texts, sum(length(text) + 6)::bigint AS chars,
+               min(chr(10) || '"' || text || '",' || chr(10) || chr(10)) AS first_text
+        FROM conversations GROUP BY conv_id""",
     "csv_roundtrip_blanks": _ODD_DOCUMENTS,
     "normalize_long_chunks": _ODD_DOCUMENTS,
     "chunk_stats": """

@@ -36,6 +36,7 @@ from objsync.sources.objects import (
     file_store,
     high_values,
 )
+from objsync.sources.split_csv import split_csv
 from objsync.streaming.sync import apply_changes, file_feed, start_sync
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,6 +255,23 @@ def csv_checked_read(spark: SparkSession, sf: str) -> DataFrame:
                           {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"})
 
 
+@query
+def csv_split_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages, whose html holds line breaks and quotes, as CSV files that are read by byte ranges."""
+    pages = table(spark, sf, "pages")
+    folder = results.write_csv(pages, scratch_folder(spark, "csv"))
+    return mp.apply_types(split_csv(spark, folder, quoted_blank=True), {n: t for n, t in pages.dtypes if t != "string"})
+
+
+@query
+def csv_split_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns whose texts hold line breaks at both ends, counted and measured per conversation after a read by byte ranges."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", F.concat(F.lit('\n"'), "text", F.lit('",\n\n')).alias("text"))
+    read = split_csv(spark, results.write_csv(turns, scratch_folder(spark, "csv")), ["conv_id", "turn", "text"], quoted_blank=True)
+    return read.groupBy(F.col("conv_id").cast("bigint").alias("conv_id")).agg(
+        F.count("*").alias("turns"), F.count("text").alias("texts"), F.sum(F.length("text")).alias("chars"), F.min("text").alias("first_text"))
+
+
 @query
 def chunk_stats(spark: SparkSession, sf: str) -> DataFrame:
     return files.key_chunks(table(spark, sf, "customer"), "c_custkey", 500)

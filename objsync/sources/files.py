@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,8 +14,9 @@ from pyspark.sql import types as T
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
 CORRUPT = "_corrupt_record"
-# Stands for an unquoted blank while a quoted one is read as empty text: a private-use character, which no export holds.
-BLANK = "\ue000"
+# Stands for an unquoted blank while a quoted one is read as empty text: 122 random bits, drawn anew
+# by each application, so no cell of a file that exists already is taken for it.
+BLANK = f"\ue000{uuid.uuid4().hex}"
 
 
 def text_schema(columns: list[str], corrupt: str | None = None) -> T.StructType:
@@ -32,7 +34,7 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, c
     With ``quoted_blank`` a blank in quotes is empty text, which is how ``write_csv``
     tells it from NULL. ``multiline=False`` makes files without line breaks inside
     values splittable; with line breaks a file is the smallest unit, so large
-    exports should come as many files.
+    files are for ``split_csv``.
     """
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multiline)
     if columns is None:

@@ -27,6 +27,13 @@ def test_quotes_commas_line_breaks_and_no_final_newline(spark, folder):
     assert rows(files.read_csv(spark, path)) == [("1", 'a "b", c\nd'), ("2", "R&D")]
 
 
+def test_private_use_characters_are_cells_like_others(spark, folder):
+    path = put(folder, 'Id,Text\n1,\ue000\n2,""\n3,\n')
+    assert rows(files.read_csv(spark, path, quoted_blank=True)) == [("1", "\ue000"), ("2", ""), ("3", None)]
+    lines = spark.createDataFrame([("1,\ue000",)], "line string")
+    assert lines.select(files.csv_fields(F.col("line"), "a string, b string").alias("c")).select("c.b").first()[0] == "\ue000"
+
+
 def test_missing_cells_are_null(spark, folder):
     path = put(folder, "Id,Name,Email\n1,,x\n2,B,\n")
     assert rows(files.read_csv(spark, path)) == [("1", None, "x"), ("2", "B", None)]

@@ -45,6 +45,11 @@ def _held_keys(wanted: DataFrame, keymap: DataFrame) -> DataFrame:
     return keymap.select(KEY).join(wanted.select(KEY), KEY, "left_semi").distinct()
 
 
+def resolved_ids(keymap: DataFrame, df: DataFrame, lookup: str) -> DataFrame:
+    """The distinct Ids that the keys of a batch stand for."""
+    return keymap.join(lookup_keys(df, lookup), KEY, "left_semi").select(ID).distinct()
+
+
 def merge_keymaps(*loads: DataFrame) -> DataFrame:
     """One Id per key from several loads in order: a later load wins, then the higher Id."""
     numbered = (load.select(ID, KEY, F.lit(n).alias("_load")) for n, load in enumerate(loads))

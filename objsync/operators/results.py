@@ -113,7 +113,7 @@ def delivery_batches(df: DataFrame, batch_rows: int = BATCH_ROWS, order_by: Sequ
     rows = df.orderBy(*all_named(order_by)) if order_by else df
     folder = scratch_folder(spark, "batches")
     rows.withColumn(_AT, F.monotonically_increasing_id()).write.parquet(folder)
-    held = spark.read.schema(rows.schema.add(_AT, T.LongType())).parquet(folder).withColumn(_TASK, F.shiftright(_AT, _TASK_BITS))
+    held = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField(_AT, T.LongType())])).parquet(folder).withColumn(_TASK, F.shiftright(_AT, _TASK_BITS))
     shifts, total = [], 0
     for task, n in held.groupBy(_TASK).count().orderBy(_TASK).collect():
         shifts.append((task, total))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from objsync.config import ResourceConfig, TargetConfig
 from objsync.functions.text import named
+from objsync.operators.keymap import resolved_ids
 from objsync.operators.results import write_rejects
 from objsync.operators.write import WritePlan, plan_write
 from objsync.plans.incremental import high_pair, high_value, past_boundary
@@ -106,9 +107,22 @@ class Flow:
         # Keys live in one bucket each, so a change by those keys needs only the touched ones.
         by_bucket = list(self.target.matching_keys) == table.keys and (self.target.operation != "delete" or keymap is None)
         touched = table.touched(staged) if by_bucket and base else None
-        affected = table.read(touched, base) if base else empty
+        # Other keys may lie anywhere; statistics of them, where the table has any, tell in which folders.
+        folders = table.folders_with(self._sought(staged, keymap), base) if base and touched is None else None
+        affected = table.read(touched, base, folders) if base else empty
         plan = self._write_plan(affected, staged, keymap, base is None)
-        return table.prepare_replace(plan.table, touched, base, **state), plan
+        return table.prepare_replace(plan.table, touched, base, folders, **state), plan
+
+    def _sought(self, staged: DataFrame, keymap: DataFrame | None) -> DataFrame:
+        """The values by which the operation looks for rows, under the names they have in the table."""
+        if self.target.operation != "delete":
+            return staged.select(*[named(key) for key in self.target.matching_keys])
+        if self.target.keyed_by_id:
+            return staged.select(named(self.target.keys[0]))
+        key = self.target.matching_keys[0]
+        if keymap is None:
+            return staged.select(named(key))
+        return resolved_ids(keymap, staged, key)
 
     def _write_plan(self, target: DataFrame, records: DataFrame, keymap: DataFrame | None, first: bool) -> WritePlan:
         """The plan of the operation; the first records of a table bring its columns."""

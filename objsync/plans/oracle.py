@@ -314,4 +314,17 @@ ORACLE: dict[str, str] = {
     "merge_text_keys": """
         SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal, c_mktsegment
         FROM customer""",
+    "keyed_fetch": """
+        SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+        WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
+    "delete_by_stats": """
+        SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+        WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = 3)""",
+    "widening_loads": """
+        SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN c_nationkey::decimal(15, 2)::varchar
+          WHEN 'FURNITURE' THEN c_acctbal::decimal(15, 2)::varchar ELSE c_name END AS value FROM customer""",
+    "column_types": """
+        SELECT * FROM (SELECT unnest(['k', 'n', 't', 'b', 'd']) AS name,
+          unnest([CASE WHEN max(c_custkey) < 2147483648 THEN 'int' ELSE 'bigint' END, 'int', 'string',
+                  CASE WHEN count(c_custkey) > 0 THEN 'bigint' END, 'date']) AS type FROM customer)""",
 }

@@ -21,6 +21,7 @@ from objsync.functions.text import child_or, concat_strip, object_id, template,
 from objsync.operators import keymap as km
 from objsync.operators import mapping as mp
 from objsync.operators import results, write
+from objsync.operators.inference import inferred_types
 from objsync.operators.joins import hot_keys
 from objsync.plans.flow import Flow, sync
 from objsync.plans.incremental import past_boundary
@@ -881,3 +882,48 @@ def merge_text_keys(spark: SparkSession, sf: str) -> DataFrame:
         zero_padded(F.col("c_custkey"), 9).alias("c_custkey"), (F.col("c_acctbal") + 100).cast("string").alias("c_acctbal"))
     Flow("customers", batch, TargetConfig("Customer", "merge", primary_key="c_custkey")).run(spark, target)
     return target.read()
+
+
+def _orders_by_status(spark: SparkSession, sf: str, **layout) -> VersionedTable:
+    """Orders in a load per status, with statistics of the customer."""
+    target = VersionedTable(spark, scratch_folder(spark, "tables"), stats=["o_custkey"], **layout)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for status in ("F", "O", "P"):
+        target.append(orders.filter(F.col("o_orderstatus") == status))
+    return target
+
+
+@query
+def keyed_fetch(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders of some customers, from the folders whose statistics may hold them."""
+    wanted = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return _orders_by_status(spark, sf).lookup(wanted)
+
+
+@query
+def delete_by_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders deleted by their customer, in a table whose buckets follow another key."""
+    target = _orders_by_status(spark, sf, keys=["o_orderkey"], buckets=4)
+    gone = table(spark, sf, "customer").filter("c_nationkey = 3").select(F.col("c_custkey").alias("o_custkey"))
+    Flow("orders", gone, TargetConfig("orders", "delete", primary_key="o_custkey", allow_empty=True)).run(spark, target)
+    return target.read()
+
+
+@query
+def widening_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads of text whose column is a whole number first, then a decimal, then text."""
+    target = VersionedTable(spark, scratch_folder(spark, "tables"))
+    customers = table(spark, sf, "customer")
+    loads = (("c_mktsegment = 'BUILDING'", "c_nationkey"), ("c_mktsegment = 'FURNITURE'", "cast(c_acctbal AS decimal(15, 2))"),
+             ("c_mktsegment NOT IN ('BUILDING', 'FURNITURE')", "c_name"))
+    for part, value in loads:
+        target.append_texts(customers.filter(part).selectExpr("string(c_custkey) AS c_custkey", f"string({value}) AS value"))
+    return target.read()
+
+
+@query
+def column_types(spark: SparkSession, sf: str) -> DataFrame:
+    """The type of each column of the customers, from its text alone."""
+    texts = table(spark, sf, "customer").selectExpr("string(c_custkey) k", "string(c_nationkey) n", "c_name AS t",
+                                                    "string(c_custkey * 10000000000) AS b", "string(date_add(DATE'2020-01-01', c_nationkey)) AS d")
+    return spark.createDataFrame([(n, kind.simpleString()) for n, kind in inferred_types(texts).items()], "name string, type string")

@@ -12,13 +12,17 @@ rule for batches of any keys; ``bucket_by`` takes a SQL expression with a whole
 number, such as ``id div 1000000``, which keeps keys that change together in few
 buckets. The layout is part of every commit, so a table is always opened with the
 one it was written in.
+
+``stats`` names further columns by which rows are looked for. Each folder written from then on
+gets their ranges and a filter of their values beside it (``_stats``), so that a lookup, a
+delete or an upsert by such a column reads and rewrites only folders that may hold its keys.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -29,6 +33,9 @@ from pyspark.sql import types as T
 
 from objsync.functions.text import named
 from objsync.operators.dedup import keep_last, merge_latest
+from objsync.operators.inference import inferred_types, typed, wider
+from objsync.operators.joins import distinct_keys, split_join
+from objsync.plans.key_stats import folders_that_may_hold, write_stats
 
 BUCKET = "bucket"
 # A bucket is a folder and an entry of every commit; a rule that makes more of them is a mistake.
@@ -41,6 +48,7 @@ class Commit:
 
     ``changes`` are folders of changed rows in the order they came, each with the
     buckets that hold its rows already; ``order_by`` says which row of a key is the latest.
+    ``stats`` are the written folders that have statistics, with the columns and types of these.
     """
 
     version: int
@@ -51,14 +59,16 @@ class Commit:
     state: dict[str, Any] = field(default_factory=dict)
     changes: tuple[tuple[str, tuple[int, ...]], ...] = ()
     order_by: tuple[str, ...] = ()
+    stats_columns: tuple[str, ...] = ()
+    stats: tuple[tuple[str, dict[str, str]], ...] = ()
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (), buckets: int = 0,
-                 bucket_by: str | None = None):
+                 bucket_by: str | None = None, stats: Sequence[str] = ()):
         if (buckets or bucket_by) and not keys:
             raise ValueError("Buckets need key columns")
-        self._spark, self.path = spark, path.rstrip("/")
+        self._spark, self.path, self.stats = spark, path.rstrip("/"), list(stats)
         self.keys, self.rule = list(keys), bucket_by or (_hash_rule(keys, buckets) if buckets else None)
         jvm = spark._jvm
         self._hadoop = jvm.org.apache.hadoop.fs
@@ -74,6 +84,7 @@ class VersionedTable:
         if self.rule and (tuple(self.keys), self.rule) != (held.keys, held.rule):
             raise ValueError(f"{self.path} has keys {list(held.keys)} and buckets by {held.rule}")
         self.keys, self.rule = list(held.keys), held.rule
+        self.stats = self.stats or list(held.stats_columns)
 
     def current(self) -> Commit | None:
         """The latest commit, if any."""
@@ -88,8 +99,9 @@ class VersionedTable:
         commit = self.current()
         return dict(commit.state) if commit else {}
 
-    def read(self, buckets: Iterable[int] | None = None, at: Commit | None = None) -> DataFrame:
-        """The rows of the latest (or a given) version, of all or some buckets.
+    def read(self, buckets: Iterable[int] | None = None, at: Commit | None = None,
+             folders: Iterable[str] | None = None) -> DataFrame:
+        """The rows of the latest (or a given) version, of all or some buckets, or of some folders without change folders.
 
         Change folders are merged on the way: their latest rows are the small side of the
         joins, so the rows of the buckets are not shuffled for them below Spark's broadcast limit.
@@ -98,6 +110,9 @@ class VersionedTable:
         if commit is None:
             raise FileNotFoundError(f"Nothing was committed to {self.path}")
         wanted = None if buckets is None else set(buckets)
+        if folders is not None:
+            some = [f"{self.path}/{path}" for path in sorted(folders)]
+            return self._spark.read.schema(commit.schema).parquet(*some) if some else self._spark.createDataFrame([], commit.schema)
         paths = [f"{self.path}/{p}" for b, p in commit.folders if wanted is None or b in wanted]
         rows = self._spark.read.schema(commit.schema).parquet(*paths) if paths else self._spark.createDataFrame([], commit.schema)
         changed = self._changed(commit, wanted)
@@ -142,6 +157,39 @@ class VersionedTable:
             raise ValueError(f"The rule '{self.rule}' makes more than {MOST_BUCKETS} buckets of one batch")
         return {row[0] for row in found}
 
+    def folders_with(self, keys: DataFrame, base: Commit | None = None) -> set[str] | None:
+        """The folders that may hold a row with the given keys, by the statistics; None where these cannot tell.
+
+        ``keys`` has columns of the table; each that has statistics narrows the folders. A folder
+        without statistics of a column in its present type counts as holding all keys.
+        """
+        commit = base or self.current()
+        if commit is None or commit.changes:
+            return None
+        kinds = {f.name.lower(): f.dataType for f in commit.schema.fields}
+        every = {path for _, path in commit.folders}
+        found = None
+        for name in keys.columns:
+            kind = kinds.get(name.lower())
+            if kind is None or keys.schema[name].dataType.simpleString() != kind.simpleString():
+                continue
+            known = {folder for folder, columns in commit.stats if columns.get(name.lower()) == kind.simpleString()}
+            if not known:
+                continue
+            unknown = {path for path in every if path.partition("/")[0] not in known}
+            held = folders_that_may_hold(self._spark, [f"{self.path}/_stats/{f}" for f in sorted(known)], keys, name, kind)
+            if held is not None:
+                found = (every if found is None else found) & (held | unknown)
+        return found
+
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        """The rows that have the given keys, from the folders that may hold them."""
+        commit = self.current()
+        wanted = distinct_keys(self.fitted(keys, commit), *keys.columns)
+        folders = self.folders_with(wanted, commit)
+        return split_join(self.read(at=commit, folders=folders), wanted, wanted.columns, "left_semi").select(
+            *[named(n) for n in commit.schema.names])
+
     def append(self, df: DataFrame, **state: Any) -> Commit:
         """Add rows beside the present ones."""
         return self.publish(self.prepare_append(df, **state))
@@ -155,9 +203,51 @@ class VersionedTable:
         """
         return self.publish(self.prepare_replace(df, buckets, base, **state))
 
-    def prepare_append(self, df: DataFrame, **state: Any) -> Commit:
-        """Write the folders of an append; nothing is seen before ``publish``."""
+    def append_texts(self, texts: DataFrame, **state: Any) -> Commit:
+        """Append text columns under the types their values have; columns of the table widen where these ask for it.
+
+        The types come from all rows of the load, and a column without any value says nothing. A column
+        that held whole numbers and now gets fractions becomes a decimal, one that gets
+        words becomes text, in the commit that adds the rows.
+        """
+        base = self.current()
+        held = {f.name.lower(): f.dataType for f in base.schema.fields} if base else {}
+        found = inferred_types(texts)
+        kinds = {name: wider(held.get(name.lower(), kind), kind) for name, kind in found.items() if not isinstance(kind, T.NullType)}
+        # A column without a value gets its type from the first load that has one.
+        known = [n for n in texts.columns if n in kinds or n not in found or n.lower() in held] or texts.columns
+        if base is None:
+            return self.append(typed(texts.select(*[named(n) for n in known]), kinds), **state)
+        commit = self.prepare_append(typed(texts.select(*[named(n) for n in known]), kinds), self.prepare_widen(kinds, base), **state)
+        return self.publish(replace(commit, version=base.version + 1))
+
+    def widen(self, types: Mapping[str, T.DataType], **state: Any) -> Commit:
+        """Give columns types that hold their values and those of the given types."""
         base = self.current()
+        commit = self.prepare_widen(types, base, **state)
+        return base if commit is base else self.publish(commit)
+
+    def prepare_widen(self, types: Mapping[str, T.DataType], base: Commit | None = None, **state: Any) -> Commit:
+        """The widened version; nothing is seen before ``publish``, and nothing is written if readers convert by themselves.
+
+        Spark reads whole numbers as longer ones and floats as doubles. Any other change, and one
+        that gives a key another text and so another bucket, writes the rows anew.
+        """
+        base = base or self.current()
+        wanted = {name.lower(): kind for name, kind in types.items()}
+        fields = [T.StructField(f.name, wider(f.dataType, wanted.get(f.name.lower(), f.dataType)), True) for f in base.schema.fields]
+        moved = [(old, new) for old, new in zip(base.schema.fields, fields) if old.dataType != new.dataType]
+        if not moved:
+            return base
+        if all(_reads_as(old.dataType, new.dataType, old.name in self.keys) for old, new in moved):
+            return replace(base, version=base.version + 1, schema=T.StructType(fields), state={**base.state, **state})
+        rows = self.read(at=base)
+        rows = rows.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in fields])
+        return self._prepare(base, rows, lambda old, new: new, state)
+
+    def prepare_append(self, df: DataFrame, base: Commit | None = None, **state: Any) -> Commit:
+        """Write the folders of an append; nothing is seen before ``publish``."""
+        base = base or self.current()
         commit = self._prepare(base, df, lambda old, new: old + new, state)
         return replace(commit, changes=base.changes, order_by=base.order_by) if base else commit
 
@@ -192,9 +282,12 @@ class VersionedTable:
         return self.publish(replace(self.prepare_replace(self.read(touched, base), touched, base, **state), changes=(), order_by=()))
 
     def prepare_replace(self, df: DataFrame, buckets: Iterable[int] | None = None, base: Commit | None = None,
-                        **state: Any) -> Commit:
-        """Write the folders of a replacement; nothing is seen before ``publish``."""
+                        folders: Iterable[str] | None = None, **state: Any) -> Commit:
+        """Write the folders of a replacement, of all, some buckets or some folders; nothing is seen before ``publish``."""
         base = base or self.current()
+        if folders is not None:
+            left = set(folders)
+            return self._prepare(base, df, lambda old, new: tuple(f for f in old if f[1] not in left) + new, state)
         if buckets is None:
             return self._prepare(base, df, lambda old, new: new, state)
         gone = set(buckets)
@@ -227,6 +320,11 @@ class VersionedTable:
             if name not in named_ties:
                 self._files.delete(self._hadoop.Path(f"{self.path}/_ties/{name}"), True)
                 dropped += 1
+        stats = self._hadoop.Path(f"{self.path}/_stats")
+        named_stats = {folder for commit in last for folder, _ in commit.stats}
+        for name in self._names(stats) if self._files.exists(stats) else ():
+            if name not in named_stats:
+                self._files.delete(self._hadoop.Path(f"{self.path}/_stats/{name}"), True)
         for name in commits[: -max(keep, 1)]:
             self._files.delete(self._hadoop.Path(f"{self.path}/_commits/{name}"), False)
         return dropped
@@ -253,10 +351,26 @@ class VersionedTable:
         if kept:
             df = _fitted(df, base.schema)
         self._check_rule(df)
-        folders = arrange(base.folders if base else (), self._write(df, folder))
+        written = self._write(df, folder)
+        folders = arrange(base.folders if base else (), written)
         schema = _union_schema(base.schema, df.schema) if kept else df.schema
         state = {**(base.state if base else {}), **state}
-        return Commit(version, schema, folders, tuple(self.keys), self.rule, state)
+        stats = (*(base.stats if base else ()), *self._write_stats(folder, df.schema, bool(written)))
+        in_use = {path.partition("/")[0] for _, path in folders}
+        return Commit(version, schema, folders, tuple(self.keys), self.rule, state, stats_columns=tuple(self.stats),
+                      stats=tuple(entry for entry in stats if entry[0] in in_use))
+
+    def _write_stats(self, folder: str, schema: T.StructType, rows: bool) -> tuple[tuple[str, dict[str, str]], ...]:
+        """The statistics of a folder that was just written, from its key columns."""
+        if not self.stats or not rows:
+            return ()
+        if self.rule:
+            held = self._spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.LongType())])).parquet(f"{self.path}/{folder}")
+            of_row = F.concat(F.lit(f"{folder}/{BUCKET}="), F.col(BUCKET).cast("string"))
+        else:
+            held, of_row = self._spark.read.schema(schema).parquet(f"{self.path}/{folder}"), F.lit(folder)
+        columns = write_stats(held, of_row, self.stats, f"{self.path}/_stats/{folder}")
+        return ((folder, columns),) if columns else ()
 
     def _write(self, df: DataFrame, folder: str) -> tuple[tuple[int | None, str], ...]:
         if not self.rule:
@@ -288,6 +402,8 @@ class VersionedTable:
             "state": commit.state,
             "changes": commit.changes,
             "order_by": commit.order_by,
+            "stats_columns": commit.stats_columns,
+            "stats": commit.stats,
         }
         out = self._files.create(aside, False)
         out.write(json.dumps(body).encode())
@@ -308,6 +424,8 @@ class VersionedTable:
             body["state"],
             tuple((path, tuple(folded)) for path, folded in body.get("changes", ())),
             tuple(body.get("order_by", ())),
+            tuple(body.get("stats_columns", ())),
+            tuple((folder, columns) for folder, columns in body.get("stats", ())),
         )
 
 
@@ -353,6 +471,13 @@ def _same_value(text: Column, cast: Column, target: T.DataType) -> Column:
     return cast.isNotNull()
 
 
+def _reads_as(old: T.DataType, new: T.DataType, key: bool) -> bool:
+    """Whether Spark reads files of one type as another, without a change of a key's text."""
+    if isinstance(old, T.IntegralType) and isinstance(new, T.IntegralType):
+        return True
+    return isinstance(old, T.FloatType) and isinstance(new, T.DoubleType) and not key
+
+
 def _union_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     """All columns of both, nullable; folders that lack a column read as NULL."""
     held = {f.name.lower() for f in old.fields}

@@ -26,3 +26,9 @@ def test_a_plan_without_a_window_or_single_task(spark):
     df = spark.range(0, 1000, 1, 6).selectExpr("id k")
     text = delivery_batches(df, 10)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in text and "SinglePartition" not in text
+
+
+def test_batches_leave_the_columns_of_their_input(spark):
+    df = spark.range(25).withColumnRenamed("id", "n")
+    batches = results.delivery_batches(df, batch_rows=10)
+    assert batches.columns == ["n", "row", "batch"] and df.columns == ["n"] and df.schema.names == ["n"]

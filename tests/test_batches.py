@@ -30,5 +30,5 @@ def test_a_plan_without_a_window_or_single_task(spark):
 
 def test_batches_leave_the_columns_of_their_input(spark):
     df = spark.range(25).withColumnRenamed("id", "n")
-    batches = results.delivery_batches(df, batch_rows=10)
+    batches = delivery_batches(df, batch_rows=10)
     assert batches.columns == ["n", "row", "batch"] and df.columns == ["n"] and df.schema.names == ["n"]

@@ -16,6 +16,8 @@ from objsync.llm.common import ranked, stored
 END_ID = 2
 # Rows of one length that one task numbers.
 BUCKET_ROWS = 4096
+# Bytes of text that are encoded at a time, in whole rows.
+BLOCK = 4 << 20
 # Parts of at most so many characters whose ids a worker remembers; past that number it starts again.
 LONGEST = 64
 REMEMBERED = 600_000
@@ -35,10 +37,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = 4096, key: str = "
     """
     fields = PIECE if with_ids else PIECE.rpartition(",")[0]
     schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, {fields}"
+    # A worker keeps its copy of a broadcast from task to task and gives it up with the first task that has no use for it.
+    memory = docs.sparkSession.sparkContext.broadcast({})
 
     def cut(batches):
-        encode = _encoder(tokenizer)
-        for batch in batches:
+        encode = _encoder(tokenizer, memory.value)
+        for batch in _blocks(batches):
             ids, ends = encode(batch.column(1))
             tokens = np.diff(ends, prepend=0)
             pieces = -(-tokens // size)
@@ -53,18 +57,29 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = 4096, key: str = "
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
                 arrays.append(pa.ListArray.from_arrays(offsets, pa.array(ids.view(np.int32))))
             yield pa.RecordBatch.from_arrays(arrays, [key, "start", "length", "ids_crc32", "doc_tokens", "ids"][:len(arrays)])
+            del ids, data, arrays
+        pa.default_memory_pool().release_unused()
 
     return docs.select(key, "text").mapInArrow(cut, schema)
 
 
-def _encoder(path: str):
+def _blocks(batches):
+    """The batches in slices of whole rows with about ``BLOCK`` bytes of text each, or a single longer text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // BLOCK)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)], strict=True):
+            yield batch.slice(a, b - a)
+
+
+def _encoder(path: str, memory: dict):
     """A column of texts to the ids of all, each text's followed by ``END_ID``, and where each text's end.
 
     White space separates the tokenizer's words, so the ids of a text are those of
     its blank-separated parts in turn. The distinct parts of a batch are found by Arrow and
     looked up once; their ids are then dealt out by position.
     """
-    known = _known(path)
+    known = _known(path, memory)
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         parts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
@@ -82,20 +97,17 @@ def _encoder(path: str):
     return encode
 
 
-def _known(path: str):
-    """A dictionary from a part to the bytes of its ids, which a worker process keeps from task to task.
+def _known(path: str, memory: dict):
+    """A dictionary from a part to the bytes of its ids, kept in ``memory``.
 
     A part of letters is one word: it goes to the tokenizer's model at once, spelt as
     the tokenizer's normaliser and byte alphabet would spell it.
     """
     import unicodedata
 
-    import tokenizers
     from tokenizers import Tokenizer
     from tokenizers.pre_tokenizers import ByteLevel
 
-    # Functions travel by value, so what outlives a task is kept with a module of the worker's own.
-    memory = vars(tokenizers).setdefault("_objsync_known", {})
     if path in memory:
         return memory[path]
     tokenizer = Tokenizer.from_file(path)

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -83,3 +84,32 @@ def test_little_padding(spark, llm):
     docs = llm.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = packing.pack(packing.token_pieces(docs, PATH, with_ids=False)).selectExpr("sum(length) t", "count(distinct sequence_id) s").head()
     assert got["t"] / (got["s"] * 4096) > 0.95
+
+
+def test_workers_give_up_the_tokenizer_after_the_stage(make):
+    """The parts that a worker remembers go with the first task of another stage."""
+    def held(batches):
+        import gc
+
+        import pyarrow as pa
+        import tokenizers
+
+        for _ in batches:
+            pass
+        gc.collect()
+        alive = sum(type(o) is tokenizers.Tokenizer or type(o).__name__ == "Known" for o in gc.get_objects())
+        kept = len(vars(tokenizers).get("_objsync_known", {}))
+        yield pa.RecordBatch.from_arrays([pa.array([alive + kept])], ["n"])
+
+    df = make([(i, f"word{i} and more") for i in range(64)], SCHEMA).repartition(8)
+    assert packing.token_pieces(df, PATH).count() == 64
+    assert {r["n"] for r in df.mapInArrow(held, "n long").collect()} == {0}
+
+
+def test_blocks_are_whole_rows_of_bounded_text(monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 10)
+    texts = ["abc", None, "", "abcdefgh", "x" * 35, "é", None, "abc", "last"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    parts = list(packing._blocks([batch, batch.slice(0, 0), batch.slice(3, 4)]))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts + texts[3:7]
+    assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column(1).to_pylist()[:-1]) < 10 for p in parts)

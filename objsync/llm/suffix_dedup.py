@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 from objsync.llm.common import Sieve, add_columns, free_names, hash_mix, sieve, stored
 
 # Bytes that are named at a time; a longer text is read in stretches that overlap by a string.
-STRETCH = 1 << 16
+STRETCH = 1 << 15
 PLACE_BITS = 18
 # Bits for the length of a run, which is below the size of a string.
 RUN_BITS = 16
@@ -136,9 +136,14 @@ class Named:
     def contexts(self) -> tuple[np.ndarray, np.ndarray]:
         """Two sums over the names of each run's strings: runs with equal strings have equal sums."""
         name = _pair(self.half[:-self.gap], self.half[self.gap:])[:self.cuts[-1]]
-        other = name ^ (name >> np.uint64(31))
-        other *= np.uint64(0x9E3779B97F4A7C15)
-        return tuple(np.add.reduceat(n, self.cuts[:-1])[self.whole] for n in (name, other))
+        return self._sums(name), self._sums(_other(name))
+
+    def second(self) -> np.ndarray:
+        """The second of these sums."""
+        return self._sums(_other(_pair(self.half[:-self.gap], self.half[self.gap:])[:self.cuts[-1]]))
+
+    def _sums(self, name: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(name, self.cuts[:-1])[self.whole]
 
     def each(self, keep: np.ndarray) -> np.ndarray:
         """The starts of all strings of the runs to keep."""
@@ -209,9 +214,20 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed
 
 
+def _other(name: np.ndarray) -> np.ndarray:
+    """A second value of the names."""
+    other = name ^ (name >> np.uint64(31))
+    other *= np.uint64(0x9E3779B97F4A7C15)
+    return other
+
+
 def _grams(named: Named) -> pa.RecordBatch:
-    rows = np.unique(np.rec.fromarrays([named.gram.view(np.int64), named.owner], names="gram,owner"))
-    return _batch(gram=rows.gram, doc=named.doc[rows.owner])
+    # Owners ascend, so a stable sort by name puts the equal pairs side by side.
+    order = np.argsort(named.gram, kind="stable")
+    gram, owner = named.gram[order], named.owner[order]
+    new = np.ones(len(gram), dtype=bool)
+    new[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
+    return _batch(gram=gram[new], doc=named.doc[owner[new]])
 
 
 def _contexts(named: Named, shared: Sieve) -> pa.RecordBatch:
@@ -226,7 +242,7 @@ def _leading(named: Named, unlike: Sieve, leaders: Sieve, k2: np.ndarray) -> np.
 
 
 def _strings(named: Named, unlike: Sieve, leaders: Sieve) -> pa.RecordBatch:
-    keep = _leading(named, unlike, leaders, named.contexts()[1])
+    keep = _leading(named, unlike, leaders, named.second())
     at = named.each(keep)
     return _batch(k1=named.half[at], k2=named.half[at + named.gap], doc=np.repeat(named.doc[named.owner[keep]], named.sizes()[keep]))
 

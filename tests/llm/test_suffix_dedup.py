@@ -1,5 +1,8 @@
 import hashlib
 import random
+import time
+
+import numpy as np
 
 from objsync.llm import suffix_dedup
 from objsync.llm.queries import QUERIES
@@ -86,6 +89,28 @@ def test_empty_table_and_very_long_text(make):
     assert [r[:4] for r in got] == [(1, 300, 0, 0), (2, 1_300_000, 300, 1)]
 
 
+def test_names_of_places_are_dealt_once_a_text_and_cheaply():
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("ab ") for _ in range(draw.randint(60, 900))).encode() * draw.randint(1, 3) for _ in range(60)]
+    named = suffix_dedup._named([(t, number // 2, number, 0) for number, t in enumerate(texts)], 50)
+    rows = suffix_dedup._grams(named)
+    pairs = sorted((g, int(named.doc[o])) for g, o in set(zip(named.gram.view(np.int64).tolist(), named.owner.tolist(), strict=True)))
+    assert sorted(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)) == pairs and len(pairs) < len(named.gram)
+    assert np.array_equal(named.second(), named.contexts()[1])
+
+    def least(work):
+        times = []
+        for _ in range(7):
+            began = time.thread_time()
+            work()
+            times.append(time.thread_time() - began)
+        return min(times)
+
+    held = [(bytes(draw.choices(range(97, 123), k=1 << 16)), 1, 1, 0)]
+    named = suffix_dedup._named(held, 50)
+    assert least(lambda: suffix_dedup._grams(named)) < least(lambda: suffix_dedup._named(held, 50))
+
+
 def test_query(llm):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in llm.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]

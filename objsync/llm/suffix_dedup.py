@@ -1,7 +1,7 @@
 """Removal of passages that repeat across documents, by prefix doubling over sampled positions.
 
 Prefix doubling names the string of length 2h at a place by the names at the place and
-h further on. Strings of 1 to ``size / 2`` bytes are named within a task, where a name
+h further on. Strings of up to ``size / 2`` bytes are named within a task, where a name
 is a 64-bit fingerprint, so that no rank has to be fetched by a join. From half the size on
 Spark groups the pairs: strings that no other document holds go after each round, and the pair of
 two halves, ``size`` bytes, is the last. Not every place is ranked. A place is taken
@@ -44,8 +44,8 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     row without an id removes nothing and keeps all; rows that share an id do not
     remove each other's strings. Texts shorter than ``size`` stay whole; no rows give no rows.
 
-    Rounds: names of half the size at sampled places, kept where two documents hold
-    them; the strings around such a place, where copies become one; and, where they differ,
+    Rounds: names of half the size at sampled places, kept where they are dealt twice;
+    the strings around such a place, where copies become one; and, where they differ,
     each string as a pair of names. Every round groups with a combine before the
     shuffle, so a passage of any share of the documents stays spread, and what it
     keeps goes back to the texts as a bitmap of bounded size that only thins
@@ -55,7 +55,8 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     source = source.filter(F.col("doc_id").isNotNull() & (F.octet_length("data") >= size))
     across = [F.min("doc").alias("first"), F.max("doc").alias("last")]
 
-    grams = source.mapInArrow(_scan(size, _grams), "gram long, doc long").groupBy("gram").agg(*across).filter("first < last")
+    # A text deals a name once a stretch, so a name that is dealt twice is held by two documents, or by one that is long.
+    grams = source.mapInArrow(_scan(size, _grams), "gram long, doc long").groupBy("gram").count().filter("count > 1")
     grams = stored(grams.select("gram"), "grams")
     shared = _sieve(grams, "gram")
 
@@ -81,7 +82,8 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     texts = docs.select("doc_id", F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("data"))
     texts = texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("data") >= size))
     places = texts.mapInArrow(_scan(size, _places, unlike, followers, repeats), "k1 long, k2 long, doc long, row long, at long")
-    later = places.join(known, ["k1", "k2"]).filter("doc > first")
+    # Known strings are distinct, so each task builds its share of them and sorts no places.
+    later = places.join(known.hint("shuffle_hash"), ["k1", "k2"]).filter("doc > first")
     found = later.groupBy(F.col("doc").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_set("at").alias("__runs"))
     found = stored(found, "runs")
     for used in (unlike, followers, repeats):
@@ -177,8 +179,8 @@ def _named(held: list[tuple], size: int) -> Named:
     lengths = np.array([len(p) for p, *_ in held])
     begin = np.cumsum(lengths) - lengths
     step = (size + 1) // 2
-    # Names of 1, 2, 4, ... bytes, and of half the size by two that overlap.
-    name, reach = NAMES[data], 1
+    # Names of 1, 2, 4, ... bytes, and of half the size by two that overlap. Eight bytes are a name as they are.
+    name, reach = (_words(data), 8) if step >= 8 else (NAMES[data], 1)
     while reach < step:
         further = min(2 * reach, step)
         name = _pair(name[:len(name) - (further - reach)], name[further - reach:])
@@ -187,12 +189,14 @@ def _named(held: list[tuple], size: int) -> Named:
     gap = size - step
     # The least name of those in a string, the first of equal ones: its place rides in the low bits.
     low = np.uint64((1 << PLACE_BITS) - 1)
-    least, reach, window = (name & ~low) | np.arange(len(name), dtype=np.uint64), 1, gap + 1
+    least, reach, window = name & ~low, 1, gap + 1
+    least |= np.arange(len(least), dtype=np.uint64)
     while reach < window:
         further = min(2 * reach, window)
         least = np.minimum(least[:len(least) - (further - reach)], least[further - reach:])
         reach = further
-    places = (least & low).astype(np.int64)
+    least &= low
+    places = least.view(np.int64)
     # Bytes at which a string would leave its text belong to no run.
     border = np.zeros(len(places), dtype=bool)
     for end in (begin + lengths)[:-1]:
@@ -205,6 +209,14 @@ def _named(held: list[tuple], size: int) -> Named:
     return Named(name, gap, cuts, whole, first, last, name[places[first]], owner, doc, row, base - begin)
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes at each place as one number, scrambled: different bytes, different names."""
+    name = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,)) * np.uint64(0xD6E8FEB86659FD93)
+    name ^= name >> np.uint64(32)
+    name *= np.uint64(0x8EBC6AF09C88C6E3)
+    return name
+
+
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The name of two names."""
     mixed = a * np.uint64(0xD6E8FEB86659FD93)

@@ -111,6 +111,43 @@ def test_names_of_places_are_dealt_once_a_text_and_cheaply():
     assert least(lambda: suffix_dedup._grams(named)) < least(lambda: suffix_dedup._named(held, 50))
 
 
+def test_half_names_take_two_pairings_and_tell_strings_apart(monkeypatch):
+    draw = random.Random(8)
+    texts = [bytes(draw.choices(b"ab", k=400)) for _ in range(12)] + [bytes(300), b"ab" * 150, bytes(draw.choices(range(256), k=500))]
+    calls, pair = [], suffix_dedup._pair
+    monkeypatch.setattr(suffix_dedup, "_pair", lambda a, b: calls.append(1) or pair(a, b))
+    named = suffix_dedup._named([(t, number, number, 0) for number, t in enumerate(texts)], 50)
+    assert len(calls) == 2
+    data = b"".join(texts)
+    names = {}
+    for at, name in enumerate(named.half.tolist()):
+        names.setdefault(data[at:at + 25], set()).add(name)
+    assert len(named.half) == len(data) - 24 and all(len(n) == 1 for n in names.values())
+    assert len(set().union(*names.values())) == len(names)
+
+
+def test_rounds_count_names_and_sort_no_places(make, monkeypatch):
+    plans, keep = {}, suffix_dedup.stored
+
+    def noted(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().toString()
+        return keep(df, purpose)
+
+    monkeypatch.setattr(suffix_dedup, "stored", noted)
+    rows = made(9, 40)
+    assert result(make(rows, SCHEMA)) == brute(rows)
+    assert "count(1)" in plans["grams"] and "min(doc" not in plans["grams"]
+    assert "ShuffledHashJoin" in plans["runs"] and "SortMergeJoin" not in plans["runs"] and "BroadcastHashJoin" not in plans["runs"]
+
+
+def test_a_long_text_repeats_itself_over_stretches_and_keeps_all(make, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "STRETCH", 64)
+    passage = "a passage of seventy bytes or so that one text holds again and again, "
+    rows = [(1, passage * 9), (2, "another text of more than fifty bytes, which nothing else holds."), (3, "so " + passage + "it is")]
+    assert result(make(rows, SCHEMA)) == brute(rows)
+    assert [r[2] > 0 for r in result(make(rows, SCHEMA))] == [False, False, True]
+
+
 def test_query(llm):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in llm.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]

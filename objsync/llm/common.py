@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from objsync.session import scratch_folder
+from objsync.session import drop_folder, scratch_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -46,7 +46,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
         df.write.parquet(folder)
     finally:
         session.conf.unset(CLEANUP) if before is None else session.conf.set(CLEANUP, before)
-    return session.read.schema(df.schema).parquet(folder)
+    copy = session.read.schema(df.schema).parquet(folder)
+    copy._stored_in = folder
+    return copy
+
+
+def discard(*copies: DataFrame) -> None:
+    """Delete what ``stored`` has written, once nothing reads it any more."""
+    for copy in copies:
+        drop_folder(copy.sparkSession, copy._stored_in)
 
 
 def ascii_lower(text: Column) -> Column:

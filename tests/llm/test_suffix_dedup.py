@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import time
 
@@ -148,6 +149,69 @@ def test_a_long_text_repeats_itself_over_stretches_and_keeps_all(make, monkeypat
     assert [r[2] > 0 for r in result(make(rows, SCHEMA))] == [False, False, True]
 
 
+def watched(monkeypatch):
+    """What is stored, by purpose, and the folders that are still there."""
+    made, keep = {}, suffix_dedup.stored
+
+    def noted(df, purpose):
+        copy = keep(df, purpose)
+        made.setdefault(purpose, []).append((copy.count(), copy._stored_in))
+        return copy
+
+    monkeypatch.setattr(suffix_dedup, "stored", noted)
+    return made
+
+
+def test_names_that_fill_the_bitmap_are_taken_in_slices(make, monkeypatch):
+    made_by = watched(monkeypatch)
+    rows = [r for r in made(11, 120) if len(set(r[1])) > 2]
+    expected = brute(rows)
+    assert result(make(rows, SCHEMA)) == expected
+    whole = [count for count, _ in made_by.pop("contexts")]
+    monkeypatch.setattr(suffix_dedup, "MEMBERS", 8)
+    assert result(make(rows, SCHEMA)) == expected
+    # Not one run more is stored than before, and no slice has most of them.
+    slices = [count for count, _ in made_by["contexts"]]
+    assert len(whole) == 1 and len(slices) == suffix_dedup.SLICES and sum(slices) == sum(whole) and max(slices) < sum(slices) / 2
+
+
+def test_only_the_lists_of_places_stay_on_disk(make, monkeypatch):
+    made_by = watched(monkeypatch)
+    rows = made(12, 60)
+    assert result(make(rows, SCHEMA)) == brute(rows)
+    there = {purpose for purpose, copies in made_by.items() for _, folder in copies if os.path.exists(folder.removeprefix("file:"))}
+    assert {"grams", "contexts", "runs"} < set(made_by) and there == {"cuts"}
+
+
+def test_halves_that_repeat_by_chance_are_not_stored(make, monkeypatch):
+    made_by = watched(monkeypatch)
+    draw = random.Random(13)
+    word = lambda n: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    halves = [word(34) for _ in range(20)]
+    rows = [(doc, word(60) + draw.choice(halves) + word(60) + draw.choice(halves) + word(60)) for doc in range(150)]
+    assert [r[2] for r in result(make(rows, SCHEMA))] == [0] * 150
+    assert made_by["grams"][0][0] >= 20 and made_by["contexts"][0][0] == 0
+
+
+def test_runs_of_a_name_that_many_have_are_spread_over_partitions(make, monkeypatch):
+    draw = random.Random(14)
+    word = lambda n: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    line = word(70)
+    rows = [(draw.randrange(400), word(80) + line[draw.randint(0, 8):] + word(80)) for _ in range(200)] + made(14, 60)
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    assert result(make(rows, SCHEMA)) == brute(rows)
+
+    texts = [(t.encode(), doc, doc, 0) for doc, t in rows[:200]]
+    named = suffix_dedup._named(texts, 50)
+    names, counts = np.unique(named.gram, return_counts=True)
+    hot = np.unique(suffix_dedup._mixed(names[counts > 20]))
+    every = suffix_dedup.Sieve(np.full(1 << 10, 2**64 - 1, dtype=np.uint64))
+    parts = {name: [len(b) // suffix_dedup.RUN.itemsize for b in suffix_dedup._deal_runs(suffix_dedup._contexts(named, every, 1, 0), own, 20).column(1).to_pylist()]
+             for name, own in (("by name", hot[:0]), ("spread", hot))}
+    assert sum(parts["by name"]) == sum(parts["spread"]) == len(named.gram)
+    assert max(parts["spread"]) < 1.5 * len(named.gram) / 20 < max(parts["by name"])
+
+
 def test_query(llm):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in llm.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
